@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from proclivity.functions.scalar import hash_key, step_index
-from proclivity.functions.tables import join_null_safe, settle
+from proclivity.functions.tables import join_null_safe, local_table, settle
 
 HEX_DIGITS = 4
 SORT_ROWS = 1_000_000
@@ -32,11 +32,14 @@ SKETCH_ACCURACY = 10_000
 # --- ranks in hashed order -------------------------------------------------
 
 
-def stratum_counts(df: DataFrame, strata: Sequence[str]) -> DataFrame:
-    """Rows per stratum as `__n`, settled when small."""
-    return settle(
-        df.groupBy(*strata).agg(F.count(F.lit(1)).alias("__n"))
-    )
+def stratum_counts(
+    df: DataFrame, strata: Sequence[str]
+) -> tuple[DataFrame, int | None]:
+    """Rows per stratum as `__n`, and the largest stratum if it is known."""
+    counts = settle(df.groupBy(*strata).agg(F.count(F.lit(1)).alias("__n")))
+    if counts.isLocal():
+        return counts, max((r["__n"] for r in counts.collect()), default=0)
+    return counts, None
 
 
 def rank_cuts(
@@ -44,6 +47,7 @@ def rank_cuts(
     key: Column,
     strata: Sequence[str],
     ranks: DataFrame,
+    largest: int | None = None,
     hex_digits: int = HEX_DIGITS,
 ) -> DataFrame:
     """Key of the row at each wanted rank.
@@ -52,8 +56,17 @@ def rank_cuts(
     the stratum in ascending key order). Result: strata, `__cut`, `__key`.
     The histogram has at most 16**hex_digits rows per stratum, and a digit
     group holds about 1 / 16**hex_digits of the rows, because keys are hashes.
+    Where the largest stratum is known to be small it is sorted directly.
     """
     strata = list(strata)
+    if largest is not None and largest <= SORT_ROWS:
+        whole = Window.partitionBy(*strata).orderBy("__key")
+        placed = df.select(*strata, key.alias("__key")).withColumn(
+            "__rank", F.row_number().over(whole).cast("long")
+        )
+        return join_null_safe(placed, ranks, [*strata, "__rank"]).select(
+            *strata, "__cut", "__key"
+        )
     keyed = df.select(
         *strata, key.alias("__key")
     ).withColumn("__digits", F.substring("__key", 1, hex_digits))
@@ -112,6 +125,7 @@ def rank_part(
     ranks: DataFrame,
     out: str,
     seed: int = 42,
+    largest: int | None = None,
 ) -> DataFrame:
     """Number of wanted ranks each row lies behind, 0, 1, 2, ... as `out`.
 
@@ -120,8 +134,9 @@ def rank_part(
     """
     strata = list(strata)
     key = hash_key(id_col, seed)
+    ranks = settle(ranks)
     positive = ranks.filter(F.col("__rank") > 0)
-    cuts = rank_cuts(df, key, strata, positive)
+    cuts = settle(rank_cuts(df, key, strata, positive, largest))
     if not strata:
         keys = sorted(r["__key"] for r in cuts.collect())
         nothing = ranks.count() - positive.count()
@@ -129,24 +144,20 @@ def rank_part(
         for k in keys:
             behind = behind + (key > F.lit(k)).cast("int")
         return df.withColumn(out, behind)
-    per_stratum = settle(
-        cuts.groupBy(*strata).agg(
-            F.sort_array(F.collect_list("__key")).alias("__cuts")
-        )
+    # a rank of 0 has the empty key, which lies before every row
+    nothing = ranks.filter(F.col("__rank") <= 0).select(
+        *strata, "__cut", F.lit("").alias("__key")
     )
-    zero = settle(
-        ranks.filter(F.col("__rank") <= 0)
+    per_stratum = settle(
+        cuts.unionByName(nothing)
         .groupBy(*strata)
-        .agg(F.count(F.lit(1)).cast("int").alias("__zero"))
+        .agg(F.sort_array(F.collect_list("__key")).alias("__cuts"))
     )
     joined = join_null_safe(df, per_stratum, strata, "left")
-    joined = join_null_safe(joined, zero, strata, "left")
     behind = F.size(F.filter("__cuts", lambda c: c < key))
     return joined.withColumn(
-        out,
-        F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(behind)
-        + F.coalesce("__zero", F.lit(0)),
-    ).drop("__cuts", "__zero")
+        out, F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(behind)
+    ).drop("__cuts")
 
 
 def ranks_table(
@@ -176,57 +187,54 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Exact quantiles with linear interpolation, for several columns at once.
 
-    Missing values are ignored. Columns up to `sort_rows` rows are sorted as
-    they are; above that each rank is first bracketed by a sketch until the
-    bracket is small enough, so no task sorts more than about `sort_rows`
-    distinct values. Only the few values at the wanted ranks reach the driver.
+    Missing values are ignored. Columns up to `sort_rows` rows use the
+    built-in exact percentile; above that, where its one value map would grow
+    with the data, each rank is first bracketed by a sketch until the bracket
+    is small enough, so no task sorts more than about `sort_rows` distinct
+    values. Only the few values at the wanted ranks reach the driver.
     """
     names = list(probs)
     wanted = {c: sorted(set(probs[c])) for c in names}
     data = df.select(*[_number(df, c).alias(c) for c in names])
     counts = data.agg(*[F.count(c).alias(c) for c in names]).first()
 
-    ranks: dict[str, set[int]] = {}
+    found: dict[str, list[float | None]] = {}
+    small = [c for c in names if counts[c] <= sort_rows]
+    if small:
+        # few enough values for the built-in exact percentile
+        row = data.agg(
+            *[F.percentile(c, wanted[c]).alias(c) for c in small]
+        ).first()
+        for c in small:
+            at = dict(zip(wanted[c], row[c] or [], strict=False))
+            found[c] = [at.get(p) for p in probs[c]]
+    large = [c for c in names if counts[c] > sort_rows]
+    if not large:
+        return found
+
     brackets: list[_Bracket] = []
-    for c in names:
+    for c in large:
         n = counts[c]
-        need: set[int] = set()
-        if n:
-            for p in wanted[c]:
-                pos = p * (n - 1)
-                need |= {math.floor(pos), math.ceil(pos)}
-        ranks[c] = need
-        if not need:
-            continue
-        if n <= sort_rows:
-            brackets.append(_Bracket(c, None, None, 0, n, need))
-        else:
-            for p in wanted[c]:
-                pos = p * (n - 1)
-                brackets.append(
-                    _Bracket(
-                        c, None, None, 0, n, {math.floor(pos), math.ceil(pos)}
-                    )
+        for p in wanted[c]:
+            pos = p * (n - 1)
+            brackets.append(
+                _Bracket(
+                    c, None, None, 0, n, {math.floor(pos), math.ceil(pos)}
                 )
-
+            )
     while any(b.size > sort_rows and not b.single for b in brackets):
         brackets = _narrow(data, brackets, sort_rows, accuracy)
 
     values = _values_at(data, brackets)
-    out: dict[str, list[float | None]] = {}
-    for c in names:
-        n = counts[c]
+    for c in large:
         row: list[float | None] = []
         for p in probs[c]:
-            if not n:
-                row.append(None)
-                continue
-            pos = p * (n - 1)
+            pos = p * (counts[c] - 1)
             lo, hi = math.floor(pos), math.ceil(pos)
             a, b = values[(c, lo)], values[(c, hi)]
             row.append(a + (b - a) * (pos - lo))
-        out[c] = row
-    return out
+        found[c] = row
+    return found
 
 
 class _Bracket:
@@ -325,22 +333,18 @@ def _values_at(data, brackets) -> dict[tuple[str, int], float]:
     )
     upto = Window.partitionBy("b").orderBy("v")
     runs = runs.withColumn("upto", F.sum("n").over(upto))
-    hit = None
-    for i, b in enumerate(open_):
-        for r in b.ranks:
-            inner = r - b.below
-            one = (
-                (F.col("b") == i)
-                & (F.col("upto") > inner)
-                & (F.col("upto") - F.col("n") <= inner)
-            )
-            hit = one if hit is None else hit | one
-    for row in runs.filter(hit).collect():
+    inner = local_table(
+        data.sparkSession,
+        [(i, r - b.below) for i, b in enumerate(open_) for r in b.ranks],
+        "b int, inner long",
+    )
+    hit = runs.join(inner, "b").filter(
+        (F.col("upto") > F.col("inner"))
+        & (F.col("upto") - F.col("n") <= F.col("inner"))
+    )
+    for row in hit.collect():
         b = open_[row["b"]]
-        for r in b.ranks:
-            inner = r - b.below
-            if row["upto"] - row["n"] <= inner < row["upto"]:
-                found[(b.column, r)] = row["v"]
+        found[(b.column, row["inner"] + b.below)] = row["v"]
     return found
 
 
@@ -352,11 +356,12 @@ def order_cuts(
     column: str,
     bucket_rows: int = SORT_ROWS,
     max_buckets: int = 1024,
-) -> list[float]:
+) -> tuple[list[float], int]:
     """Cut points that split the column's order into buckets of similar size.
 
     Read once from a sketch and then fixed as literals, so every branch of a
     plan sees the same buckets. Correctness does not depend on where they are.
+    Also returns the number of values.
     """
     steps = [i / max_buckets for i in range(1, max_buckets)]
     x = _number(df, column)
@@ -366,10 +371,10 @@ def order_cuts(
     ).first()
     buckets = min(max_buckets, math.ceil((row["n"] or 0) / bucket_rows))
     if buckets <= 1:
-        return []
+        return [], row["n"]
     every = max_buckets / buckets
     picked = {row["cuts"][round(i * every) - 1] for i in range(1, buckets)}
-    return sorted(picked)
+    return sorted(picked), row["n"]
 
 
 def score_runs(
@@ -380,7 +385,18 @@ def score_runs(
     bucket_rows: int = SORT_ROWS,
 ) -> DataFrame:
     """One row per (by, score) with its sums and its order bucket `__bucket`."""
-    cuts = order_cuts(df, score, bucket_rows)
+    cuts, _ = order_cuts(df, score, bucket_rows)
+    return collapse(df, score, sums, cuts, by)
+
+
+def collapse(
+    df: DataFrame,
+    score: str,
+    sums: Mapping[str, Column],
+    cuts: Sequence[float],
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Sums per (by, score), with the bucket the score falls in."""
     runs = df.groupBy(*by, score).agg(
         *[F.sum(c).alias(name) for name, c in sums.items()]
     )

@@ -103,24 +103,44 @@ def recode(c: Column | str, mapping: dict[Any, Any]) -> Column:
     return out
 
 
-def step_index(x: Column | str, cuts: Sequence[Any]) -> Column:
+def literal(value: Any) -> str:
+    """SQL text of a Python value."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    if isinstance(value, float):
+        return f"double('{value!r}')"
+    if isinstance(value, int):
+        return str(value)
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
+def name(column: str) -> str:
+    """Quoted column name."""
+    return "`" + column.replace("`", "``") + "`"
+
+
+def step_index(column: str, cuts: Sequence[float]) -> Column:
     """Number of cut points `<= x`, as a balanced tree of comparisons.
 
     A missing value fails every comparison and therefore lands in the last
     bin. The tree stays inside generated code and needs only log2(cuts)
     comparisons per row.
     """
-    x = col(x)
+    x = f"cast({name(column)} AS DOUBLE)"
 
-    def build(lo: int, hi: int) -> Column:
+    def build(lo: int, hi: int) -> str:
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi) // 2
-        return F.when(x < F.lit(cuts[mid]), build(lo, mid)).otherwise(
-            build(mid + 1, hi)
+        return (
+            f"CASE WHEN {x} < {literal(float(cuts[mid]))} "
+            f"THEN {build(lo, mid)} ELSE {build(mid + 1, hi)} END"
         )
 
-    return build(0, len(cuts))
+    return F.expr(build(0, len(cuts)))
 
 
 def equal_width_bin(

@@ -3,13 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 SMALL_ROWS = 5_000
 
 
+def local_table(
+    spark: SparkSession, rows: Sequence[Sequence[Any]], ddl: str
+) -> DataFrame:
+    """A few driver-side rows as a local relation.
+
+    Arrow input becomes a local relation whose size the planner knows, so
+    joins broadcast it by size and filters on it are folded.
+    """
+    schema = to_arrow_schema(T.StructType.fromDDL(ddl))
+    columns = [
+        pa.array([r[i] for r in rows], type=f.type)
+        for i, f in enumerate(schema)
+    ]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=schema))
+
+
 def settle(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Fix a summary table's rows when it is small, else return it unchanged.
 
@@ -18,10 +38,10 @@ def settle(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     top do not recompute the summary. A larger table stays a plan, so joins
     with it are ordinary shuffled joins.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    found = df.limit(max_rows + 1).toArrow()
+    if found.num_rows > max_rows:
         return df
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    return df.sparkSession.createDataFrame(found)
 
 
 def join_null_safe(
@@ -34,8 +54,6 @@ def join_null_safe(
             for c in right.columns
         ]
     )
-    if not on:
-        return left.join(renamed, how=how)
     cond = None
     for c in on:
         part = F.col(c).eqNullSafe(F.col(f"__r_{c}"))

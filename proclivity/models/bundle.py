@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from proclivity import __version__
 from proclivity.functions.scalar import threshold_decision
+from proclivity.functions.tables import local_table
 from proclivity.operators.validate import validate_features
 from proclivity.presets import THRESHOLD
 from proclivity.spec import TableSpec
@@ -58,8 +59,8 @@ class ModelBundle:
         else:
             values = [float(v) for v in model.featureImportances.toArray()]
         rows = list(zip(self.feature_names, values, strict=True))
-        table = spark.createDataFrame(
-            rows, "feature string, importance double"
+        table = local_table(
+            spark, rows, "feature string, importance double"
         )
         return table.orderBy(F.col("importance").desc(), "feature")
 
@@ -75,8 +76,8 @@ class ModelBundle:
             "package_version": self.package_version,
             "features": self.spec.features,
         }
-        spark.createDataFrame(
-            [(KIND, json.dumps(meta))], "kind string, meta string"
+        local_table(
+            spark, [(KIND, json.dumps(meta))], "kind string, meta string"
         ).coalesce(1).write.mode("overwrite").json(f"{path}/bundle")
         return path
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from proclivity.functions.tables import local_table
 from proclivity.models.builders import PropensityModel
 from proclivity.models.bundle import ModelBundle
 from proclivity.models.training import evaluate
@@ -84,8 +85,8 @@ def cv_results_table(
             zip(combos, found.avgMetrics, found.stdMetrics, strict=True)
         )
     ]
-    table = spark.createDataFrame(
-        rows, "set_no int, params string, mean_score double, std_score double"
+    table = local_table(
+        spark, rows, "set_no int, params string, mean_score double, std_score double"
     )
     by_score = Window.orderBy(F.col("mean_score").desc())
     return table.withColumn("rank", F.rank().over(by_score))
@@ -208,7 +209,7 @@ def random_search(
         data.unpersist()
     done = [r for r in rows if r[3] is not None]
     best = max(done, key=lambda r: r[3])
-    return sets[best[0]], best[3], spark.createDataFrame(rows, TRIALS)
+    return sets[best[0]], best[3], local_table(spark, rows, TRIALS)
 
 
 def best_trial(trials: DataFrame, score: str = "score") -> DataFrame:

@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from proclivity.functions.tables import local_table
 from proclivity.models.bundle import ModelBundle
 from proclivity.operators import registry as events_of
 from proclivity.operators.drift import PROFILE_SCHEMA, store_profile
@@ -35,7 +36,7 @@ class ModelRegistry:
     def _table(self, name: str, schema: str) -> DataFrame:
         path = f"{self.root}/{name}"
         if not self._exists(path):
-            return self.spark.createDataFrame([], schema)
+            return local_table(self.spark, [], schema)
         return self.spark.read.schema(schema).json(path)
 
     def _exists(self, path: str) -> bool:
@@ -143,14 +144,14 @@ class ModelRegistry:
 
     def _versions_table(self, version: str | None) -> DataFrame:
         rows = [] if version is None else [(version,)]
-        return self.spark.createDataFrame(rows, "version string")
+        return local_table(self.spark, rows, "version string")
 
     # --- logs ---
 
     def notify(self, level: str, message: str) -> None:
         """Append a notification for the people on duty."""
         row = [(now(), level, message)]
-        self._append("notifications", self.spark.createDataFrame(row, NOTES))
+        self._append("notifications", local_table(self.spark, row, NOTES))
 
     def notifications(self) -> DataFrame:
         """The notification log."""
@@ -167,4 +168,4 @@ class ModelRegistry:
     def save_report(self, report: dict[str, Any]) -> None:
         """Append a cycle report."""
         row = [(report["cycle"], report["status"], json.dumps(report))]
-        self._append("cycles", self.spark.createDataFrame(row, REPORTS))
+        self._append("cycles", local_table(self.spark, row, REPORTS))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from proclivity.functions.tables import local_table
 from proclivity.models.builders import PropensityModel
 from proclivity.models.bundle import ModelBundle
 from proclivity.operators.cleaning import clean, select_features
@@ -111,7 +112,8 @@ def metric_rows(spark, bundles: Sequence[ModelBundle]) -> DataFrame:
         )
         for b in bundles
     ]
-    return spark.createDataFrame(
+    return local_table(
+        spark,
         rows,
         "model string, precision double, recall double, f1 double, "
         "roc_auc double, fit_seconds double",

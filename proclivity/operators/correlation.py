@@ -18,9 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proclivity.functions.scalar import equal_width_bin, str_key
+from proclivity.functions.tables import settle
+from proclivity.session import ship_by_value
 
 MAX_MARGIN = 2_000
 
+ship_by_value(__name__)
+
 
 def binned(
     df: DataFrame,
@@ -52,7 +56,10 @@ def binned(
 
 
 def contingency(keys: DataFrame) -> DataFrame:
-    """Cell counts of all column pairs: (col_a, col_b, a, b, n)."""
+    """Cell counts of all column pairs: (col_a, col_b, a, b, n).
+
+    Settled when small, so the margins do not scan the rows again.
+    """
     pairs = itertools.combinations(keys.columns, 2)
     cells = F.array(
         *[
@@ -65,11 +72,12 @@ def contingency(keys: DataFrame) -> DataFrame:
             for p, q in pairs
         ]
     )
-    return (
+    return settle(
         keys.select(F.inline(cells))
         .filter(F.col("a").isNotNull() & F.col("b").isNotNull())
         .groupBy("col_a", "col_b", "a", "b")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n")),
+        max_rows=50_000,
     )
 
 
@@ -77,39 +85,36 @@ def chi_square(cells: DataFrame) -> DataFrame:
     """Pearson chi-square and Cramer's V of every pair.
 
     Uses sum(n^2 / (row * column)): only existing cells are needed, empty
-    ones add nothing. Margins are sums over cells, not over rows.
+    ones add nothing. Margins are sums over cells, not over rows; the shares
+    of a level's cells add up to one, which counts the levels.
     """
     pair = ["col_a", "col_b"]
     rows = cells.groupBy(*pair, "a").agg(F.sum("n").alias("row_n"))
     cols = cells.groupBy(*pair, "b").agg(F.sum("n").alias("col_n"))
-    sizes = rows.groupBy(*pair).agg(
-        F.sum("row_n").alias("n_total"), F.count(F.lit(1)).alias("levels_a")
-    )
-    widths = cols.groupBy(*pair).agg(F.count(F.lit(1)).alias("levels_b"))
     n = F.col("n").cast("double")
-    ratio = (
+    out = (
         cells.join(rows, [*pair, "a"])
         .join(cols, [*pair, "b"])
         .groupBy(*pair)
         .agg(
-            F.sum(n * n / (F.col("row_n") * F.col("col_n"))).alias("ratio"),
+            F.sum("n").alias("n_rows"),
+            F.round(F.sum(n / F.col("row_n"))).cast("long").alias("levels_a"),
+            F.round(F.sum(n / F.col("col_n"))).cast("long").alias("levels_b"),
             F.count(F.lit(1)).alias("n_cells"),
+            F.sum(n * n / (F.col("row_n") * F.col("col_n"))).alias("ratio"),
         )
     )
-    out = ratio.join(sizes, pair).join(widths, pair)
-    chi2 = F.greatest(
-        F.col("n_total") * (F.col("ratio") - 1), F.lit(0.0)
-    )
+    chi2 = F.greatest(F.col("n_rows") * (F.col("ratio") - 1), F.lit(0.0))
     smaller = F.least("levels_a", "levels_b") - 1
     return out.select(
         *pair,
-        F.col("n_total").alias("n_rows"),
+        "n_rows",
         "levels_a",
         "levels_b",
         "n_cells",
         chi2.alias("chi2"),
         F.when(
-            smaller > 0, F.sqrt(chi2 / (F.col("n_total") * smaller))
+            smaller > 0, F.sqrt(chi2 / (F.col("n_rows") * smaller))
         ).alias("cramers_v"),
     )
 
@@ -123,7 +128,7 @@ def phik_matrix(keys: DataFrame, max_margin: int = MAX_MARGIN) -> DataFrame:
     """
     cells = contingency(keys)
     pair = ["col_a", "col_b"]
-    stats = chi_square(cells)
+    stats = settle(chi_square(cells))
     narrow = stats.filter(
         (F.col("levels_a") <= max_margin) & (F.col("levels_b") <= max_margin)
     ).select(*pair)

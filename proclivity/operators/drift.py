@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proclivity.functions.scalar import log_ratio, round4, step_index, str_key
+from proclivity.functions.tables import local_table, settle
 from proclivity.operators.lookups import outer_shares
 from proclivity.operators.profiling import quantile_cuts
 
@@ -43,7 +44,7 @@ def bin_counts(
         F.struct(
             F.lit(c).alias("feature"),
             F.lit("numeric").alias("kind"),
-            step_index(_ordered(df, c), list(points))
+            step_index(c, points)
             .cast("string")
             .alias("category"),
         )
@@ -63,34 +64,50 @@ def bin_counts(
     )
 
 
-def _ordered(df: DataFrame, c: str) -> Column:
-    return F.col(c).cast("double")
-
-
 def shares_of(
     df: DataFrame,
     cuts: Mapping[str, Sequence[float]],
     categorical: Sequence[str],
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """Share of every bin and category; empty bins are present with 0."""
-    counts = bin_counts(df, cuts, categorical, by)
+    """Share of every bin and category; empty bins are present with 0.
+
+    Numeric bins carry the two cut points around them.
+    """
+    counts = settle(bin_counts(df, cuts, categorical, by)).select(
+        *by,
+        *KEYS,
+        F.lit(None).cast("double").alias("cut_lo"),
+        F.lit(None).cast("double").alias("cut_hi"),
+        "n",
+    )
+    if cuts:
+        # every bin once with no rows, so that it exists
+        grid = _bin_grid(df.sparkSession, cuts).withColumn(
+            "n", F.lit(0).cast("long")
+        )
+        for c in by:
+            # a list of batches, as long as the list of files
+            seen = [r[0] for r in counts.select(c).distinct().collect()]
+            grid = grid.withColumn(
+                c, F.explode(F.array(*[F.lit(v) for v in seen]))
+            )
+        counts = counts.unionByName(grid)
+    bins = counts.groupBy(*by, *KEYS).agg(
+        F.max("cut_lo").alias("cut_lo"),
+        F.max("cut_hi").alias("cut_hi"),
+        F.sum("n").alias("n"),
+    )
     per_feature = counts.groupBy(*by, "feature").agg(
         F.sum("n").alias("total")
     )
-    shares = counts.join(per_feature, [*by, "feature"]).select(
-        *by, *KEYS, (F.col("n") / F.col("total")).alias("share")
-    )
-    if not cuts:
-        return shares
-    grid = _bin_grid(df.sparkSession, cuts).select(*KEYS)
-    if by:
-        groups = per_feature.select(*by, "feature").distinct()
-        grid = grid.join(groups, "feature").select(*by, *KEYS)
-    empty = grid.join(shares, [*by, *KEYS], "left_anti").withColumn(
-        "share", F.lit(0.0)
+    return bins.join(per_feature, [*by, "feature"]).select(
+        *by,
+        *KEYS,
+        "cut_lo",
+        "cut_hi",
+        (F.col("n") / F.col("total")).alias("share"),
     )
-    return shares.unionByName(empty)
 
 
 def _bin_grid(
@@ -101,7 +118,8 @@ def _bin_grid(
         edges = [None, *[float(p) for p in points], None]
         for i in range(len(points) + 1):
             rows.append((c, "numeric", str(i), edges[i], edges[i + 1]))
-    return spark.createDataFrame(
+    return local_table(
+        spark,
         rows,
         "feature string, kind string, category string, cut_lo double, "
         "cut_hi double",
@@ -111,20 +129,12 @@ def _bin_grid(
 def data_profile(
     df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]
 ) -> DataFrame:
-    """Profile table: decile bins and category shares of the features."""
+    """Profile table: decile bins and category shares of the features.
+
+    Settled when small, so later drift checks do not scan the old data.
+    """
     cuts = quantile_cuts(df, numeric) if numeric else {}
-    shares = shares_of(df, cuts, categorical)
-    if not cuts:
-        return shares.select(
-            *KEYS,
-            F.lit(None).cast("double").alias("cut_lo"),
-            F.lit(None).cast("double").alias("cut_hi"),
-            "share",
-        )
-    grid = _bin_grid(df.sparkSession, cuts)
-    return shares.join(grid, KEYS, "left").select(
-        *KEYS, "cut_lo", "cut_hi", "share"
-    )
+    return settle(shares_of(df, cuts, categorical))
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -145,23 +155,32 @@ def categorical_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def profile_cuts(profile: DataFrame) -> dict[str, list[float]]:
-    """Cut points of a stored profile (at most nine per numeric feature)."""
-    rows = (
-        profile.filter(F.col("kind") == "numeric")
-        .select("feature", "cut_hi")
-        .collect()
-    )
+def profile_features(
+    profile: DataFrame,
+) -> tuple[dict[str, list[float]], list[str]]:
+    """Cut points per numeric feature, and the categorical features.
+
+    Distinct cut points only: at most ten rows per feature are read,
+    whatever the number of categories.
+    """
+    rows = profile.select("feature", "kind", "cut_hi").distinct().collect()
     cuts: dict[str, list[float]] = {}
+    categorical = []
     for row in rows:
+        if row["kind"] == "categorical":
+            categorical.append(row["feature"])
+            continue
         points = cuts.setdefault(row["feature"], [])
         if row["cut_hi"] is not None:
             points.append(row["cut_hi"])
-    return {c: sorted(points) for c, points in cuts.items()}
+    return (
+        {c: sorted(cuts[c]) for c in sorted(cuts)},
+        sorted(categorical),
+    )
 
 
 def drift_report(
-    profile: DataFrame, df: DataFrame, digits: bool = True
+    profile: DataFrame, df: DataFrame, rounded: bool = True
 ) -> DataFrame:
     """PSI of every profiled feature of `df` against a profile.
 
@@ -169,35 +188,21 @@ def drift_report(
     categories are joined in a full outer join of two share tables, so an
     unseen one counts with an expected share of 0.
     """
-    cuts = profile_cuts(profile)
-    categorical = [
-        r["feature"]
-        for r in profile.filter(F.col("kind") == "categorical")
-        .select("feature")
-        .distinct()
-        .collect()
-    ]
-    actual = shares_of(df, cuts, sorted(categorical))
+    cuts, categorical = profile_features(profile)
+    actual = shares_of(df, cuts, categorical)
     joined = outer_shares(profile, actual, KEYS)
     out = psi(joined, ["feature"])
-    return out.withColumn("psi", round4("psi")) if digits else out
+    return out.withColumn("psi", round4("psi")) if rounded else out
 
 
 def drift_by_batch(
     profile: DataFrame, df: DataFrame, batch: str
 ) -> DataFrame:
     """PSI per batch and feature, all batches in one pass."""
-    cuts = profile_cuts(profile)
-    categorical = sorted(
-        r["feature"]
-        for r in profile.filter(F.col("kind") == "categorical")
-        .select("feature")
-        .distinct()
-        .collect()
-    )
-    actual = shares_of(df, cuts, categorical, [batch])
+    cuts, categorical = profile_features(profile)
+    actual = settle(shares_of(df, cuts, categorical, [batch]))
     # the list of batches is the list of files: the profile once per batch
-    batches = [r[0] for r in df.select(batch).distinct().collect()]
+    batches = [r[0] for r in actual.select(batch).distinct().collect()]
     listed = F.array(*[F.lit(b) for b in batches])
     expected = profile.select(
         F.explode(listed).alias(batch), *KEYS, "share"

@@ -18,30 +18,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from proclivity.functions.exact import exact_quantiles
-from proclivity.functions.scalar import NAN_KEY, str_key
+from proclivity.functions.scalar import NAN_KEY, literal, name, str_key
 
 MAX_LEVELS = 1_000
 
 
-def literal(value: Any) -> str:
-    """SQL text of a Python value."""
-    if value is None:
-        return "NULL"
-    if isinstance(value, bool):
-        return "true" if value else "false"
-    if isinstance(value, float):
-        return f"double('{value!r}')"
-    if isinstance(value, int):
-        return str(value)
-    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{text}'"
-
-
-def name(column: str) -> str:
-    """Quoted column name."""
-    return "`" + column.replace("`", "``") + "`"
-
-
 def key_sql(column: str) -> str:
     """SQL of the category key of a column."""
     return f"coalesce(cast({name(column)} AS STRING), '{NAN_KEY}')"

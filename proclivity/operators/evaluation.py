@@ -30,9 +30,12 @@ from proclivity.functions.scalar import (
     threshold_decision,
 )
 from proclivity.operators.ranking import TopShares
+from proclivity.session import ship_by_value
 
 METRICS = ["precision", "recall", "f1", "roc_auc"]
 
+ship_by_value(__name__)
+
 
 def _counts(target: str, score: str, threshold) -> dict[str, Column]:
     y = F.col(target)
@@ -579,7 +582,7 @@ def bootstrap_ci(
     scores, one task walks through its score range in batches with all
     repeats side by side, and only `repeats` rows per range leave it.
     """
-    cuts = order_cuts(df, score, bucket_rows)
+    cuts, _ = order_cuts(df, score, bucket_rows)
     runs = df.groupBy(score).agg(
         *[F.sum(c).alias(n) for n, c in _positives(target).items()]
     ).withColumn("bucket", step_index(score, cuts))

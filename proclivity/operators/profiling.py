@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from proclivity.functions.exact import exact_quantiles
 from proclivity.functions.scalar import equal_width_bin, str_key
+from proclivity.functions.tables import local_table
 from proclivity.operators.validate import missing, unpivot_counts
 
 
@@ -285,8 +286,8 @@ def cuts_table(df: DataFrame, cuts: Mapping[str, Sequence[float]]) -> DataFrame:
         for c, values in cuts.items()
         for i, v in enumerate(values)
     ]
-    return df.sparkSession.createDataFrame(
-        rows, "feature string, cut_no int, cut double"
+    return local_table(
+        df.sparkSession, rows, "feature string, cut_no int, cut double"
     )
 
 
@@ -297,8 +298,8 @@ def robust_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         (c, q[1], None if q[0] is None else q[2] - q[0])
         for c, q in found.items()
     ]
-    return df.sparkSession.createDataFrame(
-        rows, "column string, median double, iqr double"
+    return local_table(
+        df.sparkSession, rows, "column string, median double, iqr double"
     )
 
 

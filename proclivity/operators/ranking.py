@@ -7,8 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from proclivity.functions.exact import rank_cuts, running_before, score_runs
+from proclivity.functions.exact import (
+    collapse,
+    order_cuts,
+    rank_cuts,
+    running_before,
+)
 from proclivity.functions.scalar import hash_key
+from proclivity.functions.tables import local_table
 
 
 def top_k(df: DataFrame, value: str, name: str, k: int) -> DataFrame:
@@ -53,14 +59,14 @@ class TopShares:
         """Find the cut-off of every share."""
         self.score = score
         self.key = hash_key(id_col, seed)
-        self.n_rows = df.count()
+        cuts, self.n_rows = order_cuts(df, score)
         self.sizes = {s: round(s * self.n_rows) for s in shares}
         self._cut: dict[float, tuple[float, str | None]] = {}
-        self._find(df)
+        self._find(df, cuts)
 
-    def _find(self, df: DataFrame) -> None:
+    def _find(self, df: DataFrame, cuts: Sequence[float]) -> None:
         spark = df.sparkSession
-        runs = score_runs(df, self.score, {"n": F.lit(1)})
+        runs = collapse(df, self.score, {"n": F.lit(1)}, cuts)
         placed = running_before(runs, self.score, ["n"])
         inside = F.lit(False)
         for size in set(self.sizes.values()):
@@ -80,14 +86,18 @@ class TopShares:
                     else:
                         ties.append((share, e[self.score], left))
         if ties:
-            ranks = spark.createDataFrame(
+            ranks = local_table(
+                spark,
                 [(s, i, left) for i, (_, s, left) in enumerate(ties)],
                 f"{self.score} double, __cut int, __rank long",
             )
+            widest = max(e["n"] for e in edges)
             at_edge = df.filter(
                 F.col(self.score).isin([s for _, s, _ in ties])
             )
-            keys = rank_cuts(at_edge, self.key, [self.score], ranks)
+            keys = rank_cuts(
+                at_edge, self.key, [self.score], ranks, widest
+            )
             for row in keys.collect():
                 share, score, _ = ties[row["__cut"]]
                 self._cut[share] = (score, row["__key"])

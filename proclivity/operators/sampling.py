@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from proclivity.functions.exact import rank_part, ranks_table, stratum_counts
+from proclivity.functions.tables import local_table
 from proclivity.spec import TableSpec
 
 
@@ -32,9 +33,9 @@ def stratified_sample(
         return df
     if not exact:
         return df.sample(fraction=frac, seed=seed)
-    counts = stratum_counts(df, [target])
+    counts, largest = stratum_counts(df, [target])
     ranks = ranks_table(counts, {0: F.bround(F.lit(frac) * F.col("__n"))})
-    parts = rank_part(df, id_col, [target], ranks, "__part", seed)
+    parts = rank_part(df, id_col, [target], ranks, "__part", seed, largest)
     return parts.filter(F.col("__part") == 0).drop("__part")
 
 
@@ -85,11 +86,10 @@ def stratified_split(
     out: str = "split",
 ) -> DataFrame:
     """Add `split`: `ceil(test_size * n)` test rows, shared by largest rest."""
-    counts = _quota_of(
-        stratum_counts(df, [target]), test_size, "__n", "__test"
-    )
+    sizes, largest = stratum_counts(df, [target])
+    counts = _quota_of(sizes, test_size, "__n", "__test")
     ranks = ranks_table(counts, {0: F.col("__test")})
-    parts = rank_part(df, id_col, [target], ranks, "__part", seed)
+    parts = rank_part(df, id_col, [target], ranks, "__part", seed, largest)
     return parts.withColumn(
         out, F.when(F.col("__part") == 0, "test").otherwise("train")
     ).drop("__part")
@@ -108,15 +108,16 @@ def train_val_test_split(
 
     Both cuts come from the same histogram, so the second split is free.
     """
-    counts = _quota_of(
-        stratum_counts(df, [target]), test_size, "__n", "__test"
-    ).withColumn("__rest_n", F.col("__n") - F.col("__test"))
+    sizes, largest = stratum_counts(df, [target])
+    counts = _quota_of(sizes, test_size, "__n", "__test").withColumn(
+        "__rest_n", F.col("__n") - F.col("__test")
+    )
     counts = _quota_of(counts, val_size, "__rest_n", "__val")
     ranks = ranks_table(
         counts,
         {0: F.col("__test"), 1: F.col("__test") + F.col("__val")},
     )
-    parts = rank_part(df, id_col, [target], ranks, "__part", seed)
+    parts = rank_part(df, id_col, [target], ranks, "__part", seed, largest)
     return parts.withColumn(
         out,
         F.when(F.col("__part") == 0, "test")
@@ -134,7 +135,7 @@ def stratified_folds(
     out: str = "fold",
 ) -> DataFrame:
     """Add `fold` 0..k-1; class sizes differ by at most one between folds."""
-    counts = stratum_counts(df, [target])
+    counts, largest = stratum_counts(df, [target])
     n = F.col("__n")
     base = F.floor(n / k)
     extra = n % k
@@ -142,7 +143,7 @@ def stratified_folds(
         counts,
         {i: i * base + F.least(F.lit(i), extra) for i in range(1, k)},
     )
-    return rank_part(df, id_col, [target], ranks, out, seed)
+    return rank_part(df, id_col, [target], ranks, out, seed, largest)
 
 
 def cut_batches(
@@ -158,10 +159,10 @@ def cut_batches(
     cuts = [i * rows for i in range(1, n_batches + 1) if i * rows <= total]
     if not cuts:
         return df.withColumn("batch_no", F.lit(1))
-    ranks = spark.createDataFrame(
-        list(enumerate(cuts)), "__cut int, __rank long"
+    ranks = local_table(
+        spark, list(enumerate(cuts)), "__cut int, __rank long"
     )
-    parts = rank_part(df, id_col, [], ranks, "__part", seed)
+    parts = rank_part(df, id_col, [], ranks, "__part", seed, total)
     return (
         parts.filter(F.col("__part") < n_batches)
         .withColumn("batch_no", F.col("__part") + 1)

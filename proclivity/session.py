@@ -3,11 +3,21 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 
+def ship_by_value(module: str) -> None:
+    """Send a module's task functions with the job.
+
+    Executors then need no copy of this package, only numpy and pandas.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def local_session(cpus: str | int = "*", app: str = "proclivity") -> SparkSession:
     """Build a local session for tests and the bench; a cluster has its own."""
     return (
