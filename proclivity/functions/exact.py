@@ -17,16 +17,19 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from proclivity.functions.scalar import hash_key, step_index
+from proclivity.functions.scalar import hash_key, literal, name, step_index
 from proclivity.functions.tables import join_null_safe, local_table, settle
 
 HEX_DIGITS = 4
 SORT_ROWS = 1_000_000
+PLAIN_ROWS = 50_000
 SKETCH_ACCURACY = 10_000
+MAX_BUCKETS = 512
 
 
 # --- ranks in hashed order -------------------------------------------------
@@ -183,51 +186,42 @@ def exact_quantiles(
     df: DataFrame,
     probs: Mapping[str, Iterable[float]],
     sort_rows: int = SORT_ROWS,
+    plain_rows: int = PLAIN_ROWS,
     accuracy: int = SKETCH_ACCURACY,
 ) -> dict[str, list[float | None]]:
     """Exact quantiles with linear interpolation, for several columns at once.
 
-    Missing values are ignored. Columns up to `sort_rows` rows use the
-    built-in exact percentile; above that, where its one value map would grow
-    with the data, each rank is first bracketed by a sketch until the bracket
-    is small enough, so no task sorts more than about `sort_rows` distinct
-    values. Only the few values at the wanted ranks reach the driver.
+    Missing values are ignored. Columns up to `plain_rows` rows use the
+    built-in exact percentile. Its one value map would grow with the data, so
+    above that a sketch brackets every rank, one counting pass places the
+    brackets, and only values inside them are sorted. Brackets are narrowed
+    until none holds more than `sort_rows` rows (or a single value). Only the
+    values at the wanted ranks reach the driver.
     """
-    names = list(probs)
-    wanted = {c: sorted(set(probs[c])) for c in names}
-    data = df.select(*[_number(df, c).alias(c) for c in names])
-    counts = data.agg(*[F.count(c).alias(c) for c in names]).first()
-
+    wanted = {c: sorted(set(p)) for c, p in probs.items()}
+    data = df.select(*[_number(df, c).alias(c) for c in wanted])
+    counts, brackets = _first_look(data, wanted, plain_rows, accuracy)
     found: dict[str, list[float | None]] = {}
-    small = [c for c in names if counts[c] <= sort_rows]
+
+    small = [c for c in wanted if counts[c] <= plain_rows]
     if small:
-        # few enough values for the built-in exact percentile
         row = data.agg(
             *[F.percentile(c, wanted[c]).alias(c) for c in small]
         ).first()
         for c in small:
             at = dict(zip(wanted[c], row[c] or [], strict=False))
             found[c] = [at.get(p) for p in probs[c]]
-    large = [c for c in names if counts[c] > sort_rows]
-    if not large:
+    if not brackets:
         return found
 
-    brackets: list[_Bracket] = []
-    for c in large:
-        n = counts[c]
-        for p in wanted[c]:
-            pos = p * (n - 1)
-            brackets.append(
-                _Bracket(
-                    c, None, None, 0, n, {math.floor(pos), math.ceil(pos)}
-                )
-            )
-    while any(b.size > sort_rows and not b.single for b in brackets):
-        brackets = _narrow(data, brackets, sort_rows, accuracy)
-
+    brackets = _placed(data, counts, brackets)
+    while any(b.size > sort_rows and not b.done for b in brackets):
+        brackets = _narrowed(data, counts, brackets, sort_rows, accuracy)
     values = _values_at(data, brackets)
-    for c in large:
-        row: list[float | None] = []
+    for c in wanted:
+        if c in found:
+            continue
+        row = []
         for p in probs[c]:
             pos = p * (counts[c] - 1)
             lo, hi = math.floor(pos), math.ceil(pos)
@@ -237,29 +231,29 @@ def exact_quantiles(
     return found
 
 
+@dataclass
 class _Bracket:
-    """Closed value range [low, high] known to hold some 0-based ranks."""
+    """Closed value range [low, high] that holds some 0-based ranks."""
 
-    def __init__(self, column, low, high, below, size, ranks):
-        self.column = column
-        self.low = low
-        self.high = high
-        self.below = below
-        self.size = size
-        self.ranks = ranks
+    column: str
+    low: float
+    high: float
+    ranks: set[int]
+    below: int = 0
+    size: int = 0
+    tight: bool = False
 
     @property
-    def single(self) -> bool:
-        return self.low is not None and self.low == self.high
+    def done(self) -> bool:
+        return self.tight or self.low == self.high
 
-    def holds(self) -> Column:
-        x = F.col(self.column)
-        inside = x.isNotNull()
-        if self.low is not None:
-            inside = inside & (x >= F.lit(self.low))
-        if self.high is not None:
-            inside = inside & (x <= F.lit(self.high))
-        return inside
+    @property
+    def cuts(self) -> list[float]:
+        # a value is inside when it is at or above the first and below the
+        # second; NaN is above every number
+        if self.high == math.inf:
+            return [self.low, math.nan]
+        return [self.low, math.nextafter(self.high, math.inf)]
 
 
 def _number(df: DataFrame, c: str) -> Column:
@@ -269,82 +263,168 @@ def _number(df: DataFrame, c: str) -> Column:
     return x
 
 
-def _narrow(data, brackets, sort_rows, accuracy):
-    """One sketch pass and one counting pass over all wide brackets."""
-    wide = [b for b in brackets if b.size > sort_rows and not b.single]
-    kept = [b for b in brackets if b not in wide]
+def _sketch(x: str, steps: Sequence[float], accuracy: int) -> Column:
+    listed = ", ".join(literal(float(s)) for s in steps)
+    return F.expr(f"percentile_approx({x}, array({listed}), {accuracy})")
+
+
+def _around(p: float, margin: float) -> list[float]:
+    return [max(0.0, p - margin), min(1.0, p + margin)]
+
+
+def _first_look(data, wanted, plain_rows, accuracy):
+    """Row counts and, for large columns, one bracket per probability."""
     margin = 3.0 / accuracy
-    sketches = []
-    for i, b in enumerate(wide):
-        inner = [(r - b.below) / max(b.size - 1, 1) for r in b.ranks]
-        lo = max(0.0, min(inner) - margin)
-        hi = min(1.0, max(inner) + margin)
-        x = F.when(b.holds(), F.col(b.column))
-        sketches.append(
-            F.percentile_approx(x, [lo, hi], accuracy).alias(f"s{i}")
+    looks = []
+    for i, (c, ps) in enumerate(wanted.items()):
+        steps = [s for p in ps for s in _around(p, margin)]
+        looks.append(F.count(c).alias(f"n{i}"))
+        looks.append(_sketch(name(c), steps, accuracy).alias(f"s{i}"))
+    row = data.agg(*looks).first()
+    counts, brackets = {}, []
+    for i, (c, ps) in enumerate(wanted.items()):
+        n = counts[c] = row[f"n{i}"]
+        if n <= plain_rows:
+            continue
+        for j, p in enumerate(ps):
+            low, high = row[f"s{i}"][2 * j : 2 * j + 2]
+            pos = p * (n - 1)
+            ranks = {math.floor(pos), math.ceil(pos)}
+            brackets.append(_Bracket(c, low, high, ranks))
+    return counts, brackets
+
+
+def _merged(brackets: list[_Bracket]) -> dict[str, list[_Bracket]]:
+    """Brackets per column in order, overlapping ones joined."""
+    out: dict[str, list[_Bracket]] = {}
+    for b in sorted(brackets, key=lambda b: (b.column, b.low, b.high)):
+        row = out.setdefault(b.column, [])
+        if row and b.low <= row[-1].high:
+            last = row[-1]
+            last.high = max(last.high, b.high)
+            last.ranks |= b.ranks
+            last.tight = last.tight or b.tight
+        else:
+            row.append(b)
+    return out
+
+
+def _positions(
+    data: DataFrame, per_column: Mapping[str, list[_Bracket]]
+) -> DataFrame:
+    """Position of each column's value among the bracket ends, as rows.
+
+    Odd positions are inside a bracket.
+    """
+    cells = []
+    for i, (c, row) in enumerate(per_column.items()):
+        ends = [x for b in row for x in b.cuts]
+        cells.append(
+            F.struct(
+                F.lit(i).alias("c"),
+                step_index(c, ends).alias("at"),
+                F.col(c).alias("v"),
+            )
         )
-    ends = data.agg(*sketches).first()
-    counting = []
+    # array_compact would leave generated code; missing values go here
+    return data.select(F.inline(F.array(*cells))).filter(
+        F.col("v").isNotNull()
+    )
+
+
+def _placed(data, counts, brackets) -> list[_Bracket]:
+    """Count the rows below and inside every bracket in one pass."""
+    per_column = _merged(brackets)
+    rows = (
+        _positions(data, per_column)
+        .groupBy("c", "at")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .collect()
+    )
+    at = {(r["c"], r["at"]): r["n"] for r in rows}
+    out = []
+    for i, row in enumerate(per_column.values()):
+        below, missed = 0, set()
+        for j, b in enumerate(row):
+            below += at.get((i, 2 * j), 0)
+            b.below, b.size = below, at.get((i, 2 * j + 1), 0)
+            below += b.size
+            held = {r for r in b.ranks if b.below <= r < below}
+            missed |= b.ranks - held
+            b.ranks = held
+        if missed:
+            # outside the sketch's promise: look at the whole column
+            ranks = missed.union(*[b.ranks for b in row])
+            whole = _Bracket(row[0].column, -math.inf, math.inf, ranks)
+            whole.size, whole.tight = counts[whole.column], True
+            out.append(whole)
+        else:
+            out += [b for b in row if b.ranks]
+    return out
+
+
+def _narrowed(data, counts, brackets, sort_rows, accuracy):
+    """Sketch again inside the wide brackets and place the smaller ones."""
+    wide = [b for b in brackets if b.size > sort_rows and not b.done]
+    kept = [b for b in brackets if b not in wide]
+    looks = []
     for i, b in enumerate(wide):
-        x = F.col(b.column)
-        lo, hi = ends[f"s{i}"]
-        counting.append(F.count_if(x < F.lit(lo)).alias(f"b{i}"))
-        counting.append(F.count_if(x <= F.lit(hi)).alias(f"u{i}"))
-    placed = data.agg(*counting).first()
+        inside = f"{name(b.column)} BETWEEN {literal(b.low)} AND {literal(b.high)}"
+        x = f"CASE WHEN {inside} THEN {name(b.column)} END"
+        steps = [
+            s
+            for r in sorted(b.ranks)
+            for s in _around((r - b.below) / (b.size - 1), 3.0 / accuracy)
+        ]
+        looks.append(_sketch(x, steps, accuracy).alias(f"s{i}"))
+    ends = data.agg(*looks).first()
     for i, b in enumerate(wide):
-        lo, hi = ends[f"s{i}"]
-        below, upto = placed[f"b{i}"], placed[f"u{i}"]
-        ok = below <= min(b.ranks) and max(b.ranks) < upto
-        if not ok or upto - below >= b.size:
-            # the sketch cannot narrow this one further: sort it as it is
-            b.size = min(b.size, sort_rows)
+        found = [
+            _Bracket(b.column, *ends[f"s{i}"][2 * j : 2 * j + 2], {r})
+            for j, r in enumerate(sorted(b.ranks))
+        ]
+        if any(f.low == b.low and f.high == b.high for f in found):
+            # few distinct values: sorting them is cheap
+            b.tight = True
             kept.append(b)
         else:
-            kept.append(
-                _Bracket(b.column, lo, hi, below, upto - below, b.ranks)
-            )
-    return kept
+            kept += found
+    return _placed(data, counts, kept)
 
 
 def _values_at(data, brackets) -> dict[tuple[str, int], float]:
+    """Values at the wanted ranks; sorts distinct values per bracket."""
     found: dict[tuple[str, int], float] = {}
-    open_ = []
     for b in brackets:
-        if b.single:
-            for r in b.ranks:
-                found[(b.column, r)] = b.low
-        else:
-            open_.append(b)
-    if not open_:
+        if b.low == b.high:
+            found.update({(b.column, r): b.low for r in b.ranks})
+    per_column = _merged([b for b in brackets if b.low != b.high])
+    if not per_column:
         return found
-    tagged = F.array(
-        *[
-            F.when(
-                b.holds(),
-                F.struct(F.lit(i).alias("b"), F.col(b.column).alias("v")),
-            )
-            for i, b in enumerate(open_)
-        ]
-    )
     runs = (
-        data.select(F.explode(F.array_compact(tagged)).alias("t"))
-        .groupBy("t.b", "t.v")
+        _positions(data, per_column)
+        .filter(F.col("at") % 2 == 1)
+        .groupBy("c", "at", "v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    upto = Window.partitionBy("b").orderBy("v")
+    upto = Window.partitionBy("c", "at").orderBy("v")
     runs = runs.withColumn("upto", F.sum("n").over(upto))
-    inner = local_table(
-        data.sparkSession,
-        [(i, r - b.below) for i, b in enumerate(open_) for r in b.ranks],
-        "b int, inner long",
+    columns = list(per_column)
+    inner = [
+        (i, 2 * j + 1, r - b.below, r)
+        for i, c in enumerate(columns)
+        for j, b in enumerate(per_column[c])
+        for r in b.ranks
+    ]
+    ranks = local_table(
+        data.sparkSession, inner, "c int, at int, inner long, rank long"
     )
-    hit = runs.join(inner, "b").filter(
+    hit = runs.join(ranks, ["c", "at"]).filter(
         (F.col("upto") > F.col("inner"))
         & (F.col("upto") - F.col("n") <= F.col("inner"))
     )
     for row in hit.collect():
-        b = open_[row["b"]]
-        found[(b.column, row["inner"] + b.below)] = row["v"]
+        found[(columns[row["c"]], row["rank"])] = row["v"]
     return found
 
 
@@ -355,7 +435,7 @@ def order_cuts(
     df: DataFrame,
     column: str,
     bucket_rows: int = SORT_ROWS,
-    max_buckets: int = 1024,
+    max_buckets: int = MAX_BUCKETS,
 ) -> tuple[list[float], int]:
     """Cut points that split the column's order into buckets of similar size.
 
@@ -364,11 +444,14 @@ def order_cuts(
     Also returns the number of values.
     """
     steps = [i / max_buckets for i in range(1, max_buckets)]
-    x = _number(df, column)
-    row = df.agg(
-        F.count(x).alias("n"),
-        F.percentile_approx(x, steps, SKETCH_ACCURACY).alias("cuts"),
-    ).first()
+    row = (
+        df.select(_number(df, column).alias("x"))
+        .agg(
+            F.count("x").alias("n"),
+            _sketch("x", steps, SKETCH_ACCURACY).alias("cuts"),
+        )
+        .first()
+    )
     buckets = min(max_buckets, math.ceil((row["n"] or 0) / bucket_rows))
     if buckets <= 1:
         return [], row["n"]

@@ -20,7 +20,6 @@ from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.param import Param, Params
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from proclivity.functions.exact import exact_quantiles
 from proclivity.operators import encoders as enc
@@ -33,11 +32,16 @@ LABEL = "__label"
 WEIGHT = "__weight"
 
 
-def balanced_weights(df: DataFrame, target: str) -> dict[Any, float]:
-    """Weight n / (2 * n_class) of each class."""
+def class_sizes(df: DataFrame, target: str) -> dict[Any, int]:
+    """Rows per class."""
     rows = df.groupBy(target).agg(F.count(F.lit(1)).alias("n")).collect()
-    total = sum(r["n"] for r in rows)
-    return {r[target]: total / (2 * r["n"]) for r in rows}
+    return {r[target]: r["n"] for r in rows}
+
+
+def balanced_weights(sizes: Mapping[Any, int]) -> dict[Any, float]:
+    """Weight n / (2 * n_class) of each class."""
+    total = sum(sizes.values())
+    return {label: total / (2 * n) for label, n in sizes.items()}
 
 
 def class_weight(
@@ -48,7 +52,7 @@ def class_weight(
         w = F.when(F.col(target) == 1, F.lit(float(positive))).otherwise(1.0)
         return df.withColumn(out, w)
     return df.withColumn(
-        out, _weight_of(balanced_weights(df, target), target)
+        out, _weight_of(balanced_weights(class_sizes(df, target)), target)
     )
 
 
@@ -295,29 +299,28 @@ class PropensityModel(Estimator):
         p = model_params(self.name, self.getOrDefault(self.settings))
         target = self.spec.target
         features = self.feature_stages(dataset)
+        sizes = class_sizes(dataset, target)
         if self.name == "logreg" or p.get("class_weight") == "balanced":
-            weights = balanced_weights(dataset, target)
+            weights = balanced_weights(sizes)
         else:
             weights = {0: 1.0, 1: float(p.get("scale_pos_weight", 1.0))}
         prepared = dataset
         for stage in features.stages:
             prepared = stage.transform(prepared)
         extra = [p["validation_col"]] if "validation_col" in p else []
+        # the learners cache their own form of the rows; a second copy here
+        # would only take memory from them
         ready = prepared.select(
             FEATURES,
             F.col(target).cast("double").alias(LABEL),
             _weight_of(weights, target).alias(WEIGHT),
             *extra,
-        ).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            # balanced weights add up to the number of rows
-            total = float(ready.count()) if self.name == "logreg" else 1.0
-            estimator = BUILDERS[self.name][1](
-                p, total, features.bins, self.seed
-            )
-            model = estimator.fit(ready)
-        finally:
-            ready.unpersist()
+        )
+        # balanced weights add up to the number of rows
+        estimator = BUILDERS[self.name][1](
+            p, float(sum(sizes.values())), features.bins, self.seed
+        )
+        model = estimator.fit(ready)
         fitted = PipelineModel([*features.stages, model])
         fitted.slots = features.names
         self.slots = features.names

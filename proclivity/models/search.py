@@ -14,7 +14,6 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from proclivity.functions.tables import local_table
 from proclivity.models.builders import PropensityModel
@@ -22,6 +21,7 @@ from proclivity.models.bundle import ModelBundle
 from proclivity.models.training import evaluate
 from proclivity.operators.sampling import stratified_folds
 from proclivity.presets import CV_FOLDS, PARAM_GRIDS, SEARCH_RANGES, SEED
+from proclivity.session import staged
 from proclivity.spec import TableSpec
 
 TRIALS = (
@@ -55,9 +55,9 @@ def grid_search(
     """
     combos = expand_grid(grid or PARAM_GRIDS[name])
     data = stratified_folds(df, spec.id, spec.target, folds, seed)
-    data = data.withColumn(
-        "__label", F.col(spec.target).cast("double")
-    ).withColumn("fold", F.col("fold").cast("int"))
+    data = staged(
+        data.withColumn("__label", F.col(spec.target).cast("double"))
+    )
     model = PropensityModel(name=name, spec=spec, settings={}, seed=seed)
     search = CrossValidator(
         estimator=model,
@@ -115,7 +115,7 @@ def fold_scores(
             name=name, spec=spec, settings=dict(params), seed=seed
         ).fit(train)
         bundle = ModelBundle(name, fitted, spec, fitted.slots)
-        scores.append(float(evaluate(bundle, held)[metric] or 0.0))
+        scores.append(float(evaluate(bundle, held)[0][metric] or 0.0))
         if should_prune(scores, earlier):
             return scores, "PRUNED"
     return scores, "COMPLETE"
@@ -142,15 +142,10 @@ def cv_score(
     seed: int = SEED,
 ) -> float:
     """Mean score over stratified folds."""
-    data = stratified_folds(df, spec.id, spec.target, folds, seed).persist(
-        StorageLevel.MEMORY_AND_DISK
+    data = staged(stratified_folds(df, spec.id, spec.target, folds, seed))
+    scores, _ = fold_scores(
+        name, data, spec, params or {}, folds, metric, seed
     )
-    try:
-        scores, _ = fold_scores(
-            name, data, spec, params or {}, folds, metric, seed
-        )
-    finally:
-        data.unpersist()
     return statistics.fmean(scores)
 
 
@@ -186,27 +181,22 @@ def random_search(
     """Seeded random search; returns best parameters, score, trial table."""
     rng = random.Random(seed)
     spark = df.sparkSession
-    data = stratified_folds(df, spec.id, spec.target, folds, seed).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
+    data = staged(stratified_folds(df, spec.id, spec.target, folds, seed))
     rows, history, sets = [], [], []
-    try:
-        for trial in range(n_trials):
-            params = draw(ranges or SEARCH_RANGES[name], rng)
-            start = time.perf_counter()
-            scores, state = fold_scores(
-                name, data, spec, params, folds, metric, seed,
-                history if prune else (),
-            )
-            history.append(scores)
-            sets.append(params)
-            score = statistics.fmean(scores) if state == "COMPLETE" else None
-            rows.append(
-                (trial, str(params), scores, score,
-                 time.perf_counter() - start, state)
-            )
-    finally:
-        data.unpersist()
+    for trial in range(n_trials):
+        params = draw(ranges or SEARCH_RANGES[name], rng)
+        start = time.perf_counter()
+        scores, state = fold_scores(
+            name, data, spec, params, folds, metric, seed,
+            history if prune else (),
+        )
+        history.append(scores)
+        sets.append(params)
+        score = statistics.fmean(scores) if state == "COMPLETE" else None
+        rows.append(
+            (trial, str(params), scores, score,
+             time.perf_counter() - start, state)
+        )
     done = [r for r in rows if r[3] is not None]
     best = max(done, key=lambda r: r[3])
     return sets[best[0]], best[3], local_table(spark, rows, TRIALS)

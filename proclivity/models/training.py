@@ -17,6 +17,7 @@ from proclivity.operators.cleaning import clean, select_features
 from proclivity.operators.evaluation import METRICS, classification_metrics
 from proclivity.operators.sampling import stratified_sample, stratified_split
 from proclivity.operators.validate import validate_features
+from proclivity.session import staged
 from proclivity.presets import SAMPLE_FRACTION, SEED, TEST_SIZE, THRESHOLD
 from proclivity.sources.readers import check_override
 from proclivity.sources.sinks import (
@@ -39,38 +40,32 @@ def prepare_split(
     The split uses another seed than the sample: the sample keeps the rows
     with the smallest keys, which must not decide who is tested.
     """
-    level = StorageLevel.MEMORY_AND_DISK
-    cleaned = clean(select_features(raw, spec), spec).persist(level)
+    cleaned = staged(clean(select_features(raw, spec), spec))
     sample = stratified_sample(cleaned, spec.id, spec.target, frac, seed)
-    if sample is not cleaned:
-        # keep the small sample instead of the whole cleaned table
-        sample = sample.persist(level)
-        sample.count()
-        cleaned.unpersist()
     validate_features(sample, spec)
-    return stratified_split(
-        sample, spec.id, spec.target, test_size, seed + 1
+    return staged(
+        stratified_split(sample, spec.id, spec.target, test_size, seed + 1)
     )
 
 
 def evaluate(
-    bundle: ModelBundle, df: DataFrame, threshold: float | None = None
-) -> dict[str, float]:
-    """Precision, recall, F1 and AUC of a model on rows with a target."""
+    bundle: ModelBundle,
+    df: DataFrame,
+    threshold: float | None = None,
+    by: Sequence[str] = (),
+) -> list[dict[str, Any]]:
+    """Precision, recall, F1 and AUC of a model, one row per group."""
     target = bundle.spec.target
-    scored = bundle.probability(df, [target]).persist(
+    scored = bundle.probability(df, [*by, target]).persist(
         StorageLevel.MEMORY_AND_DISK
     )
     try:
-        row = classification_metrics(
-            scored, target, "probability", threshold or bundle.threshold
-        ).first()
+        rows = classification_metrics(
+            scored, target, "probability", threshold or bundle.threshold, by
+        ).collect()
     finally:
         scored.unpersist()
-    return {
-        **{m: row[m] for m in METRICS},
-        "n_rows": row["n_rows"],
-    }
+    return [row.asDict() for row in rows]
 
 
 def fit_and_evaluate(
@@ -83,7 +78,6 @@ def fit_and_evaluate(
 ) -> ModelBundle:
     """Fit one model on the train part; metrics on train and test."""
     train = split.filter(F.col("split") == "train")
-    test = split.filter(F.col("split") == "test")
     estimator = PropensityModel(
         name=name, spec=spec, settings=dict(params or {}), seed=seed
     )
@@ -91,13 +85,14 @@ def fit_and_evaluate(
     fitted = estimator.fit(train)
     seconds = time.perf_counter() - start
     bundle = ModelBundle(name, fitted, spec, fitted.slots, threshold)
-    on_train, on_test = evaluate(bundle, train), evaluate(bundle, test)
+    # both parts are scored and measured in one pass
+    parts = {r["split"]: r for r in evaluate(bundle, split, by=["split"])}
     bundle.metrics = {
-        "train": {m: on_train[m] for m in METRICS},
-        "test": {m: on_test[m] for m in METRICS},
+        "train": {m: parts["train"][m] for m in METRICS},
+        "test": {m: parts["test"][m] for m in METRICS},
         "fit_seconds": round(seconds, 2),
-        "n_train": on_train["n_rows"],
-        "n_test": on_test["n_rows"],
+        "n_train": parts["train"]["n_rows"],
+        "n_test": parts["test"]["n_rows"],
     }
     return bundle
 
@@ -138,21 +133,19 @@ def train_models(
     params: Mapping[str, Any] | None = None,
     seed: int = SEED,
 ) -> DataFrame:
-    """Fit several models on one split and compare them on its test part."""
+    """Fit several models on one split and compare them on its test part.
+
+    Give a split that is stored (`prepare_split` stores it), not one that is
+    computed anew for every pass.
+    """
     check_override(params, names)
     spark = split.sparkSession
-    split = split.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        bundles = []
-        for name in names:
-            bundle = fit_and_evaluate(
-                name, split, spec, params, threshold, seed
-            )
-            if out_dir is not None:
-                save_run(bundle, out_dir, spark)
-            bundles.append(bundle)
-    finally:
-        split.unpersist()
+    bundles = []
+    for name in names:
+        bundle = fit_and_evaluate(name, split, spec, params, threshold, seed)
+        if out_dir is not None:
+            save_run(bundle, out_dir, spark)
+        bundles.append(bundle)
     table = metric_rows(spark, bundles)
     if out_dir is not None:
         write_comparison(table, f"{out_dir}/comparison")

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from proclivity.functions.exact import exact_quantiles
+from proclivity.functions.tables import settle
+from proclivity.session import staged
 from proclivity.functions.scalar import NAN_KEY, literal, name, str_key
 
 MAX_LEVELS = 1_000
@@ -271,14 +273,34 @@ def fit_category_index(
 def category_dictionary(df: DataFrame, column: str) -> DataFrame:
     """Distinct values with their code, as a table (value, code).
 
-    For dictionaries that are joined instead of held as literals; the window
-    runs over the distinct values.
+    For dictionaries too large for literals. The distinct values are range
+    partitioned and stored with their partition number, so the sort runs in
+    parallel and every later pass sees the same partitions; the sizes of the
+    partitions give the offsets.
     """
-    values = df.filter(F.col(column).isNotNull()).select(column).distinct()
-    order = Window.orderBy(column)
-    return values.select(
-        F.col(column).alias("value"),
-        (F.dense_rank().over(order) - 1).alias("code"),
+    values = (
+        df.filter(F.col(column).isNotNull())
+        .select(F.col(column).alias("value"))
+        .distinct()
+    )
+    placed = staged(
+        values.repartitionByRange("value").withColumn(
+            "__part", F.spark_partition_id()
+        )
+    )
+    ahead = Window.orderBy("__part").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    offsets = settle(
+        placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
+    ).select(
+        "__part",
+        F.coalesce(F.sum("__size").over(ahead), F.lit(0)).alias("__offset"),
+    )
+    inside = Window.partitionBy("__part").orderBy("value")
+    return placed.join(offsets, "__part").select(
+        "value",
+        (F.col("__offset") + F.row_number().over(inside) - 1).alias("code"),
     )
 
 
@@ -343,20 +365,24 @@ def target_mean_oof(
     fold); a hot category is split by adaptive execution.
     """
     y = F.col(target).cast("double")
-    cells = df.groupBy(str_key(column).alias("__k"), fold).agg(
-        F.sum(y).alias("__s"), F.count(F.lit(1)).alias("__c")
+    cells = settle(
+        df.groupBy(str_key(column).alias("__k"), fold).agg(
+            F.sum(y).alias("__s"), F.count(F.lit(1)).alias("__c")
+        )
     )
     totals = cells.groupBy("__k").agg(
         F.sum("__s").alias("__ts"), F.sum("__c").alias("__tc")
     )
     prior = df.agg(F.avg(y)).scalar()
-    means = cells.join(totals, "__k").select(
-        "__k",
-        F.col(fold).alias("__f"),
-        (
-            (F.col("__ts") - F.col("__s") + prior * weight)
-            / (F.col("__tc") - F.col("__c") + weight)
-        ).alias(out),
+    means = settle(
+        cells.join(totals, "__k").select(
+            "__k",
+            F.col(fold).alias("__f"),
+            (
+                (F.col("__ts") - F.col("__s") + prior * weight)
+                / (F.col("__tc") - F.col("__c") + weight)
+            ).alias(out),
+        )
     )
     match = (str_key(column) == F.col("__k")) & (
         F.col(fold) == F.col("__f")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proclivity.functions.scalar import step_index, str_key
+from proclivity.functions.tables import settle
 
 
 def lookup_default(
@@ -25,8 +26,11 @@ def lookup_default(
     stored, so the table cannot have more than 1 / threshold rows.
     """
     fallback = default.select(value).scalar()
-    small = table.select(
-        F.col("category").alias("__category"), F.col(value).alias("__value")
+    small = settle(
+        table.select(
+            F.col("category").alias("__category"),
+            F.col(value).alias("__value"),
+        )
     )
     joined = df.join(small, str_key(column) == F.col("__category"), "left")
     return joined.withColumn(out, F.coalesce("__value", fallback)).drop(
@@ -78,9 +82,16 @@ def bin_lookup(
 
 
 def map_back_share(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Attach to every row the share (in %) of its own category."""
+    """Attach to every row the share (in %) of its own category.
+
+    A small share table is a local relation and is broadcast; a large one is
+    joined by shuffle, where adaptive execution splits hot categories.
+    """
     total = df.agg(F.count(F.lit(1))).scalar()
-    shares = df.groupBy(column).agg(F.count(F.lit(1)).alias("__n")).select(
+    counts = settle(
+        df.groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
+    )
+    shares = counts.select(
         F.col(column), (F.col("__n") * 100.0 / total).alias(out)
     )
     return df.join(shares, column, "left")

@@ -362,9 +362,11 @@ def near_duplicates(
     For every column: group on all the others and keep groups with at least
     two values of the left-out column. A first pass groups on 8-byte hashes,
     which shuffles little and drops most rows; the candidates are then
-    grouped on the real values, so hash collisions cannot count.
+    grouped on the real values, so hash collisions cannot count. Equal rows
+    collapse before anything is multiplied.
     """
     columns = list(columns)
+    distinct = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
     keys = [
         F.struct(
             F.lit(i).alias("left_out"),
@@ -375,7 +377,7 @@ def near_duplicates(
         )
         for i, col in enumerate(columns)
     ]
-    hashed = df.select(*columns, F.inline(F.array(*keys)))
+    hashed = distinct.select("__n", *columns, F.inline(F.array(*keys)))
     candidates = (
         hashed.groupBy("left_out", "h")
         .agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
@@ -390,7 +392,7 @@ def near_duplicates(
     groups = (
         suspect.groupBy("left_out", *others)
         .agg(
-            F.count(F.lit(1)).alias("n"),
+            F.sum("__n").alias("n"),
             F.min("v").alias("lo"),
             F.max("v").alias("hi"),
         )

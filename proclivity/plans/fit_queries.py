@@ -7,7 +7,6 @@ the answer does not depend on the fitted numbers there is a SQL answer too.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from proclivity.models import builders, search, training
 from proclivity.models.bundle import ModelBundle
@@ -35,6 +34,7 @@ from proclivity.plans.frames import (
 from proclivity.plans.model_queries import _metrics_cte
 from proclivity.plans.profile_queries import DECILES_SQL
 from proclivity.plans.retrain import run_cycle
+from proclivity.session import staged
 from proclivity.sources import sinks
 from proclivity.streaming import arriving
 
@@ -72,9 +72,7 @@ def _columns():
 
 def _split(spark, sf):
     df = creditors(spark, sf).select(*_columns())
-    return stratified_split(df, "id", "y").persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
+    return staged(stratified_split(staged(df), "id", "y"))
 
 
 def _fit(spark, sf, name, params=None):
@@ -97,7 +95,6 @@ def _metrics_of(spark, bundle):
 def _fit_query(name):
     def run(spark, sf):
         split, bundle = _fit(spark, sf, name)
-        split.unpersist()
         return _metrics_of(spark, bundle)
 
     return run
@@ -112,7 +109,7 @@ query("fit_all_categorical")(_fit_query("gbt_all_categorical"))
 
 @query("early_stopping_fit")
 def early_stopping_fit(spark, sf):
-    df = creditors(spark, sf).select(*_columns())
+    df = staged(creditors(spark, sf).select(*_columns()))
     parts = train_val_test_split(df, "id", "y", 0.25, 0.03).filter(
         F.col("split") != "test"
     )
@@ -134,10 +131,13 @@ def early_stopping_fit(spark, sf):
     )
 
 
-@query("fit_and_evaluate")
+@query(
+    "fit_and_evaluate",
+    f"""WITH {OC} SELECT CAST(count(*) - ceil(0.25 * count(*)) AS BIGINT)
+      AS n_train, CAST(ceil(0.25 * count(*)) AS BIGINT) AS n_test FROM oc""",
+)
 def fit_and_evaluate(spark, sf):
     split, bundle = _fit(spark, sf, "logreg")
-    split.unpersist()
     rows = [(bundle.metrics["n_train"], bundle.metrics["n_test"])]
     return training.local_table(spark, rows, "n_train long, n_test long")
 
@@ -157,7 +157,6 @@ def train_models(spark, sf):
 @query("feature_names")
 def feature_names(spark, sf):
     split, bundle = _fit(spark, sf, "gbt")
-    split.unpersist()
     rows = list(enumerate(bundle.feature_names))
     return training.local_table(spark, rows, "slot int, feature string")
 
@@ -165,14 +164,12 @@ def feature_names(spark, sf):
 @query("feature_importance")
 def feature_importance(spark, sf):
     split, bundle = _fit(spark, sf, "random_forest")
-    split.unpersist()
     return rounded(bundle.importance(spark))
 
 
 @query("importance_sorted")
 def importance_sorted(spark, sf):
     split, bundle = _fit(spark, sf, "logreg")
-    split.unpersist()
     weights = rounded(bundle.importance(spark))
     return ranking.top_k(
         weights, "importance", "feature", len(bundle.feature_names)
@@ -186,7 +183,6 @@ def model_comparison(spark, sf):
         training.fit_and_evaluate(n, split, SCORING_SPEC, SMALL[n])
         for n in ("logreg", "gbt")
     ]
-    split.unpersist()
     return sinks.rounded(training.metric_rows(spark, bundles))
 
 
@@ -223,7 +219,6 @@ def sink_comparison(spark, sf):
 @query("sink_run_artifacts")
 def sink_run_artifacts(spark, sf):
     split, bundle = _fit(spark, sf, "logreg")
-    split.unpersist()
     path = training.save_run(bundle, scratch(spark), spark)
     return spark.read.schema("feature string, importance double").csv(
         f"{path}/feature_importance", header=True
@@ -261,14 +256,12 @@ def gate_reload(spark, sf):
     test = split.filter(F.col("split") == "test").drop("split")
     control = control_rows(test, "id")
     gate = reload_gate(bundle.predict(control), again.predict(control), "id")
-    split.unpersist()
     return gate_rows(spark, [gate])
 
 
 @query("score_batch")
 def score_batch(spark, sf):
     split, bundle = _fit(spark, sf, "logreg")
-    split.unpersist()
     new = creditors(spark, sf).select("id", *SCORING_SPEC.features)
     return rounded(bundle.predict(new))
 
@@ -277,7 +270,7 @@ def score_batch(spark, sf):
 
 
 def _search_data(spark, sf):
-    return creditors(spark, sf).select(*_columns())
+    return staged(creditors(spark, sf).select(*_columns()))
 
 
 @query("grid_search")
@@ -332,7 +325,16 @@ CYCLE_LIMITS = GateLimits(
 )
 
 
-@query("retrain_cycle")
+@query(
+    "retrain_cycle",
+    f"""WITH {OC}, b AS (SELECT batch_no, count(*) >= 100
+      AND abs(avg(CAST(y AS DOUBLE)) - 0.33) <= 0.1 AS ok,
+      count(*) FILTER (id % 97 = 0) AS n_missing FROM oc GROUP BY batch_no)
+    SELECT CAST(batch_no AS INTEGER) AS cycle, CASE WHEN ok THEN 'deployed'
+      ELSE 'rejected_data' END AS status FROM b
+    UNION ALL SELECT 3, CASE WHEN n_missing > 0 THEN 'rejected_data'
+      ELSE 'deployed' END FROM b WHERE batch_no = 2""",
+)
 def retrain_cycle(spark, sf):
     registry = ModelRegistry(spark, scratch(spark))
     df = creditors(spark, sf).select(*_columns(), "batch_no")
@@ -363,7 +365,6 @@ def stream_score(spark, sf):
     from pyspark.sql import types as T
 
     split, bundle = _fit(spark, sf, "logreg")
-    split.unpersist()
     base = scratch(spark)
     creditors(spark, sf).select("id", *SCORING_SPEC.features).write.parquet(
         f"{base}/in"

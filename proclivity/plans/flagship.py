@@ -10,6 +10,7 @@ from proclivity.operators.cleaning import clean
 from proclivity.operators.encoders import fit_encoded_features
 from proclivity.operators.evaluation import classification_metrics
 from proclivity.operators.sampling import stratified_split
+from proclivity.session import staged
 from proclivity.plans.catalog import query, rounded
 from proclivity.plans.frames import (
     MARKER,
@@ -85,7 +86,8 @@ ORDINAL = (
 )
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Clean, split, fit encoders on train, score test with a linear rule."""
-    cleaned = clean(messy(spark, sf), SPEC)
+    # stored once, then read by columns: the split and every encoder pass
+    cleaned = staged(clean(messy(spark, sf), SPEC))
     parts = stratified_split(cleaned, "id", "y", 0.25)
     train = parts.filter(F.col("split") == "train")
     test = parts.filter(F.col("split") == "test")

@@ -100,7 +100,7 @@ def category_index(spark, sf):
 @query(
     "category_dictionary",
     f"""WITH {OC} SELECT o_custkey AS value, CAST(row_number() OVER (
-    ORDER BY o_custkey) - 1 AS INTEGER) AS code
+    ORDER BY o_custkey) - 1 AS BIGINT) AS code
     FROM (SELECT DISTINCT o_custkey FROM oc) t""",
 )
 def category_dictionary(spark, sf):

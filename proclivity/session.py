@@ -5,9 +5,10 @@ from __future__ import annotations
 import os
 import sys
 import tempfile
+import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ship_by_value(module: str) -> None:
@@ -41,19 +42,25 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
+        # set by the caller on the context, or by this function before
         folder = spark.sparkContext.getCheckpointDir()
     if folder is not None:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     folder = tempfile.mkdtemp(prefix="proclivity-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
-def materialise(df, eager: bool = True):
-    """Cut the lineage of `df` with a reliable checkpoint."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager)
+def staged(df: DataFrame) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    Cuts the lineage of a table that is read many times: lost executors lose
+    nothing, later passes read only the columns they need, and no executor
+    memory is held. The folder lives as long as the cluster keeps its
+    checkpoints.
+    """
+    path = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
