@@ -19,13 +19,20 @@ import math
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from proclivity.functions.scalar import hash_key, literal, name, step_index
+from proclivity.functions.scalar import (
+    comparison_tree,
+    hash_key,
+    literal,
+    name,
+    step_index,
+)
 from proclivity.functions.tables import join_null_safe, local_table, settle
 
 HEX_DIGITS = 4
+LITERAL_STRATA = 64
 SORT_ROWS = 1_000_000
 PLAIN_ROWS = 50_000
 SKETCH_ACCURACY = 10_000
@@ -140,22 +147,25 @@ def rank_part(
     ranks = settle(ranks)
     positive = ranks.filter(F.col("__rank") > 0)
     cuts = settle(rank_cuts(df, key, strata, positive, largest))
-    if not strata:
-        keys = sorted(r["__key"] for r in cuts.collect())
-        nothing = ranks.count() - positive.count()
-        behind = F.lit(nothing)
-        for k in keys:
-            behind = behind + (key > F.lit(k)).cast("int")
-        return df.withColumn(out, behind)
     # a rank of 0 has the empty key, which lies before every row
     nothing = ranks.filter(F.col("__rank") <= 0).select(
         *strata, "__cut", F.lit("").alias("__key")
     )
+    cuts = cuts.unionByName(nothing)
     per_stratum = settle(
-        cuts.unionByName(nothing)
-        .groupBy(*strata)
-        .agg(F.sort_array(F.collect_list("__key")).alias("__cuts"))
+        cuts.groupBy(*strata).agg(
+            F.sort_array(F.collect_list("__key")).alias("__cuts")
+        ),
+        LITERAL_STRATA,
     )
+    if per_stratum.isLocal():
+        part = _part_sql(per_stratum.collect(), strata)
+        return (
+            df.withColumn("__key", key)
+            .withColumn(out, F.expr(part))
+            .drop("__key")
+        )
+    # many strata: an ordinary join instead of literals
     joined = join_null_safe(df, per_stratum, strata, "left")
     behind = F.size(F.filter("__cuts", lambda c: c < key))
     return joined.withColumn(
@@ -163,6 +173,18 @@ def rank_part(
     ).drop("__cuts")
 
 
+def _part_sql(rows: Sequence[Row], strata: Sequence[str]) -> str:
+    """Cut keys as literals: a few comparisons per row and no join."""
+    whens = []
+    for row in rows:
+        inside = comparison_tree("__key", row["__cuts"], "<=")
+        if not strata:
+            return inside
+        same = " AND ".join(f"{name(c)} <=> {literal(row[c])}" for c in strata)
+        whens.append(f"WHEN {same} THEN {inside}")
+    return f"CASE {' '.join(whens)} ELSE 0 END" if whens else "0"
+
+
 def ranks_table(
     df: DataFrame, ranks: Mapping[int, Column]
 ) -> DataFrame:

@@ -122,25 +122,33 @@ def name(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
 
-def step_index(column: str, cuts: Sequence[float]) -> Column:
-    """Number of cut points `<= x`, as a balanced tree of comparisons.
+def comparison_tree(x: str, cuts: Sequence[Any], op: str) -> str:
+    """SQL of the position of `x` among sorted cuts, by halving.
 
-    A missing value fails every comparison and therefore lands in the last
-    bin. The tree stays inside generated code and needs only log2(cuts)
-    comparisons per row.
+    `x op cut` decides for the lower half. The tree stays inside generated
+    code and needs only log2(cuts) comparisons per row.
     """
-    x = f"cast({name(column)} AS DOUBLE)"
 
     def build(lo: int, hi: int) -> str:
         if lo == hi:
             return str(lo)
         mid = (lo + hi) // 2
         return (
-            f"CASE WHEN {x} < {literal(float(cuts[mid]))} "
+            f"CASE WHEN {x} {op} {literal(cuts[mid])} "
             f"THEN {build(lo, mid)} ELSE {build(mid + 1, hi)} END"
         )
 
-    return F.expr(build(0, len(cuts)))
+    return build(0, len(cuts))
+
+
+def step_index(column: str, cuts: Sequence[float]) -> Column:
+    """Number of cut points `<= x`.
+
+    A missing value fails every comparison and therefore lands in the last
+    bin.
+    """
+    x = f"cast({name(column)} AS DOUBLE)"
+    return F.expr(comparison_tree(x, [float(c) for c in cuts], "<"))
 
 
 def equal_width_bin(
