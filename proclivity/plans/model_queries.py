@@ -324,12 +324,12 @@ def _confusion(t: float, score: str = "score") -> str:
                   count(*) FILTER ({score} < {t} AND y = 0) AS tn FROM oc)"""
 
 
-SCORES = """round(CASE WHEN tp + fp = 0 THEN 0.0
-      ELSE tp / CAST(tp + fp AS DOUBLE) END, 6) AS precision,
-    round(CASE WHEN tp + fn = 0 THEN 0.0
-      ELSE tp / CAST(tp + fn AS DOUBLE) END, 6) AS recall,
-    round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0
-      ELSE 2 * tp / CAST(2 * tp + fp + fn AS DOUBLE) END, 6) AS f1"""
+PRECISION = "CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / CAST(tp + fp AS DOUBLE) END"
+RECALL = "CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / CAST(tp + fn AS DOUBLE) END"
+F1 = """CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0
+      ELSE 2 * tp / CAST(2 * tp + fp + fn AS DOUBLE) END"""
+SCORES = f"""round({PRECISION}, 6) AS precision, round({RECALL}, 6) AS recall,
+    round({F1}, 6) AS f1"""
 
 
 @query(
@@ -428,7 +428,8 @@ def _metrics_cte(name: str, source: str, score: str, t: float) -> str:
     {name}_c AS (SELECT count(*) FILTER ({score} >= {t} AND y = 1) AS tp,
       count(*) FILTER ({score} >= {t} AND y = 0) AS fp,
       count(*) FILTER ({score} < {t} AND y = 1) AS fn FROM {source}),
-    {name} AS (SELECT {SCORES}, auc AS roc_auc FROM {name}_c, {name}_a)"""
+    {name} AS (SELECT {PRECISION} AS precision, {RECALL} AS recall,
+      {F1} AS f1, auc AS roc_auc FROM {name}_c, {name}_a)"""
 
 
 @query(
@@ -450,8 +451,8 @@ def _metrics_cte(name: str, source: str, score: str, t: float) -> str:
       WHEN abs(a.roc_auc - b.roc_auc) > 0.05 THEN 'unusual'
       WHEN abs(a.roc_auc - b.roc_auc) > 0.02 THEN 'small gap'
       ELSE 'good' END AS verdict FROM mtr a, mte b)
-    SELECT metric, round(train, 5) AS train, round(test, 5) AS test,
-           round(train - test, 5) AS difference, verdict FROM rows, v""",
+    SELECT metric, round(train, 6) AS train, round(test, 6) AS test,
+           round(train - test, 6) AS difference, verdict FROM rows, v""",
 )
 def train_test_gap(spark, sf):
     parts = stratified_split(
@@ -463,14 +464,7 @@ def train_test_gap(spark, sf):
         )
         for side in ("train", "test")
     ]
-    out = ev.train_test_gap(*metrics)
-    return out.select(
-        "metric",
-        F.round("train", 5).alias("train"),
-        F.round("test", 5).alias("test"),
-        F.round("difference", 5).alias("difference"),
-        "verdict",
-    )
+    return rounded(ev.train_test_gap(*metrics))
 
 
 SLICES_SQL = """
@@ -686,8 +680,9 @@ def bootstrap_ci(spark, sf):
     f"""WITH {OC}, r AS (SELECT y, CASE WHEN in_debt = 'No'
       AND o_orderpriority <= '3' THEN 1.0 ELSE 0.0 END AS rule FROM oc),
     {_metrics_cte("m", "r", "rule", 0.5)}
-    SELECT round((SELECT avg(rule) FROM r), 6) AS flagged_share, precision,
-           recall, f1, round(roc_auc, 6) AS roc_auc FROM m""",
+    SELECT round((SELECT avg(rule) FROM r), 6) AS flagged_share,
+      round(precision, 6) AS precision, round(recall, 6) AS recall,
+      round(f1, 6) AS f1, round(roc_auc, 6) AS roc_auc FROM m""",
 )
 def rule_baseline(spark, sf):
     rule = (F.col("in_debt") == "No") & (F.col("o_orderpriority") <= "3")
