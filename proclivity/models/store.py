@@ -107,17 +107,26 @@ class ModelRegistry:
             ),
         )
 
+    def next_version(self) -> str:
+        """Number of the version that is registered next."""
+        return events_of.register(self.events(), "").first()["version"]
+
     def register(
         self,
         bundle: ModelBundle,
         status: str,
         meta: dict[str, Any],
         profile: DataFrame,
+        saved: bool = False,
     ) -> str:
-        """Store a model as the next version."""
+        """Record a model as the next version.
+
+        `saved` tells that the model already lies in that version's folder.
+        """
         rows = events_of.register(self.events(), status)
         version = rows.first()["version"]
-        bundle.save(self.model_path(version))
+        if not saved:
+            bundle.save(self.model_path(version))
         self._append("profiles", store_profile(profile, version))
         self._append_events(rows, json.dumps(meta))
         return version

@@ -29,6 +29,7 @@ from proclivity.functions.scalar import (
     str_key,
     threshold_decision,
 )
+from proclivity.functions.tables import settle
 from proclivity.operators.ranking import TopShares
 from proclivity.session import ship_by_value
 
@@ -293,12 +294,18 @@ def to_slices(
     columns: Sequence[str],
     bands: Mapping[str, tuple],
     keep: Sequence[str],
+    whole: bool = False,
 ) -> DataFrame:
-    """One row per (row, slice): each row belongs to one slice per column."""
+    """One row per (row, slice): each row belongs to one slice per column.
+
+    With `whole`, the table itself is one more slice.
+    """
     pairs = [(c, str_key(c)) for c in columns] + [
         (c, age_band(c, edges, labels))
         for c, (edges, labels) in bands.items()
     ]
+    if whole:
+        pairs.append((WHOLE, F.lit(WHOLE)))
     return df.select(
         *keep,
         F.inline(
@@ -316,6 +323,7 @@ def to_slices(
 
 
 SLICE = ["slice_col", "slice_value"]
+WHOLE = "__whole"
 
 
 def slice_auc(
@@ -365,12 +373,24 @@ def score_model(
     bands: Mapping[str, tuple] | None = None,
     min_slice_rows: int = 200,
 ) -> tuple[DataFrame, DataFrame]:
-    """Rounded metrics and the slice table of one scored table."""
-    metrics = classification_metrics(scored, target, score, threshold)
-    overall = metrics.select(*[round4(m).alias(m) for m in METRICS])
-    slices = slice_auc(
-        scored, target, score, columns, bands, min_slice_rows
-    )
+    """Rounded metrics and the slice table of one scored table.
+
+    The whole table is measured as one more slice, so both come from the same
+    pass; the few result rows are settled.
+    """
+    long = to_slices(scored, columns, bands or {}, [target, score], True)
+    rows = settle(
+        classification_metrics(long, target, score, threshold, SLICE)
+    )
+    whole = F.col("slice_col") == WHOLE
+    overall = rows.filter(whole).select(
+        *[round4(m).alias(m) for m in METRICS]
+    )
+    slices = rows.filter(
+        ~whole
+        & (F.col("n_rows") >= min_slice_rows)
+        & F.col("roc_auc").isNotNull()
+    ).select(*SLICE, "n_rows", round4("roc_auc").alias("roc_auc"))
     return overall, slices
 
 

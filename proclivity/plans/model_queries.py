@@ -1058,8 +1058,16 @@ def gate_top_features(spark, sf):
     UNION ALL {SLICES_GATE_SQL}""",
 )
 def quality_gates(spark, sf):
-    old, new = _overall(spark, sf)
-    old_slices, new_slices = _slices(spark, sf)
+    df = customers(spark, sf)
+    (old, old_slices), (new, new_slices) = (
+        (overall.first().asDict(), slices)
+        for overall, slices in (
+            ev.score_model(
+                df, "y", score, 0.5, SLICE_COLUMNS, SLICE_BANDS
+            )
+            for score in ("score", "score_b")
+        )
+    )
     gates = gating.quality_gates(new, new_slices, LIMITS, old, old_slices)
     return _gate_table(spark, gates)
 
