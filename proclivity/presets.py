@@ -1,4 +1,4 @@
-"""Ready-made settings for the insurance cross-sell customer table."""
+"""Ready-made settings for the default customer table."""
 
 from __future__ import annotations
 
