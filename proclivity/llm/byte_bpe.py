@@ -19,12 +19,11 @@ import ahocorasick
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from proclivity.llm.chunks import LONGEST_KEPT, Memo
-from proclivity.llm.common import map_batches
+from proclivity.llm.common import map_batches, schema
 
-SCHEMA = StructType.fromDDL(
+SCHEMA = schema(
     "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 )
 

@@ -9,13 +9,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructType,
+)
+
+KINDS = {
+    "long": LongType(),
+    "int": IntegerType(),
+    "double": DoubleType(),
+    "string": StringType(),
+    "binary": BinaryType(),
+    "boolean": BooleanType(),
+    "longs": ArrayType(LongType()),
+    "ints": ArrayType(IntegerType()),
+}
 
 #: Words of the contracts are what this splits: bytes.split() without
 #: arguments cuts at exactly 0x20 and 0x09-0x0D.
 WORD_SPACE = "\x20\x09-\x0d"
 
 
+def schema(fields: str) -> StructType:
+    """A schema from "name kind, name kind"; needs no session."""
+    out = StructType()
+    for field in fields.split(","):
+        name, kind = field.split()
+        out = out.add(name, KINDS[kind])
+    return out
+
+
 def words(text: str | None) -> list[bytes]:
     """Words of a text as UTF-8; none for null."""
     return text.encode().split() if text else []
@@ -58,14 +87,14 @@ def partitions_for(df: DataFrame) -> int:
 def map_batches(
     df: DataFrame,
     fn: Callable[[dict[str, list]], dict[str, list]],
-    schema: StructType,
+    fields: StructType,
 ) -> DataFrame:
     """Map Arrow batches given as a list per column.
 
     Spark bounds a batch by spark.sql.execution.arrow.maxRecordsPerBatch and
     maxBytesPerBatch, so a task never holds more than that of its input.
     """
-    arrow = to_arrow_schema(schema)
+    arrow = to_arrow_schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -78,7 +107,7 @@ def map_batches(
                 schema=arrow,
             )
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run, fields)
 
 
 def text_key() -> list:
