@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from proclivity.llm import byte_bpe
+from proclivity.llm import byte_bpe, licenses, packing, warc
 from proclivity.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,3 +32,48 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.path("byte_bpe_50k.tiktoken"),
         public_tokenizers.PATTERN,
     )
+
+
+@query
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pieces_of(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+    )
+    return packing.pack(pieces)
+
+
+@query
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op8_warc_members"] = """
+WITH b AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
+h AS (
+  SELECT page_id, url, html, sha1(html) AS digest,
+         max(page_id) OVER (PARTITION BY html) AS last
+  FROM b),
+bits AS (
+  SELECT page_id, url, html, last,
+    [list_position(
+       ['0','1','2','3','4','5','6','7','8','9','a','b','c','d','e','f'],
+       digest[i]) - 1 FOR i IN range(1, 41)] AS nibbles
+  FROM h)
+SELECT page_id, url, strlen(html) AS payload_bytes,
+  array_to_string([
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+      (((nibbles[(5 * k) // 4 + 1] * 256
+         + coalesce(nibbles[(5 * k) // 4 + 2], 0) * 16
+         + coalesce(nibbles[(5 * k) // 4 + 3], 0))
+        // (1 << (7 - (5 * k) % 4))) % 32 + 1)::INT]
+    FOR k IN range(0, 32)], '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
+FROM bits
+"""
