@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from proclivity.llm import byte_bpe, licenses, packing, warc
+from proclivity.llm import byte_bpe, fertility, licenses, packing, warc
 from proclivity.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,21 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def rated(docs: DataFrame) -> DataFrame:
+    """Fertility verdicts with the production vocabularies."""
+    return fertility.rate(
+        docs,
+        public_tokenizers.path("piece_bpe_32k.model"),
+        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+
+
+@query
+def op4_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rated(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
