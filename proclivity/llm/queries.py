@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from proclivity.llm import byte_bpe, fertility, licenses, packing, warc
+from proclivity.llm import byte_bpe, fertility, licenses, packing, toxicity, warc
 from proclivity.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +92,10 @@ SELECT page_id, url, strlen(html) AS payload_bytes,
   CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
 FROM bits
 """
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.rate(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
