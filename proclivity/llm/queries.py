@@ -11,7 +11,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from proclivity.llm import byte_bpe, fertility, licenses, packing, toxicity, warc
+from proclivity.llm import (
+    byte_bpe,
+    fertility,
+    licenses,
+    main_text,
+    packing,
+    toxicity,
+    warc,
+)
 from proclivity.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +66,11 @@ def op4_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
