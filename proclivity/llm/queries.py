@@ -16,6 +16,7 @@ from proclivity.llm import (
     fertility,
     licenses,
     main_text,
+    multiprobe,
     packing,
     toxicity,
     warc,
@@ -107,6 +108,11 @@ FROM bits
 """
 
 
+@query
+def op9_multiprobe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiprobe.nearest(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.rate(
