@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,6 +111,87 @@ def map_batches(
     return df.mapInArrow(run, fields)
 
 
+def map_groups(
+    df: DataFrame,
+    key: str,
+    fn: Callable[[dict[str, list]], dict[str, list]],
+    fields: StructType,
+) -> DataFrame:
+    """Map whole groups of rows with one key, as a list per column.
+
+    For many small groups: a task streams its sorted rows and holds one batch
+    and one group. The caller bounds the size of a group.
+    """
+    arrow = to_arrow_schema(fields)
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column(key).to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1)]
+            for start, stop in zip(cuts, [*cuts[1:], len(keys)], strict=True):
+                if held and held[-1].column(key)[0].as_py() != keys[start]:
+                    yield pa.Table.from_batches(held)
+                    held = []
+                held.append(batch.slice(start, stop - start))
+        if held:
+            yield pa.Table.from_batches(held)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready: dict[str, list] = {n: [] for n in arrow.names}
+        for group in groups(batches):
+            out = fn(group.to_pydict())
+            for n in arrow.names:
+                ready[n].extend(out[n])
+            if len(ready[arrow.names[0]]) >= 5_000:
+                yield pa.RecordBatch.from_pydict(ready, schema=arrow)
+                ready = {n: [] for n in arrow.names}
+        yield pa.RecordBatch.from_pydict(ready, schema=arrow)
+
+    dealt = df.repartition(key).sortWithinPartitions(key)
+    return dealt.mapInArrow(run, fields)
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """Connected components of (u, v): a row (node, root) for each node.
+
+    Alternates two contractions until nothing changes: a node's larger
+    neighbours move to its least neighbour, then its smaller ones do. Rounds
+    are written to the shared folder; the driver sees two numbers of each.
+    """
+    flat = edges.select(
+        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
+    )
+    now = staged(flat.where("u > v").distinct(), "edges")
+    state = None
+    while True:
+        both = now.union(now.select("v", "u"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"))
+        kept = both.join(least, "u").where("v > u").select(
+            F.col("v").alias("u"), F.least("m", "u").alias("v")
+        )
+        below = kept.where("u > v").distinct()
+        low = below.groupBy("u").agg(F.min("v").alias("m"))
+        small = (
+            below.join(low, "u")
+            .select(F.col("v").alias("u"), F.col("m").alias("v"))
+            .union(low.select("u", F.col("m").alias("v")))
+        )
+        now = staged(small.where("u > v").distinct(), "edges")
+        seen = now.agg(
+            F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+        ).first()
+        if seen == state:
+            break
+        state = seen
+    roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return roots.union(
+        now.select(F.col("v").alias("node"), F.col("v").alias("root"))
+    ).distinct()
+
+
 def text_key() -> list:
     """Two 64-bit hashes that stand for a text (null counts as empty)."""
     text = F.coalesce(F.col("text"), F.lit(""))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from proclivity.llm import (
     byte_bpe,
+    chosen_path,
     fertility,
     licenses,
     main_text,
@@ -72,6 +73,11 @@ def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op6_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.join(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
