@@ -146,7 +146,7 @@ class ByteBPE:
                 last, token = out[-1] if out else -1, shorter[token]
         return out
 
-    def _encode_pieces(self, text: str) -> list[int]:
+    def _encode_pieces(self, text: str) -> tuple[int, ...]:
         out: list[int] = []
         pieces = self.pieces
         for piece in self.pattern.findall(text):
@@ -159,7 +159,7 @@ class ByteBPE:
                         pieces.clear()
                     pieces[piece] = ids
             out += ids
-        return out
+        return tuple(out)
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []

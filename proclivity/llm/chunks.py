@@ -22,17 +22,26 @@ def chunks(text: str) -> list[str]:
     return CUT.split(text)
 
 
+def safe(stem: str) -> bool:
+    """Letters only, of blocks whose classes no Unicode version changes."""
+    return stem.isalpha() and max(stem) < "\u0530"
+
+
 class Memo:
-    """Values of chunks; emptied when it holds `most` entries."""
+    """Values of chunks; emptied when it holds `most` entries.
+
+    Values must be sequences that can be added.
+    """
 
     def __init__(
         self,
         values_of: Callable[[list[str]], Iterable],
-        most: int = 500_000,
+        most: int = 900_000,
     ) -> None:
         self.values_of = values_of
         self.most = most
         self.kept: dict[str, object] = {}
+        self.ends: dict[str, object] = {}
 
     def of(self, text: str) -> list:
         """The values of a text's chunks, in order."""
@@ -41,12 +50,27 @@ class Memo:
         kept = self.kept
         if len(kept) > self.most:
             kept.clear()
-        missing = list({p for p in rest if p not in kept})
-        values = self.values_of([first, *[f" {p}" for p in missing]])
-        head, *values = values
-        kept.update(zip(missing, values, strict=True))
+        missing = {p for p in rest if p not in kept}
+        # letters and the stops after them are separate matches
+        stems = {p: s for p in missing if safe(s := p.rstrip(".,"))}
+        wanted = missing.difference(stems)
+        wanted.update(s for s in stems.values() if s not in kept)
+        ends = {p[len(s) :] for p, s in stems.items()}
+        ends = list(ends.difference(self.ends))
+        wanted = list(wanted)
+        values = iter(
+            self.values_of([first, *ends, *[f" {p}" for p in wanted]])
+        )
+        head = next(values)
+        self.ends.update(zip(ends, values, strict=False))
+        kept.update(zip(wanted, values, strict=True))
+        for p, s in stems.items():
+            if p != s:
+                kept[p] = kept[s] + self.ends[p[len(s) :]]
         out = [head, *map(kept.__getitem__, rest)]
-        for p in missing:
+        for p in missing.union(wanted):
             if len(p) > LONGEST_KEPT:
                 del kept[p]
+        if len(self.ends) > 10_000:
+            self.ends.clear()
         return out
