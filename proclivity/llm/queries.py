@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from proclivity.llm import (
     byte_bpe,
@@ -19,6 +20,7 @@ from proclivity.llm import (
     main_text,
     multiprobe,
     packing,
+    substring_dedup,
     toxicity,
     warc,
 )
@@ -35,6 +37,17 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs).select(
+        F.col("doc_id").cast("long"),
+        "n_words",
+        "n_removed",
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(
