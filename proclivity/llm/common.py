@@ -89,20 +89,28 @@ def map_batches(
     df: DataFrame,
     fn: Callable[[dict[str, list]], dict[str, list]],
     fields: StructType,
+    carry: str | None = None,
 ) -> DataFrame:
     """Map Arrow batches given as a list per column.
 
+    The column `carry`, if named, goes along untouched beside the others.
+
     Spark bounds a batch by spark.sql.execution.arrow.maxRecordsPerBatch and
     maxBytesPerBatch, so a task never holds more than that of its input.
     """
+    if carry:
+        fields = StructType([*fields.fields, df.schema[carry]])
     arrow = to_arrow_schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = fn(batch.to_pydict())
+            names = [n for n in batch.schema.names if n != carry]
+            out = fn(batch.select(names).to_pydict())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(out[f.name], type=f.type, from_pandas=False)
+                    batch.column(carry).cast(f.type)
+                    if f.name == carry
+                    else pa.array(out[f.name], f.type)
                     for f in arrow
                 ],
                 schema=arrow,

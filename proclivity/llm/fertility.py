@@ -167,9 +167,14 @@ def script_of(text: str) -> str:
 
 
 def measures(
-    docs: DataFrame, piece_model: str, rank_file: str, pattern: str
+    docs: DataFrame,
+    piece_model: str,
+    rank_file: str,
+    pattern: str,
+    carry: bool = False,
 ) -> DataFrame:
-    """Base counts and fertility of each document.
+    """Base counts and fertility of each document; `carry` adds its row as
+    the struct _row.
 
     `_group` is its language, or its script where lang is null or empty.
     Every word is encoded by itself, so a word has the same tokens in every
@@ -191,9 +196,12 @@ def measures(
 
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None)
     rows = docs.select(
-        F.col("doc_id").cast("long"), "text", lang.cast("string").alias("lang")
+        F.col("doc_id").cast("long"),
+        "text",
+        lang.cast("string").alias("lang"),
+        *([F.struct(*docs.columns).alias("_row")] if carry else []),
     )
-    return map_batches(rows, run, MEASURED)
+    return map_batches(rows, run, MEASURED, "_row" if carry else None)
 
 
 def bands(measured: DataFrame) -> DataFrame:
@@ -294,3 +302,13 @@ def rate(
         "_group",
         *MEASURES,
     )
+
+
+def accepted(
+    docs: DataFrame, piece_model: str, rank_file: str, pattern: str
+) -> DataFrame:
+    """The rows of `docs` that `rate` keeps, with their own columns."""
+    measured = staged(
+        measures(docs, piece_model, rank_file, pattern, carry=True), "measured"
+    )
+    return judge(measured).where("kept").select("_row.*")

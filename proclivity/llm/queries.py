@@ -28,6 +28,16 @@ from proclivity.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Vocabularies of the fertility measures: pieces with byte fallback, and
+#: ranks for many languages.
+VOCABULARIES = (
+    public_tokenizers.path("piece_bpe_32k.model"),
+    public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+    public_tokenizers.PATTERN,
+)
+#: Vocabulary that sequences are packed by.
+PACKED_BY = public_tokenizers.path("byte_bpe_50k.json")
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -59,26 +69,13 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pieces_of(
-        table(spark, sf_dir, "documents"),
-        public_tokenizers.path("byte_bpe_50k.json"),
-    )
-    return packing.pack(pieces)
-
-
-def rated(docs: DataFrame) -> DataFrame:
-    """Fertility verdicts with the production vocabularies."""
-    return fertility.rate(
-        docs,
-        public_tokenizers.path("piece_bpe_32k.model"),
-        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
-        public_tokenizers.PATTERN,
-    )
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(packing.pieces_of(docs, PACKED_BY))
 
 
 @query
 def op4_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rated(table(spark, sf_dir, "documents"))
+    return fertility.rate(table(spark, sf_dir, "documents"), *VOCABULARIES)
 
 
 @query

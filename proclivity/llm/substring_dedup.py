@@ -341,3 +341,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         .cogroup(passages.groupBy("_shard"))
         .applyInArrow(clean, fields)
     )
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """`docs` with each text replaced by its kept words, n_chars following."""
+    done = remove_repeats(docs.select(F.struct("*").alias("_row"), "doc_id", "text"))
+    new = {"text": F.col("kept"), "n_chars": F.length("kept")}
+    return done.select(
+        *[
+            new[c].cast(kind).alias(c) if c in new else F.col("_row")[c].alias(c)
+            for c, kind in docs.dtypes
+        ]
+    )

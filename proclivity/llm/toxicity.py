@@ -345,8 +345,11 @@ def learn_terms(rows: DataFrame) -> list[Term]:
     return out
 
 
-def features(docs: DataFrame, terms: list[Term]) -> DataFrame:
-    """doc_id, held_out and the features of each document."""
+def features(
+    docs: DataFrame, terms: list[Term], carry: bool = False
+) -> DataFrame:
+    """doc_id, held_out and the features of each document; `carry` adds its
+    row as the struct _row."""
     lexicon = tuple(terms)
 
     def run(cols: dict[str, list]) -> dict[str, list]:
@@ -357,10 +360,13 @@ def features(docs: DataFrame, terms: list[Term]) -> DataFrame:
             zip(FEATURES, map(list, columns), strict=True)
         )
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text").withColumn(
-        "held_out", held_out()
+    rows = docs.select(
+        F.col("doc_id").cast("long"),
+        "text",
+        held_out().alias("held_out"),
+        *([F.struct(*docs.columns).alias("_row")] if carry else []),
     )
-    return map_batches(rows, run, SCORED)
+    return map_batches(rows, run, SCORED, "_row" if carry else None)
 
 
 class Model(NamedTuple):
@@ -398,6 +404,14 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Model:
     return Model(terms, list(map(float, fitted.coefficients)), fitted.intercept)
 
 
+def probability(model: Model) -> Column:
+    """The model's score of a row of features."""
+    margin = F.lit(model.intercept)
+    for name, weight in zip(FEATURES, model.weights, strict=True):
+        margin = margin + F.lit(weight) * F.col(name)
+    return 1.0 / (1.0 + F.exp(-margin))
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, score, predicted.
 
@@ -405,10 +419,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     so the score of a text without hits; a null doc_id stays null and counts
     as not held out; repeated rows stay; other columns are ignored.
     """
-    margin = F.lit(model.intercept)
-    for name, weight in zip(FEATURES, model.weights, strict=True):
-        margin = margin + F.lit(weight) * F.col(name)
-    value = 1.0 / (1.0 + F.exp(-margin))
+    value = probability(model)
     return features(docs, model.terms).select(
         "doc_id",
         "held_out",
@@ -425,3 +436,10 @@ def rate(docs: DataFrame, labels: DataFrame) -> DataFrame:
     near 0.
     """
     return score(docs, fit(docs, labels))
+
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of `docs` with a score below 0.5, with their own columns."""
+    model = fit(docs, labels)
+    scored = features(docs, model.terms, carry=True)
+    return scored.where(probability(model) < 0.5).select("_row.*")
