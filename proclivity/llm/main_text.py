@@ -20,12 +20,8 @@ from proclivity.llm.common import map_batches, schema
 
 RESULT = schema("page_id long, url string, text string, n_chars long")
 
-TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>",
-    re.DOTALL,
-)
+NAME = re.compile(r"/?[a-zA-Z][^\s/>]*+")
+ATTRIBUTES = re.compile(r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>")
 NAMED = re.compile(
     r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I
 )
@@ -89,29 +85,56 @@ class Page:
         self._text: list[str] = []
         self._linked: list[str] = []
         self._in_link = 0
+        self._raw = ""
+        self._open_ended: set[str] = set()
         self._read(source)
         self._end_block()
 
     def _read(self, source: str) -> None:
         at = 0
-        while found := TAG.search(source, at):
-            self._add(source[at : found.start()])
-            at = found.end()
-            name = found[2] or found[5]
-            if name is None:
+        last = source.rfind(">")  # no tag ends after it
+        balanced = True  # until a quotation mark is left open
+        while 0 <= (start := source.find("<", at)) < last:
+            self._add(source[at:start])
+            if source.startswith("<!--", start):
+                end = source.find("-->", start + 4)
+                at = end + 3 if end >= 0 else len(source)
                 continue
-            name = name.lower()
-            if found[1] or found[4]:
-                self._close(name)
+            found = NAME.match(source, start + 1)
+            if not found:
+                if source[start + 1] in "!?":
+                    at = source.index(">", start) + 1
+                else:
+                    self._add("<")
+                    at = start + 1
                 continue
-            rest = found[3] or found[6] or ""
-            if name in RAW and not rest.endswith("/"):
-                end = re.compile(rf"</{name}\b[^>]*>?", re.I).search(source, at)
-                at = end.end() if end else len(source)
-            else:
-                self._open(name, rest)
+            rest = found.end()
+            quoted = balanced and ATTRIBUTES.match(source, rest)
+            balanced = bool(quoted)
+            at = quoted.end() if quoted else source.index(">", rest) + 1
+            self._tag(found[0].lower(), source[rest : at - 1])
+            if self._raw:
+                end = self._raw_end(source, at)
+                at, self._raw = end, ""
         self._add(source[at:])
 
+    def _tag(self, name: str, rest: str) -> None:
+        if name.startswith("/"):
+            self._close(name[1:])
+        elif name in RAW and not rest.endswith("/"):
+            self._raw = name
+        else:
+            self._open(name, rest)
+
+    def _raw_end(self, source: str, at: int) -> int:
+        """Behind the end tag of the raw element; the end if there is none."""
+        if self._raw not in self._open_ended:
+            end = re.compile(rf"</{self._raw}\b[^>]*+>", re.I).search(source, at)
+            if end:
+                return end.end()
+            self._open_ended.add(self._raw)
+        return len(source)
+
     def _add(self, text: str) -> None:
         if text:
             self._text.append(text)
