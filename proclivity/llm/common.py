@@ -21,6 +21,9 @@ from pyspark.sql.types import (
     StructType,
 )
 
+#: Spark's own setting: free a query's shuffle files when it has ended.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 KINDS = {
     "long": LongType(),
     "int": IntegerType(),
@@ -73,16 +76,16 @@ def staged(df: DataFrame, label: str = "staged") -> DataFrame:
     """Write a table once to the shared folder and read it back.
 
     Later passes don't repeat the work before it, and a lost executor loses
-    nothing of it.
+    nothing of it. The shuffle files of that work are freed at its end.
     """
-    path = scratch(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def partitions_for(df: DataFrame) -> int:
-    """The session's number of shuffle partitions."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark, path = df.sparkSession, scratch(df.sparkSession, label)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def map_batches(
@@ -198,12 +201,3 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.union(
         now.select(F.col("v").alias("node"), F.col("v").alias("root"))
     ).distinct()
-
-
-def text_key() -> list:
-    """Two 64-bit hashes that stand for a text (null counts as empty)."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return [
-        F.xxhash64(text).alias("_k1"),
-        F.xxhash64(F.lit(1), text).alias("_k2"),
-    ]

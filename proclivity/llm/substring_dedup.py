@@ -20,7 +20,7 @@ from __future__ import annotations
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -33,9 +33,13 @@ PHRASE = 8
 #: Runs of a shard: about four megabytes of text.
 SHARD_RUNS = 50_000
 
-RUNS = schema(
-    "_d long, _k binary, _anchor long, _run long, _start int, _n int, _at int"
-)
+#: Parts of a place: first window, distance of the anchor, and number of
+#: windows.
+START = "_place >> 16 AS _start"
+AT = "(_place >> 8) & 255 AS _at"
+SIZE = "_place & 255 AS _n"
+
+RUNS = schema("_x long, _anchor long, _run long, _place long")
 WINDOWS = schema("_anchor long, _run long, _w long, _off int, _count long")
 ADDED = schema("n_words long, n_removed long, kept string")
 
@@ -92,63 +96,51 @@ def runs_in(found: list[bytes]) -> tuple[np.ndarray, ...]:
     )
 
 
+def packed(start: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """A place; its parts are START, AT and SIZE."""
+    return start << 16 | (at - start) << 8 | n
+
+
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    """Adds the document's number and its text's digest; null texts are
-    empty ones."""
-    return docs.withColumns(
-        {
-            "_d": F.coalesce(
-                F.col("doc_id").cast("long"), F.lit(-(1 << 63))
-            ),
-            "_k": F.unhex(F.md5(F.coalesce("text", F.lit("")))),
-        }
+    """Adds _x, a hash of a document's number and text; null texts are empty
+    ones."""
+    return docs.withColumn(
+        "_x",
+        F.xxhash64(F.col("doc_id"), F.coalesce("text", F.lit(""))),
     )
 
 
 def runs_of_documents(docs: DataFrame) -> DataFrame:
     def run(cols: dict[str, list]) -> dict[str, list]:
         out: dict[str, list] = {n: [] for n in RUNS.fieldNames()}
-        for d, k, text in zip(
-            cols["_d"], cols["_k"], cols["text"], strict=True
-        ):
+        for x, text in zip(cols["_x"], cols["text"], strict=True):
             found = words(text)
             if len(found) < WINDOW:
                 continue
             anchor, content, first, n, at, _ = runs_in(found)
-            out["_d"] += [d] * len(first)
-            out["_k"] += [k] * len(first)
+            out["_x"].append(np.full(len(first), x))
             out["_anchor"].append(anchor)
             out["_run"].append(content)
-            out["_start"].append(first)
-            out["_n"].append(n)
-            out["_at"].append(at)
-        for name in RUNS.fieldNames()[2:]:
-            parts = out[name]
-            out[name] = np.concatenate(parts) if parts else []
-        return out
-
-    return map_batches(docs.select("_d", "_k", "text"), run, RUNS)
-
+            out["_place"].append(packed(first, at, n))
+        return {k: np.concatenate(v) if v else [] for k, v in out.items()}
 
-def _shard(shards: int) -> Column:
-    return F.pmod(F.xxhash64("_d", "_k"), F.lit(shards)).cast("int")
+    return map_batches(docs.select("_x", "text"), run, RUNS)
 
 
 def windows_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Window hashes of wanted runs (one occurrence of each), with the run's
     number of occurrences."""
-    lists = wanted.groupBy("_d", "_k").agg(
-        F.collect_list(
-            F.struct("_start", "_n", "_anchor", "_run", "_count")
-        ).alias("_runs")
+    parts = ("_start", "_n", "_anchor", "_run", "_count")
+    lists = (
+        wanted.selectExpr(*parts[2:], "_x", START, SIZE)
+        .groupBy("_x")
+        .agg(F.collect_list(F.struct(*parts)).alias("_runs"))
     )
-    once = docs.select("_d", "_k", "text").dropDuplicates(["_d", "_k"])
-    rows = once.join(lists, ["_d", "_k"]).select(
-        "text",
-        *[
-            F.col("_runs").getField(n).alias(n)
-            for n in ("_start", "_n", "_anchor", "_run", "_count")
-        ],
+    once = docs.select("_x", "text").dropDuplicates(["_x"])
+    rows = once.join(lists, "_x").select(
+        "text", *[F.col("_runs").getField(n).alias(n) for n in parts]
     )
 
     def run(cols: dict[str, list]) -> dict[str, list]:
@@ -176,30 +168,20 @@ def confirmed(docs: DataFrame, runs: DataFrame) -> DataFrame:
     kinds = staged(
         runs.groupBy("_anchor", "_run").agg(
             F.sum("_count").alias("_count"),
-            F.min(F.struct("_d", "_k", "_start", "_n")).alias("_one"),
+            F.min("_x").alias("_x"),
+            F.min_by("_place", "_x").alias("_place"),
         ),
         "kinds",
     )
-    # counted in each task first; a common anchor is a row a task
-    anchors = (
-        kinds.groupBy("_anchor")
-        .agg(
-            F.sum("_count").alias("_total"),
-            F.count(F.lit(1)).alias("_kinds"),
-        )
-        .where("_total > 1")
-    )
-    # larger side left: adaptive execution can split it where it is skewed
-    again = staged(
-        kinds.join(anchors, "_anchor").select(
-            "_anchor", "_run", "_count", "_kinds", "_one.*"
-        ),
-        "again",
+    # counted in each task first: a common anchor is one row a task
+    several = kinds.groupBy("_anchor").agg(
+        F.count(F.lit(1)).alias("_kinds")
     )
+    again = staged(kinds.join(several, "_anchor"), "again")
     whole = again.where("_kinds = 1").select(
         "_anchor",
         "_run",
-        (F.expr("shiftleft(1L, _n)") - 1).alias("_mask"),
+        F.expr("shiftleft(1L, cast(_place & 255 AS int)) - 1").alias("_mask"),
     )
     found = staged(
         windows_of(docs, again.where("_kinds > 1")), "windows"
@@ -274,24 +256,23 @@ def _cleaned(
     docs: pa.Table, passages: pa.Table, fields: pa.Schema
 ) -> pa.Table:
     """A shard's documents with their counts and kept words."""
-    texts: dict[bytes, list[bytes]] = {}
     column = docs.column("text").to_pylist()
-    keys = docs.column("_k").to_pylist()
-    for k, text in zip(keys, column, strict=True):
-        if k not in texts:
-            texts[k] = words(text)
+    first = dict(zip(docs.column("_x").to_pylist(), column, strict=True))
+    found = {t: words(t) for t in dict.fromkeys(column)}
     shard = Passages()
-    numbered = {k: shard.numbered(w) for k, w in texts.items()}
+    numbered = {t: shard.numbered(w) for t, w in found.items()}
     for row in passages.to_pylist():
-        shard.add(numbered[row["_k"]], row["_start"], row["_at"], row["_mask"])
+        text = numbered[first[row["_x"]]]
+        at = row["_start"] + row["_at"]
+        shard.add(text, row["_start"], at, row["_mask"])
     shard.compile()
     done = {}
-    for k, found in texts.items():
-        gone = shard.covered(numbered.pop(k))
-        kept = [w for w, x in zip(found, gone.tolist(), strict=True) if not x]
-        done[k] = len(found), int(gone.sum()), b" ".join(kept).decode()
+    for t, here in found.items():
+        gone = shard.covered(numbered.pop(t))
+        kept = [w for w, x in zip(here, gone.tolist(), strict=True) if not x]
+        done[t] = len(here), int(gone.sum()), b" ".join(kept).decode()
     added = {
-        n: pa.array([done[k][i] for k in keys], fields.field(n).type)
+        n: pa.array([done[t][i] for t in column], fields.field(n).type)
         for i, n in enumerate(ADDED.fieldNames())
     }
     columns = [
@@ -313,19 +294,23 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     rows = keyed(docs.select(*own))
     runs = staged(runs_of_documents(rows), "runs")
     shards = max(1, -(-runs.count() // SHARD_RUNS))
+    shard = F.pmod("_x", F.lit(shards)).cast("int")
+    # an anchor that occurs once lies in no repeated window
+    twice = runs.groupBy("_anchor").count().where("count > 1")
     here = staged(
-        runs.withColumn("_shard", _shard(shards))
+        runs.join(twice, "_anchor", "left_semi")
+        .withColumn("_shard", shard)
         .groupBy("_anchor", "_run", "_shard")
         .agg(
             F.count(F.lit(1)).alias("_count"),
-            F.min(F.struct("_d", "_k", "_start", "_n", "_at")).alias("_one"),
-        )
-        .select("_anchor", "_run", "_shard", "_count", "_one.*"),
+            F.min("_x").alias("_x"),
+            F.min_by("_place", "_x").alias("_place"),
+        ),
         "here",
     )
-    found = confirmed(rows, here)
-    passages = here.join(found, ["_anchor", "_run"]).select(
-        "_shard", "_k", "_start", "_at", "_mask"
+    found = staged(confirmed(rows, here), "confirmed")
+    passages = here.join(found, ["_anchor", "_run"]).selectExpr(
+        "_shard", "_x", START, AT, "_mask"
     )
     fields = StructType(
         [*docs.select(*own).schema.fields, *ADDED.fields]
@@ -336,7 +321,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         return _cleaned(left, right, arrow)
 
     return (
-        rows.withColumn("_shard", _shard(shards))
+        rows.withColumn("_shard", shard)
         .groupBy("_shard")
         .cogroup(passages.groupBy("_shard"))
         .applyInArrow(clean, fields)
