@@ -21,6 +21,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from proclivity.session import shared_folder
+
 #: Spark's own setting: free a query's shuffle files when it has ended.
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -58,18 +60,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder that driver and executors share: spark.checkpoint.dir."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    folder = folder or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-    return folder.rstrip("/")
-
-
 def scratch(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, label: str = "staged") -> DataFrame:

@@ -1,14 +1,6 @@
 import pytest
 
 
-@pytest.fixture(scope="session", autouse=True)
-def shared(spark, tmp_path_factory):
-    """The folder that a cluster names in spark.checkpoint.dir."""
-    if spark.conf.get("spark.checkpoint.dir", None) is None:
-        folder = str(tmp_path_factory.mktemp("shared"))
-        spark.conf.set("spark.checkpoint.dir", folder)
-
-
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
