@@ -1,4 +1,8 @@
-"""Quality gates of a challenger model."""
+"""Gates that a new model passes before it may replace the one in use.
+
+Every gate compares one number with one limit, so a gate is that pair and a
+sentence made from it.
+"""
 
 from __future__ import annotations
 
@@ -15,107 +19,96 @@ from proclivity.operators.validate import Gate, GateLimits
 
 Metrics = Mapping[str, Any]
 
+#: Gate, metric, and the limit of what the metric may lose.
+LOSSES = (
+    ("vs_champion_auc", "roc_auc", "max_auc_drop"),
+    ("vs_champion_f1", "f1", "max_f1_drop"),
+)
+
 
-def min_auc_gate(challenger: Metrics, limits: GateLimits) -> Gate:
-    """ROC-AUC is not below the floor."""
-    auc = challenger["roc_auc"]
+def floor_gate(new: Metrics, limits: GateLimits) -> Gate:
+    """The area under the curve reaches the floor."""
+    value, floor = new["roc_auc"], limits.min_auc
     return Gate(
-        "min_auc",
-        auc >= limits.min_auc,
-        f"ROC-AUC {auc:.4f} (minimum {limits.min_auc:.2f})",
+        "min_auc", value >= floor, f"roc_auc is {value:.4f}, floor {floor:g}"
     )
 
 
-def champion_auc_gate(
-    challenger: Metrics, champion: Metrics, limits: GateLimits
-) -> Gate:
-    """ROC-AUC is not much below the champion's."""
-    old, new = champion["roc_auc"], challenger["roc_auc"]
+def _loss(name: str, what: str, loss: float, limit: float) -> Gate:
     return Gate(
-        "vs_champion_auc",
-        old - new <= limits.max_auc_drop,
-        f"{new:.4f} vs champion {old:.4f} "
-        f"(allowed drop {limits.max_auc_drop})",
+        name, loss <= limit, f"{what} loses {loss:.4f}, may lose {limit:g}"
     )
 
 
-def champion_f1_gate(
-    challenger: Metrics, champion: Metrics, limits: GateLimits
+def loss_gate(
+    name: str, new: Metrics, old: Metrics, limits: GateLimits
 ) -> Gate:
-    """F1 is not much below the champion's."""
-    old, new = champion["f1"], challenger["f1"]
-    return Gate(
-        "vs_champion_f1",
-        old - new <= limits.max_f1_drop,
-        f"{new:.4f} vs champion {old:.4f} "
-        f"(allowed drop {limits.max_f1_drop})",
+    """One of LOSSES: the metric loses no more than its limit."""
+    metric, limit = next(x[1:] for x in LOSSES if x[0] == name)
+    return _loss(
+        name, metric, old[metric] - new[metric], getattr(limits, limit)
     )
 
 
-def slices_gate(
-    champion: DataFrame, challenger: DataFrame, limits: GateLimits
-) -> Gate:
-    """No common slice loses more than the allowed AUC."""
-    named = slice_delta(champion, challenger).select(
-        F.concat_ws("=", "slice_col", "slice_value").alias("slice"), "drop"
+def slices_gate(old: DataFrame, new: DataFrame, limits: GateLimits) -> Gate:
+    """The slice that loses most loses no more than its limit."""
+    where = F.concat_ws("=", "slice_col", "slice_value")
+    # of equal losses the first slice in text order
+    worst = (
+        slice_delta(old, new)
+        .select("drop", where.alias("slice"))
+        .agg(F.min(F.struct((-F.col("drop")).alias("change"), "slice")))
+        .first()[0]
     )
-    worst = named.agg(
-        F.max("drop").alias("drop"),
-        F.min_by(
-            "slice", F.struct((-F.col("drop")).alias("m"), "slice")
-        ).alias("slice"),
-    ).first()
-    drop = worst["drop"] if worst["drop"] is not None else 0.0
-    return Gate(
-        "slices",
-        drop <= limits.max_slice_auc_drop,
-        f"largest drop {drop:+.4f} in {worst['slice']} "
-        f"(allowed {limits.max_slice_auc_drop})",
+    if worst is None:
+        return Gate("slices", True, "no slice in common")
+    return _loss(
+        "slices", worst["slice"], -worst["change"], limits.max_slice_auc_drop
     )
 
 
-def top_features_gate(
-    importance: DataFrame, expected: Sequence[str]
-) -> Gate:
-    """Each of the first names starts with one of the expected prefixes."""
-    first = top_k(importance, "importance", "feature", len(expected))
-    rows = first.select(
-        "feature", prefix_match("feature", expected).alias("ok")
-    ).collect()
-    names = [r["feature"] for r in rows]
-    return Gate(
-        "top_features", all(r["ok"] for r in rows), f"top features: {names}"
-    )
+def top_features_gate(importance: DataFrame, expected: Sequence[str]) -> Gate:
+    """The first features are all among the expected ones."""
+    leading = top_k(importance, "importance", "feature", len(expected))
+    row = leading.agg(
+        F.count_if(~prefix_match("feature", expected)).alias("others"),
+        F.array_join(F.sort_array(F.collect_list("feature")), ", ").alias(
+            "names"
+        ),
+    ).first()  # as many rows as there are expected names
+    return Gate("top_features", row["others"] == 0, f"led by {row['names']}")
 
 
 def reload_gate(before: DataFrame, after: DataFrame, id_col: str) -> Gate:
-    """Saved and reloaded model agree on the control rows."""
-    joined = before.select(id_col, F.col("probability").alias("a")).join(
+    """A stored and reloaded model scores the control rows alike."""
+    pairs = before.select(id_col, F.col("probability").alias("a")).join(
         after.select(id_col, F.col("probability").alias("b")), id_col
     )
-    close = F.abs(F.col("a") - F.col("b")) <= 1e-8 + 1e-5 * F.abs("b")
-    row = joined.agg(F.coalesce(F.bool_and(close), F.lit(False))).first()
-    return Gate("load_test", row[0], "saved model reloads and predicts")
+    apart = F.abs(F.col("a") - F.col("b")) > 1e-8 + 1e-5 * F.abs("b")
+    row = pairs.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.coalesce(apart, F.lit(True))).alias("apart"),
+    ).first()
+    return Gate(
+        "load_test",
+        row["n"] > 0 and row["apart"] == 0,
+        f"{row['apart']} of {row['n']} control rows differ after reloading",
+    )
 
 
 def quality_gates(
-    challenger: Metrics,
-    challenger_slices: DataFrame,
+    new: Metrics,
+    new_slices: DataFrame,
     limits: GateLimits,
-    champion: Metrics | None = None,
-    champion_slices: DataFrame | None = None,
+    old: Metrics | None = None,
+    old_slices: DataFrame | None = None,
     importance: DataFrame | None = None,
 ) -> list[Gate]:
-    """All gates that apply; champion gates are skipped without a champion."""
-    gates = [min_auc_gate(challenger, limits)]
-    if champion is not None:
-        gates += [
-            champion_auc_gate(challenger, champion, limits),
-            champion_f1_gate(challenger, champion, limits),
-            slices_gate(champion_slices, challenger_slices, limits),
-        ]
-    if limits.expected_top_features and importance is not None:
-        gates.append(
-            top_features_gate(importance, limits.expected_top_features)
-        )
-    return gates
+    """All gates that apply; without a model in use there is no loss."""
+    out = [floor_gate(new, limits)]
+    if old is not None:
+        out += [loss_gate(name, new, old, limits) for name, *_ in LOSSES]
+        out.append(slices_gate(old_slices, new_slices, limits))
+    if importance is not None and limits.expected_top_features:
+        out.append(top_features_gate(importance, limits.expected_top_features))
+    return out

@@ -959,14 +959,14 @@ NEW_SQL = f"""{OC}, {SLICES_SQL}, {_metrics_cte("m1", "oc", "score", 0.5)},
     new AS (SELECT round_even(roc_auc, 4) AS auc, round_even(f1, 4) AS f1
             FROM m2)"""
 MIN_AUC_SQL = """SELECT 'min_auc' AS name, auc >= 0.49 AS passed,
-    printf('ROC-AUC %.4f (minimum 0.49)', auc) AS detail FROM new"""
+    printf('roc_auc is %.4f, floor 0.49', auc) AS detail FROM new"""
 VS_AUC_SQL = """SELECT 'vs_champion_auc' AS name,
     old.auc - new.auc <= 0.002 AS passed, printf(
-    '%.4f vs champion %.4f (allowed drop 0.002)', new.auc, old.auc) AS detail
+    'roc_auc loses %.4f, may lose 0.002', old.auc - new.auc) AS detail
     FROM old, new"""
 VS_F1_SQL = """SELECT 'vs_champion_f1' AS name,
     old.f1 - new.f1 <= 0.005 AS passed, printf(
-    '%.4f vs champion %.4f (allowed drop 0.005)', new.f1, old.f1) AS detail
+    'f1 loses %.4f, may lose 0.005', old.f1 - new.f1) AS detail
     FROM old, new"""
 
 
@@ -984,9 +984,9 @@ def _drops_sql() -> str:
 
 
 SLICES_GATE_SQL = """SELECT 'slices' AS name, max(drop) <= 0.02 AS passed,
-    printf('largest drop %+.4f in %s (allowed 0.02)', max(drop),
+    printf('%s loses %.4f, may lose 0.02',
     arg_min(concat(slice_col, '=', slice_value), (-drop, concat(slice_col,
-      '=', slice_value)))) AS detail FROM drops"""
+      '=', slice_value))), max(drop)) AS detail FROM drops"""
 
 
 @query(
@@ -1002,19 +1002,19 @@ def slice_delta(spark, sf):
 @query("gate_min_auc", f"WITH {NEW_SQL} {MIN_AUC_SQL}")
 def gate_min_auc(spark, sf):
     _, new = _overall(spark, sf)
-    return _gate_table(spark, [gating.min_auc_gate(new, LIMITS)])
+    return _gate_table(spark, [gating.floor_gate(new, LIMITS)])
 
 
 @query("gate_vs_champion_auc", f"WITH {NEW_SQL} {VS_AUC_SQL}")
 def gate_vs_champion_auc(spark, sf):
     old, new = _overall(spark, sf)
-    return _gate_table(spark, [gating.champion_auc_gate(new, old, LIMITS)])
+    return _gate_table(spark, [gating.loss_gate("vs_champion_auc", new, old, LIMITS)])
 
 
 @query("gate_vs_champion_f1", f"WITH {NEW_SQL} {VS_F1_SQL}")
 def gate_vs_champion_f1(spark, sf):
     old, new = _overall(spark, sf)
-    return _gate_table(spark, [gating.champion_f1_gate(new, old, LIMITS)])
+    return _gate_table(spark, [gating.loss_gate("vs_champion_f1", new, old, LIMITS)])
 
 
 @query(
@@ -1037,8 +1037,7 @@ EXPECTED = ("o_total", "c_acct")
     top AS (SELECT f, w FROM i ORDER BY w DESC, f LIMIT 2)
     SELECT 'top_features' AS name, bool_and(starts_with(f, 'o_total')
       OR starts_with(f, 'c_acct')) AS passed,
-      concat('top features: [', string_agg(concat('''', f, ''''), ', '
-        ORDER BY w DESC, f), ']') AS detail FROM top""",
+      concat('led by ', string_agg(f, ', ' ORDER BY f)) AS detail FROM top""",
 )
 def gate_top_features(spark, sf):
     # strength of the linear relation as a stand-in for model importance
