@@ -36,7 +36,8 @@ LITERAL_STRATA = 64
 SORT_ROWS = 1_000_000
 PLAIN_ROWS = 50_000
 SKETCH_ACCURACY = 10_000
-MAX_BUCKETS = 512
+#: Quantiles read along with the row count, enough for as many buckets.
+FIRST_STEPS = 512
 
 
 # --- ranks in hashed order -------------------------------------------------
@@ -457,27 +458,31 @@ def order_cuts(
     df: DataFrame,
     column: str,
     bucket_rows: int = SORT_ROWS,
-    max_buckets: int = MAX_BUCKETS,
 ) -> tuple[list[float], int]:
     """Cut points that split the column's order into buckets of similar size.
 
-    Read once from a sketch and then fixed as literals, so every branch of a
-    plan sees the same buckets. Correctness does not depend on where they are.
-    Also returns the number of values.
+    There are as many buckets as `bucket_rows` asks for, however many that
+    is. The cuts are read from a sketch (again, with more quantiles, for more
+    than FIRST_STEPS buckets) and then fixed as literals, so every branch of
+    a plan sees the same buckets. Correctness does not depend on where they
+    are. Also returns the number of values.
     """
-    steps = [i / max_buckets for i in range(1, max_buckets)]
-    row = (
-        df.select(_number(df, column).alias("x"))
-        .agg(
-            F.count("x").alias("n"),
-            _sketch("x", steps, SKETCH_ACCURACY).alias("cuts"),
-        )
-        .first()
-    )
-    buckets = min(max_buckets, math.ceil((row["n"] or 0) / bucket_rows))
+    values = df.select(_number(df, column).alias("x"))
+
+    def quantiles(parts: int) -> Column:
+        steps = [i / parts for i in range(1, parts)]
+        return _sketch("x", steps, max(SKETCH_ACCURACY, 10 * parts))
+
+    row = values.agg(
+        F.count("x").alias("n"), quantiles(FIRST_STEPS).alias("cuts")
+    ).first()
+    buckets = math.ceil((row["n"] or 0) / bucket_rows)
     if buckets <= 1:
         return [], row["n"]
-    every = max_buckets / buckets
+    if buckets > FIRST_STEPS:
+        cuts = values.agg(quantiles(buckets).alias("cuts")).first()["cuts"]
+        return sorted(set(cuts)), row["n"]
+    every = FIRST_STEPS / buckets
     picked = {row["cuts"][round(i * every) - 1] for i in range(1, buckets)}
     return sorted(picked), row["n"]
 
@@ -523,7 +528,7 @@ def inside_bucket(
 def before_buckets(
     by: Sequence[str], descending: bool = False
 ) -> Window:
-    """Window over the buckets (at most ~1000 rows) before the current one."""
+    """Window over the buckets (a row each) before the current one."""
     order = F.col("__bucket").desc() if descending else F.col("__bucket")
     return (
         Window.partitionBy(*by)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from typing import Any
 
@@ -141,14 +142,41 @@ def comparison_tree(x: str, cuts: Sequence[Any], op: str) -> str:
     return build(0, len(cuts))
 
 
+#: Up to so many cuts are a tree of comparisons; a larger tree would be too
+#: long a method to compile.
+TREE_CUTS = 31
+
+
 def step_index(column: str, cuts: Sequence[float]) -> Column:
     """Number of cut points `<= x`.
 
     A missing value fails every comparison and therefore lands in the last
-    bin.
+    bin. Many cuts are searched in two steps, first among every k-th of them
+    and then among the k that follow, with k about the root of their number.
     """
     x = f"cast({name(column)} AS DOUBLE)"
-    return F.expr(comparison_tree(x, [float(c) for c in cuts], "<"))
+    cuts = [float(c) for c in cuts]
+    if len(cuts) <= TREE_CUTS:
+        return F.expr(comparison_tree(x, cuts, "<"))
+    k = math.isqrt(len(cuts)) + 1
+    groups = [cuts[i : i + k] for i in range(0, len(cuts), k)]
+
+    def listed(values: Sequence[float]) -> str:
+        return f"array({', '.join(literal(v) for v in values)})"
+
+    def below(values: str) -> str:
+        return f"size(filter({values}, c -> c <= {x}))"
+
+    # starts of groups that are not above x; 0 if x is below all cuts
+    group = below(listed([g[0] for g in groups]))
+    inside = below(
+        f"element_at(array({', '.join(map(listed, groups))}), {group})"
+    )
+    return F.expr(
+        f"CASE WHEN {x} IS NULL THEN {len(cuts)} "
+        f"WHEN {x} < {literal(cuts[0])} THEN 0 "
+        f"ELSE ({group} - 1) * {k} + {inside} END"
+    )
 
 
 def equal_width_bin(

@@ -258,6 +258,22 @@ BUILDERS: dict[str, tuple[Callable, Callable, str]] = {
 }
 MODEL_NAMES = list(BUILDERS)
 
+#: Parameters that each learner has; any other name is refused.
+BOOSTING_NAMES = frozenset(
+    "n_estimators max_depth learning_rate subsample colsample_bytree "
+    "scale_pos_weight max_bins validation_col validation_tol".split()
+)
+PARAMETER_NAMES = {
+    "logreg": frozenset(("C", "l1_ratio", "max_iter", "tol")),
+    "random_forest": frozenset(
+        "n_estimators max_depth max_features max_samples min_samples_leaf "
+        "class_weight max_bins".split()
+    ),
+    "gbt": BOOSTING_NAMES,
+    "gbt_categorical": BOOSTING_NAMES,
+    "gbt_all_categorical": BOOSTING_NAMES,
+}
+
 
 def model_params(
     name: str, params: Mapping[str, Any] | None = None
@@ -265,6 +281,8 @@ def model_params(
     """Tuned parameters of a model with overrides; unknown names fail."""
     if name not in BUILDERS:
         raise ValueError(f"Unknown model {name!r}; choose from {MODEL_NAMES}")
+    if unknown := sorted(set(params or {}) - PARAMETER_NAMES[name]):
+        raise ValueError(f"{name} has no parameters {unknown}")
     return merge_params(BEST_PARAMS[BUILDERS[name][2]], params)
 
 

@@ -21,7 +21,8 @@ from proclivity.functions.scalar import equal_width_bin, str_key
 from proclivity.functions.tables import settle
 from proclivity.session import ship_by_value
 
-MAX_MARGIN = 2_000
+#: Cells of the normal distribution that are held at a time.
+BLOCK_CELLS = 1_000_000
 
 ship_by_value(__name__)
 
@@ -119,20 +120,15 @@ def chi_square(cells: DataFrame) -> DataFrame:
     )
 
 
-def phik_matrix(keys: DataFrame, max_margin: int = MAX_MARGIN) -> DataFrame:
+def phik_matrix(keys: DataFrame) -> DataFrame:
     """Phi-K of every pair (noise pedestal subtracted), as a long table.
 
-    Pairs are solved in parallel tasks from their marginal counts. A pair
-    with more levels than `max_margin` gets no phi-K: the published method
-    needs an integral per pair of levels there; its Cramer's V stays exact.
+    Pairs are solved in parallel tasks from their marginal counts, whatever
+    the number of levels; the work grows with the product of both numbers.
     """
-    cells = contingency(keys)
+    kept = contingency(keys)
     pair = ["col_a", "col_b"]
-    stats = settle(chi_square(cells))
-    narrow = stats.filter(
-        (F.col("levels_a") <= max_margin) & (F.col("levels_b") <= max_margin)
-    ).select(*pair)
-    kept = cells.join(narrow, pair, "left_semi")
+    stats = settle(chi_square(kept))
     margins = []
     for side in ("a", "b"):
         one = kept.groupBy(*pair, side).agg(F.sum("n").alias("m"))
@@ -190,13 +186,30 @@ def solve_phik(
         return 0.0
     if chi2 >= largest:
         return 1.0
-    scale = (largest - pedestal) / max(_normal_chi2(1.0, margin_a, margin_b), 1e-300)
-    lo, hi = 0.0, 1.0
-    for _ in range(40):
-        mid = (lo + hi) / 2
-        value = pedestal + scale * _normal_chi2(mid, margin_a, margin_b)
-        lo, hi = (mid, hi) if value < chi2 else (lo, mid)
-    return float((lo + hi) / 2)
+    scale = (largest - pedestal) / max(
+        _normal_chi2(1.0, margin_a, margin_b), 1e-300
+    )
+
+    def gap(rho: float) -> float:
+        return pedestal + scale * _normal_chi2(rho, margin_a, margin_b) - chi2
+
+    # false position; the end that stays twice counts half (Illinois)
+    (lo, low), (hi, high) = (0.0, pedestal - chi2), (1.0, largest - chi2)
+    side = 0
+    for _ in range(60):
+        mid = (lo * high - hi * low) / (high - low)
+        value = gap(mid)
+        if value < 0:
+            lo, low = mid, value
+            high = high / 2 if side < 0 else high
+            side = -1
+        else:
+            hi, high = mid, value
+            low = low / 2 if side > 0 else low
+            side = 1
+        if hi - lo < 1e-12 or abs(value) <= 1e-12 * chi2:
+            break
+    return float(mid)
 
 
 def _edges(margin: np.ndarray) -> np.ndarray:
@@ -210,26 +223,40 @@ def _normal_chi2(
     """Chi-square of a bivariate normal cut at the margins' quantiles."""
     n = margin_a.sum()
     pa, pb = margin_a / n, margin_b / n
-    ca = np.concatenate([[0.0], np.cumsum(pa)[:-1], [1.0]])
-    cb = np.concatenate([[0.0], np.cumsum(pb)[:-1], [1.0]])
+    # cumulative shares with both ends; levels of a are taken in blocks
+    ca, cb = (np.concatenate([[0.0], np.cumsum(p)]) for p in (pa, pb))
+    ca[-1] = cb[-1] = 1.0
+    ha = np.concatenate([[-np.inf], _edges(margin_a), [np.inf]])
+    inner = _edges(margin_b)[None, :]
+    step = max(1, BLOCK_CELLS // len(pb))
+    total = 0.0
+    for at in range(0, len(pa), step):
+        end = min(at + step, len(pa))
+        joint = _joint(rho, ca[at : end + 1], cb, ha[at : end + 1], inner)
+        cell = np.diff(np.diff(joint, axis=0), axis=1)
+        expected = np.outer(pa[at:end], pb)
+        total += float((((cell - expected) ** 2) / expected).sum())
+    return n * total
+
+
+def _joint(
+    rho: float, ca: np.ndarray, cb: np.ndarray, ha: np.ndarray, k: np.ndarray
+) -> np.ndarray:
+    """Chance of both below their cuts, for a block of the first's cuts."""
     if rho >= 1.0:
-        joint = np.minimum.outer(ca, cb)
-    else:
-        joint = np.outer(ca, cb)
-        h = _edges(margin_a)[:, None, None]
-        k = _edges(margin_b)[None, :, None]
-        # Plackett: d Phi2 / d r is the normal density at correlation r;
-        # r = sin(t) removes the square root in the denominator
-        nodes, weights = np.polynomial.legendre.leggauss(48)
-        top = np.arcsin(rho)
-        t = (nodes + 1) / 2 * top
-        r = np.sin(t)
-        density = np.exp(
-            -(h * h - 2 * h * k * r + k * k) / (2 * np.cos(t) ** 2)
-        )
-        joint[1:-1, 1:-1] += (density * weights).sum(-1) * top / 2 / (
-            2 * np.pi
+        return np.minimum.outer(ca, cb)
+    joint = np.outer(ca, cb)
+    here = np.isfinite(ha)
+    h = ha[here][:, None]
+    # Plackett: d Phi2 / d r is the normal density at correlation r;
+    # r = sin(t) removes the square root in the denominator
+    nodes, weights = np.polynomial.legendre.leggauss(48)
+    top = np.arcsin(rho)
+    added = np.zeros((len(h), k.shape[1]))
+    for node, weight in zip(nodes, weights, strict=True):
+        t = (node + 1) / 2 * top
+        added += weight * np.exp(
+            -(h * h - 2 * h * k * np.sin(t) + k * k) / (2 * np.cos(t) ** 2)
         )
-    cell = np.diff(np.diff(joint, axis=0), axis=1)
-    expected = np.outer(pa, pb)
-    return float(n * (((cell - expected) ** 2) / expected).sum())
+    joint[here, 1:-1] += added * top / 2 / (2 * np.pi)
+    return joint

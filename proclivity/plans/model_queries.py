@@ -384,7 +384,7 @@ def roc_auc_continuous(spark, sf):
             "revenue"
         ),
     )
-    return rounded(ev.roc_auc_exact(df, "y", "revenue", bucket_rows=20_000))
+    return rounded(ev.roc_auc_exact(df, "y", "revenue", bucket_rows=200))
 
 
 @query(

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from proclivity.functions import exact
-from proclivity.functions.scalar import hash_key
+from proclivity.functions.scalar import hash_key, step_index
 from proclivity.functions.tables import local_table, settle
 from proclivity.operators import evaluation as ev
 from proclivity.operators import sampling
@@ -230,3 +230,20 @@ def test_step_index_counts_cuts(spark):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     got = [r[0] for r in df.select(exact.step_index("x", cuts)).collect()]
     assert got == [0, 1, 1, 3, 3, 5, 5, 5, 5]
+
+
+@pytest.mark.parametrize("n", [0, 1, 31, 32, 33, 700])
+def test_step_index_counts_cuts(spark, n):
+    cuts = [i * 0.5 for i in range(n)]
+    xs = [-1.0, 0.0, 0.25, 0.5, n / 4, n / 2 - 0.5, n / 2, float("nan"), None]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = [r[0] for r in df.select(step_index("x", cuts)).collect()]
+    assert got == [
+        n if x is None or x != x else sum(c <= x for c in cuts) for x in xs
+    ]
+
+
+def test_buckets_have_no_ceiling(spark):
+    df = spark.range(30_000).select(F.col("id").cast("double").alias("x"))
+    cuts, n = exact.order_cuts(df, "x", bucket_rows=20)
+    assert n == 30_000 and 1400 <= len(cuts) < 1500

@@ -141,6 +141,13 @@ def test_unknown_model():
         builders.PropensityModel(name="svm", spec=SPEC)
 
 
+def test_unknown_parameters_are_refused():
+    with pytest.raises(ValueError, match="num_leaves"):
+        builders.model_params("gbt", {"num_leaves": 31})
+    for name in builders.MODEL_NAMES:
+        assert builders.model_params(name)
+
+
 def test_train_models_writes_everything(spark, split, tmp_path):
     out = str(tmp_path / "run")
     table = training.train_models(

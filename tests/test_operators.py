@@ -311,6 +311,19 @@ def test_phik_ends(spark):
     assert got[("a", "near")]["chi2"] == pytest.approx(chi2)
 
 
+def test_phik_has_no_level_limit(monkeypatch):
+    """Many levels, in blocks: the correlation that made the chi-square."""
+    margin = np.full(300, 7.0)
+    monkeypatch.setattr(correlation, "BLOCK_CELLS", 10_000)
+    n, cells = margin.sum(), 300 * 300
+    freedom = 299 * 299
+    pedestal = freedom + 1.5 * np.sqrt(2 * freedom)
+    scale = (n * 299 - pedestal) / correlation._normal_chi2(1.0, margin, margin)
+    chi2 = pedestal + scale * correlation._normal_chi2(0.7, margin, margin)
+    got = correlation.solve_phik(chi2, margin, margin, cells)
+    assert got == pytest.approx(0.7, abs=1e-6)
+
+
 def test_normal_cells_add_up():
     margin = np.array([10.0, 30.0, 60.0])
     values = [
