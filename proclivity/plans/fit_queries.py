@@ -6,6 +6,8 @@ the answer does not depend on the fitted numbers there is a SQL answer too.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from proclivity.models import builders, search, training
@@ -359,6 +361,38 @@ def retrain_cycle(spark, sf):
     return registry.reports().select("cycle", "status")
 
 
+@query(
+    "retrain_endings",
+    f"""WITH {OC}, b AS (SELECT count(*) >= 100
+      AND abs(avg(CAST(y AS DOUBLE)) - 0.33) <= 0.1 AS ok
+      FROM oc WHERE batch_no = 1),
+    e AS (SELECT unnest([1, 2, 3]) AS cycle, unnest(['rejected_quality',
+      'not_approved', 'rolled_back']) AS status)
+    SELECT CAST(cycle AS INTEGER) AS cycle,
+      CASE WHEN ok THEN status ELSE 'rejected_data' END AS status FROM e, b""",
+)
+def retrain_endings(spark, sf):
+    """Endings besides those of retrain_cycle, each by what leads to it."""
+    registry = ModelRegistry(spark, scratch(spark))
+    df = creditors(spark, sf).select(*_columns(), "batch_no")
+    batches = {"batch_1": df.filter(F.col("batch_no") == 1).drop("batch_no")}
+
+    def down(bundle, control):
+        raise OSError("scoring service is down")
+
+    for changes in (
+        {"limits": replace(CYCLE_LIMITS, min_auc=1.01)},
+        {"approved_by": None},
+        {"smoke_test": down},
+    ):
+        settings = {"approved_by": "on duty", "limits": CYCLE_LIMITS}
+        run_cycle(
+            batches, registry, SCORING_SPEC, model_name="logreg",
+            params=SMALL["logreg"], **settings | changes,
+        )
+    return registry.reports().select("cycle", "status")
+
+
 # --- streams ------------------------------------------------------------------
 
 
