@@ -64,13 +64,30 @@ def _weight_of(weights: Mapping[Any, float], target: str) -> Column:
 
 
 class FeatureStages:
-    """Fitted feature stages and the names of the vector slots."""
+    """Fitted feature stages and the names of the vector slots.
 
-    def __init__(self, stages: list, names: list[str], bins: int = 32):
+    `train` prepares the rows that the stages were fitted on, where these
+    must not see their own labels; without it the stages do.
+    """
+
+    def __init__(
+        self,
+        stages: list,
+        names: list[str],
+        bins: int = 32,
+        train: Callable[[DataFrame], DataFrame] | None = None,
+    ):
         """Keep stages, slot names and the bins tree learners need."""
         self.stages = stages
         self.names = names
         self.bins = bins
+        self.train = train or self.transform
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Features of rows that are scored."""
+        for stage in self.stages:
+            df = stage.transform(df)
+        return df
 
 
 def encoded_stages(df: DataFrame, spec: TableSpec) -> FeatureStages:
@@ -86,8 +103,7 @@ def native_stages(
 ) -> FeatureStages:
     """Numbers as they are and codes with category meaning.
 
-    A code column with more levels than a tree learner can hold as bins is
-    encoded by frequency instead.
+    Tree learners get a bin for every level of the codes, however many.
     """
     plain = (
         enc.passthrough([*spec.robust, *spec.numeric])
@@ -100,15 +116,8 @@ def native_stages(
 def _with_categories(df, plain, columns, max_bins) -> FeatureStages:
     indexers, index_cols, keys, kept = [], [], enc.Encoder(), []
     bins = max_bins
-    for c in columns:
-        try:
-            levels = enc.fit_levels(df, [c])[c]
-        except enc.TooManyLevels:
-            plain = plain + enc.fit_frequency(df, [c], RARE_SHARE)
-            continue
+    for c, labels in _text_levels(df, columns).items():
         keys = keys + enc.category_string([c])
-        # text form by Spark itself, so fit and transform agree
-        labels = _text_levels(df, c, levels)
         kept.append(c)
         index_cols.append(f"__c{len(index_cols)}")
         indexers.append((labels, index_cols[-1]))
@@ -135,35 +144,63 @@ def _with_categories(df, plain, columns, max_bins) -> FeatureStages:
     return FeatureStages(stages, [*plain.names, *kept], bins)
 
 
-def _text_levels(df: DataFrame, column: str, levels: list) -> list[str]:
-    rows = (
-        df.filter(F.col(column).isNotNull())
-        .select(F.col(column), F.col(column).cast("string").alias("t"))
-        .distinct()
-        .limit(len(levels) + 1)
-        .collect()
-    )
-    text = {r[column]: r["t"] for r in rows}
-    return [text[v] for v in levels]
+def _text_levels(
+    df: DataFrame, columns: Sequence[str]
+) -> dict[str, list[str]]:
+    """Levels in their own order, in the text form that Spark gives them."""
+    if not columns:
+        return {}
+    pairs = [
+        F.sort_array(
+            F.collect_set(
+                F.when(
+                    F.col(c).isNotNull(),
+                    F.struct(F.col(c), F.col(c).cast("string").alias("t")),
+                )
+            )
+        )["t"].alias(c)
+        for c in columns
+    ]
+    row = df.agg(*pairs).first()
+    return {c: list(row[c]) for c in columns}
+
+
+#: Folds of the target means that a model is trained on.
+MEAN_FOLDS = 5
 
 
 def target_mean_stages(
     df: DataFrame, spec: TableSpec, max_bins: int = 32
 ) -> FeatureStages:
-    """Numbers and level codes; codes as their mean target."""
+    """Numbers and level codes; codes as their mean target.
+
+    Rows are trained on with the means of other folds, and scored with those
+    of all training rows.
+    """
     numbers = (
         enc.passthrough([*spec.robust, *spec.numeric])
         + enc.fit_ordinal_learned(df, spec.binary)
         + enc.fit_ordinal(spec.ordinal)
     )
-    try:
-        codes = enc.fit_target_mean(df, spec.high_card, spec.target)
-    except enc.TooManyLevels:
-        codes = enc.fit_frequency(df, spec.high_card, RARE_SHARE)
+    codes = enc.fit_target_mean(df, spec.high_card, spec.target)
     encoder = numbers + codes
     stage, physical = encoder.stage()
     assemble = VectorAssembler(inputCols=physical, outputCol=FEATURES)
-    return FeatureStages([stage, assemble], encoder.names, max_bins)
+    place = dict(zip(encoder.expressions, physical, strict=True))
+
+    def train(rows: DataFrame) -> DataFrame:
+        """Means of the other folds, so no row's label is in its features."""
+        keys = [spec.id] if spec.id in rows.columns else rows.columns
+        out = stage.transform(rows).withColumn(
+            "__fold", F.pmod(F.xxhash64(*keys), F.lit(MEAN_FOLDS))
+        )
+        for c in spec.high_card:
+            out = enc.target_mean_oof(
+                out.drop(place[c]), c, spec.target, "__fold", out=place[c]
+            )
+        return assemble.transform(out)
+
+    return FeatureStages([stage, assemble], encoder.names, max_bins, train)
 
 
 def all_categorical_stages(
@@ -322,9 +359,7 @@ class PropensityModel(Estimator):
             weights = balanced_weights(sizes)
         else:
             weights = {0: 1.0, 1: float(p.get("scale_pos_weight", 1.0))}
-        prepared = dataset
-        for stage in features.stages:
-            prepared = stage.transform(prepared)
+        prepared = features.train(dataset)
         extra = [p["validation_col"]] if "validation_col" in p else []
         # the learners cache their own form of the rows; a second copy here
         # would only take memory from them

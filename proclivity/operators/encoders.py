@@ -22,8 +22,6 @@ from proclivity.functions.tables import settle
 from proclivity.session import staged
 from proclivity.functions.scalar import NAN_KEY, literal, name, str_key
 
-MAX_LEVELS = 1_000
-
 
 def key_sql(column: str) -> str:
     """SQL of the category key of a column."""
@@ -189,28 +187,21 @@ def fit_standard(df: DataFrame, columns: Sequence[str]) -> Encoder:
 # --- levels -----------------------------------------------------------------
 
 
-class TooManyLevels(ValueError):
-    """A column has more levels than a level-based encoder can hold."""
-
-
 def fit_levels(
-    df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS
+    df: DataFrame, columns: Sequence[str]
 ) -> dict[str, list[Any]]:
     """Sorted distinct values per column (numbers in numeric order).
 
-    Reads at most `max_levels + 1` values per column. Columns with more
-    levels are for `fit_frequency`, which has no such bound.
+    One aggregate for all columns. The levels become literals of the fitted
+    encoder, so the driver holds them; `fit_frequency` keeps only the common
+    ones, and `category_dictionary` is a table.
     """
-    out = {}
-    for c in columns:
-        values = df.filter(F.col(c).isNotNull()).select(c).distinct()
-        found = [r[0] for r in values.limit(max_levels + 1).collect()]
-        if len(found) > max_levels:
-            raise TooManyLevels(
-                f"{c} has more than {max_levels} levels; use frequency codes"
-            )
-        out[c] = sorted(found)
-    return out
+    if not columns:
+        return {}
+    row = df.agg(
+        *[F.sort_array(F.collect_set(c)).alias(c) for c in columns]
+    ).first()
+    return {c: list(row[c]) for c in columns}
 
 
 def _unknown(column: str) -> str:
@@ -218,15 +209,13 @@ def _unknown(column: str) -> str:
     return f"raise_error(concat({text}, {key_sql(column)}))"
 
 
-def fit_onehot(
-    df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS
-) -> Encoder:
+def fit_onehot(df: DataFrame, columns: Sequence[str]) -> Encoder:
     """One 0/1 column per level; of exactly two levels only the second.
 
     An unknown level is an error.
     """
     out = {}
-    for c, levels in fit_levels(df, columns, max_levels).items():
+    for c, levels in fit_levels(df, columns).items():
         known = ", ".join(literal(v) for v in levels)
         kept = levels[1:] if len(levels) == 2 else levels
         for level in kept:
@@ -253,18 +242,14 @@ def fit_ordinal(levels: Mapping[str, Sequence[Any]]) -> Encoder:
     )
 
 
-def fit_ordinal_learned(
-    df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS
-) -> Encoder:
+def fit_ordinal_learned(df: DataFrame, columns: Sequence[str]) -> Encoder:
     """Sorted levels -> 0..k-1; an unknown level is an error."""
-    return fit_ordinal(fit_levels(df, columns, max_levels))
+    return fit_ordinal(fit_levels(df, columns))
 
 
-def fit_category_index(
-    df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS
-) -> Encoder:
+def fit_category_index(df: DataFrame, columns: Sequence[str]) -> Encoder:
     """Category codes frozen at fit time; an unseen value becomes null."""
-    found = fit_levels(df, columns, max_levels)
+    found = fit_levels(df, columns)
     return Encoder(
         {c: _case(c, levels, "NULL") for c, levels in found.items()}
     )
@@ -395,23 +380,38 @@ def fit_target_mean(
     columns: Sequence[str],
     target: str,
     weight: float = 1.0,
-    max_levels: int = MAX_LEVELS,
 ) -> Encoder:
-    """Mean target per category for scoring; unseen values get the mean."""
-    fit_levels(df, columns, max_levels)
+    """Mean target per category for scoring; unseen values get the mean.
+
+    One grouped pass for all columns. The rows that the means are made of
+    must not be trained on with them: use `target_mean_oof` there.
+    """
+    if not columns:
+        return Encoder({})
     y = F.col(target).cast("double")
-    prior = float(df.agg(F.avg(y)).first()[0] or 0.0)
+    cells = F.array(
+        *[
+            F.struct(F.lit(c).alias("c"), str_key(c).alias("k"))
+            for c in columns
+        ]
+    )
+    rows = (
+        df.select(F.inline(cells), y.alias("y"))
+        .groupBy("c", "k")
+        .agg(F.sum("y").alias("s"), F.count(F.lit(1)).alias("n"))
+        .orderBy("c", "k")
+        .collect()
+    )
+    size = sum(r["n"] for r in rows) / len(columns)
+    total = sum(r["s"] or 0.0 for r in rows) / len(columns)
+    prior = total / size if size else 0.0
     out = {}
     for c in columns:
-        rows = (
-            df.groupBy(str_key(c).alias("k"))
-            .agg(F.sum(y).alias("s"), F.count(F.lit(1)).alias("n"))
-            .collect()
-        )
         pairs = ", ".join(
             f"{literal(r['k'])}, "
-            f"{literal(float((r['s'] + prior * weight) / (r['n'] + weight)))}"
-            for r in sorted(rows, key=lambda r: r["k"])
+            f"{literal(((r['s'] or 0.0) + prior * weight) / (r['n'] + weight))}"
+            for r in rows
+            if r["c"] == c
         )
         out[c] = (
             f"coalesce(try_element_at(map({pairs}), {key_sql(c)}), "

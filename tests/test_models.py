@@ -141,6 +141,21 @@ def test_unknown_model():
         builders.PropensityModel(name="svm", spec=SPEC)
 
 
+def test_target_means_do_not_leak(spark):
+    """A code of pure noise, with a few rows each, must not be learned."""
+    pdf = make_customers(3000, 77)
+    draws = np.random.default_rng(77)
+    pdf["Region_Code"] = draws.integers(0, 900, 3000).astype(float)
+    pdf["Response"] = draws.integers(0, 2, 3000)
+    rows = to_spark(spark, pdf)
+    parts = staged(stratified_split(rows, "id", "Response"))
+    bundle = training.fit_and_evaluate(
+        "gbt_categorical", parts, SPEC, FAST["gbt_categorical"]
+    )
+    # in-sample means alone would tell most labels of the training rows
+    assert bundle.metrics["train"]["roc_auc"] < 0.7
+
+
 def test_unknown_parameters_are_refused():
     with pytest.raises(ValueError, match="num_leaves"):
         builders.model_params("gbt", {"num_leaves": 31})

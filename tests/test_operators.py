@@ -182,10 +182,10 @@ def test_unknown_level_is_an_error(spark, customers):
         fitted.apply(new).collect()
 
 
-def test_too_many_levels(spark):
-    df = spark.range(50).select(F.col("id").alias("c"))
-    with pytest.raises(encoders.TooManyLevels):
-        encoders.fit_levels(df, ["c"], 10)
+def test_levels_have_no_limit(spark):
+    df = spark.range(3_000).select(F.col("id").alias("c"), F.lit("x").alias("d"))
+    found = encoders.fit_levels(df.union(df), ["c", "d"])
+    assert found == {"c": list(range(3_000)), "d": ["x"]}
 
 
 def test_constant_columns_scale_to_zero(spark):
