@@ -134,3 +134,32 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.rate(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     )
+
+ORACLES["op1_substring_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+    coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+starts AS (
+  SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM d),
+windows AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 34], ' ') AS passage FROM starts),
+twice AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, count(*) OVER (PARTITION BY passage) AS n FROM windows)
+  WHERE n > 1),
+words AS (
+  SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM d),
+marked AS (
+  SELECT w.doc_id, w.i, w.word, max(t.i) OVER (
+    PARTITION BY w.doc_id ORDER BY w.i
+    ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+  FROM words w LEFT JOIN twice t ON t.doc_id = w.doc_id AND t.i = w.i),
+done AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+    string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+  FROM marked GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+  CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN done ON done.doc_id = d.doc_id
+"""
