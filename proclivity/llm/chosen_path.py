@@ -239,25 +239,17 @@ def candidates(records: DataFrame, similarity: float, runs: int) -> DataFrame:
     placed = staged(first_paths(records, similarity, runs), "paths")
     buckets = None
     for depth in range(1, DEPTH + 1):
-        sizes = placed.groupBy("_path").agg(
-            F.count(F.lit(1)).alias("_size")
-        )
-        sized = placed.join(sizes.where("_size > 1"), "_path")
-        last = depth == DEPTH
+        sizes = placed.groupBy("_path").agg(F.count(F.lit(1)).alias("_size"))
+        sized = staged(
+            placed.join(sizes.where("_size > 1"), "_path"), "buckets"
+        ).select("_rec", "_path", "_size")
+        large = sized.where(F.col("_size") > SMALL)
+        last = depth == DEPTH or large.isEmpty()
         done = sized if last else sized.where(F.col("_size") <= SMALL)
-        done = staged(done.select("_rec", "_path", "_size"), "buckets")
         buckets = done if buckets is None else buckets.unionByName(done)
         if last:
             break
-        large = staged(
-            next_paths(
-                sized.where(F.col("_size") > SMALL), records, similarity
-            ),
-            "paths",
-        )
-        if not large.take(1):
-            break
-        placed = large
+        placed = staged(next_paths(large, records, similarity), "paths")
     plain = buckets.where(F.col("_size") <= SMALL).select(
         "_rec",
         "_path",

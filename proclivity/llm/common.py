@@ -161,22 +161,22 @@ def map_groups(
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of (u, v): a row (node, root) for each node.
 
-    Alternates two contractions until nothing changes: a node's larger
+    Alternates two contractions until all components are stars: larger
     neighbours move to its least neighbour, then its smaller ones do. Rounds
-    are written to the shared folder; the driver sees two numbers of each.
+    are written to the shared folder.
     """
     flat = edges.select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     )
     now = staged(flat.where("u > v").distinct(), "edges")
-    state = None
-    while True:
+    while not _stars(now):
         both = now.union(now.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
-        kept = both.join(least, "u").where("v > u").select(
-            F.col("v").alias("u"), F.least("m", "u").alias("v")
+        below = (
+            both.join(least, "u")
+            .where("v > u")
+            .select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
         )
-        below = kept.where("u > v").distinct()
         low = below.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             below.join(low, "u")
@@ -184,13 +184,19 @@ def components(edges: DataFrame) -> DataFrame:
             .union(low.select("u", F.col("m").alias("v")))
         )
         now = staged(small.where("u > v").distinct(), "edges")
-        seen = now.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-        ).first()
-        if seen == state:
-            break
-        state = seen
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.union(
         now.select(F.col("v").alias("node"), F.col("v").alias("root"))
     ).distinct()
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge, to a node that has none downwards."""
+    ends = edges.select("u", F.lit(1).alias("down"), F.lit(0).alias("root"))
+    ends = ends.union(
+        edges.select("v", F.lit(0).alias("down"), F.lit(1).alias("root"))
+    )
+    kinds = ends.groupBy("u").agg(
+        F.sum("down").alias("down"), F.max("root").alias("root")
+    )
+    return kinds.where("down > 1 OR (down = 1 AND root = 1)").isEmpty()
