@@ -50,12 +50,12 @@ class Memo:
         kept = self.kept
         if len(kept) > self.most:
             kept.clear()
-        missing = {p for p in rest if p not in kept}
+        missing = set(rest).difference(kept)
         # letters and the stops after them are separate matches
         stems = {p: s for p in missing if safe(s := p.rstrip(".,"))}
         wanted = missing.difference(stems)
         wanted.update(s for s in stems.values() if s not in kept)
-        ends = {p[len(s) :] for p, s in stems.items()}
+        ends = {p[len(s) :] for p, s in stems.items() if p != s}
         ends = list(ends.difference(self.ends))
         wanted = list(wanted)
         values = iter(
