@@ -20,7 +20,8 @@ RANKS = P.path("byte_bpe_50k.tiktoken")
 JSON = P.path("byte_bpe_50k.json")
 BPE = byte_bpe.load(RANKS, P.PATTERN)
 ODD = st.text(
-    st.sampled_from(" \n\t\r\x85\x1c 　ab'sltreé9.,!#日本क्😀Z") | st.characters()
+    st.sampled_from(" \n\t\r\x85\x1c 　ab'sltreé9.,!#日本क्😀Z")
+    | st.characters(codec="utf-8")
 )
 
 
