@@ -174,7 +174,9 @@ def next_paths(
     return map_batches(rows.select("_rec", "_path", "_sig"), run, PATHS)
 
 
-def in_block_pairs(rows: DataFrame, key: str, size: Column, most: int):
+def in_block_pairs(
+    rows: DataFrame, key: str, size: Column, most: int
+) -> DataFrame:
     """Deal a large group over pairs of blocks, so that any two of its rows
     meet in exactly one pair: adds _side (the row's block), _other, and
     replaces the key by that of the pair."""

@@ -37,10 +37,6 @@ KINDS = {
     "ints": ArrayType(IntegerType()),
 }
 
-#: Words of the contracts are what this splits: bytes.split() without
-#: arguments cuts at exactly 0x20 and 0x09-0x0D.
-WORD_SPACE = "\x20\x09-\x0d"
-
 
 def schema(fields: str) -> StructType:
     """A schema from "name kind, name kind"; needs no session."""
@@ -52,7 +48,10 @@ def schema(fields: str) -> StructType:
 
 
 def words(text: str | None) -> list[bytes]:
-    """Words of a text as UTF-8; none for null."""
+    """Words of a text as UTF-8; none for null.
+
+    bytes.split() without arguments cuts at exactly 0x20 and 0x09-0x0D.
+    """
     return text.encode().split() if text else []
 
 
