@@ -3,8 +3,9 @@
 Public vocabularies encode the words of a text. Characters per token, the
 share of tokens that fall back to single bytes, and the entropy of the tokens
 tell prose in a known language from shouting, symbol soup and noise. The band
-that is accepted for each measure is learned for each language over all
-documents; a document outside one of its language's bands is rejected.
+that is accepted for each measure is learned for each language over all its
+documents, wider the fewer they are; a document outside one of its language's
+bands is rejected.
 """
 
 from __future__ import annotations
@@ -35,8 +36,11 @@ LEAST_ELSE = 0.02
 #: Measures of shorter documents scatter more: bands widen with the square
 #: root of this many words over the document's.
 STEADY_WORDS = 200
-#: Languages with fewer documents share the bands of all documents.
-ENOUGH = 200
+#: Quartiles of few documents are uncertain. At n documents a reach grows by
+#: this many times itself over sqrt(n), and by this many times the measure's
+#: scale (its median, or 1 for a share near 0) over n: bands of a few documents
+#: accept nearly all, those of thousands are hardly wider.
+UNSURE = 2.0
 MIN_WORDS = 50
 
 BASE = (
@@ -205,31 +209,37 @@ def measures(
 
 
 def bands(measured: DataFrame) -> DataFrame:
-    """Quartiles and reach of each measure for each group, from all documents of
-    at least MIN_WORDS words; one row per group and one, null, for all."""
+    """Quartiles and reach of each measure for each group, from its documents
+    of at least MIN_WORDS words, however few; one row per group.
+
+    The reach shrinks smoothly as documents grow in number: no count switches
+    a group from one kind of band to another.
+    """
     quartiles = [
         F.percentile_approx(m, [0.25, 0.5, 0.75], 10_000).alias(f"_{m}")
         for m in MEASURES
     ]
     stats = (
         measured.where(F.col("n_words") >= MIN_WORDS)
-        .rollup("_group")
+        .groupBy(F.col("_group").alias("_own"))
         .agg(F.count(F.lit(1)).alias("_n"), *quartiles)
-        .where(F.col("_group").isNull() | (F.col("_n") >= ENOUGH))
     )
 
     def low_high(m: str) -> list[Column]:
-        q = F.col(f"_{m}")
-        reach = REACH[m] * (q[2] - q[0]) + LEAST.get(m, LEAST_ELSE)
+        q, n = F.col(f"_{m}"), F.col("_n")
+        scale = F.lit(1.0) if m in LEAST else q[1]
+        reach = (
+            REACH[m] * (q[2] - q[0]) * (1 + UNSURE / F.sqrt(n))
+            + LEAST.get(m, LEAST_ELSE)
+            + UNSURE * scale / n
+        )
         return [
             q[0].alias(f"_low_{m}"),
             q[2].alias(f"_high_{m}"),
             reach.alias(f"_reach_{m}"),
         ]
 
-    return stats.select(
-        "_group", *[c for m in MEASURES for c in low_high(m)]
-    )
+    return stats.select("_own", *[c for m in MEASURES for c in low_high(m)])
 
 
 def _inside(measure: str) -> Column:
@@ -249,26 +259,14 @@ def _inside(measure: str) -> Column:
 def judge(measured: DataFrame) -> DataFrame:
     """Adds base_failed and kept to measured documents."""
     # groups are languages and scripts; the planner broadcasts what is small
-    found = staged(bands(measured), "bands")
-    every = found.where("_group IS NULL").drop("_group")
-    own = found.where("_group IS NOT NULL").withColumnRenamed(
-        "_group", "_own"
-    )
-    limits = [c for c in every.columns]
-    default = every.take(1)
-    filled = [
-        F.coalesce(
-            F.col(c), F.lit(default[0][c] if default else None).cast("double")
-        ).alias(c)
-        for c in limits
-    ]
+    own = staged(bands(measured), "bands")
     rows = measured.join(own, measured["_group"] == own["_own"], "left")
-    rows = rows.select(*measured.columns, *filled)
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > 50 * F.col("n_words")
     )
     inside = F.lit(True)
     for m in MEASURES:
+        # without an estimate of its group a document passes
         inside = inside & F.coalesce(_inside(m), F.lit(True))
     return rows.withColumn("base_failed", failed).withColumn(
         "kept", ~failed & inside
@@ -283,8 +281,8 @@ def rate(
     doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, and the measures. A null or empty text has no words,
     null measures, and is not kept; a null doc_id stays null; repeated rows
-    stay; other columns are ignored. A measure that is null, or a corpus too
-    small for bands, rejects nothing by itself. The paths name the
+    stay; other columns are ignored. A measure that is null, or a group without
+    bands, rejects nothing by itself. The paths name the
     vocabularies on each executor.
     """
     measured = staged(

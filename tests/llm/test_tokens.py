@@ -244,3 +244,30 @@ def test_symbol_soup_is_rejected_and_prose_is_kept(spark):
         *VOCABULARIES,
     ).collect()
     assert all(r.kept == (r.doc_id < 300) for r in out)
+
+
+def letters(draws, alphabet, n):
+    """Texts of 300 words over an alphabet."""
+    vocabulary = [
+        "".join(draws.choice(list(alphabet), draws.integers(2, 8)))
+        for _ in range(400)
+    ]
+    return [" ".join(draws.choice(vocabulary, 300)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("n", [1, 20, 199, 201])
+def test_rare_language_has_bands_of_its_own(spark, n):
+    draws = np.random.default_rng(5)
+    texts = [(t, "en") for t in letters(draws, "aeiourstlnd", 300)]
+    texts += [(t, "ja") for t in letters(draws, "あいうえおかきくけこさしすせそ", n)]
+    rows = [(i, t, lang) for i, (t, lang) in enumerate(texts)]
+    # unreadable bytes go once the language is known well enough
+    soup = [(10_000, " ".join(w + "\ue000" for w in texts[-1][0].split()), "ja")]
+    out = fertility.rate(
+        spark.createDataFrame(
+            rows + (soup if n > 100 else []),
+            "doc_id long, text string, lang string",
+        ),
+        *VOCABULARIES,
+    ).collect()
+    assert all(r.kept == (r.doc_id < 10_000) for r in out)
