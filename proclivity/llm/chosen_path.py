@@ -6,14 +6,15 @@ of its value there, so documents meet where they share the sampled tokens. A
 bucket that is small is compared by brute force over sketches; a large one is
 split again. Similar documents part at each split with a chance of at most
 1 - J, and 1 / J children on average make up for it; runs are repeated until
-the chance that a pair of the least similarity never meets is below the
-target. What meets forms components, and in these every pair is compared
+the chance that a pair of the least similarity never meets, over all that its
+minimum hashes can be, is below the target. A second batch of runs only looks
+at buckets whose records the first one has not joined yet. What meets forms components, and in these every pair is compared
 again over the whole sets, so links are exact and few are lost.
 """
 
 from __future__ import annotations
 
-from math import ceil, log
+from math import comb
 
 import numpy as np
 import xxhash
@@ -34,10 +35,14 @@ COORDINATES = 96
 SMALL = 500
 #: Splits at most; larger buckets are then compared block by block.
 DEPTH = 6
-TARGET = 0.99
+#: Chance that a pair of the least similarity meets and passes the sketches,
+#: at least, even if its buckets end at DEPTH.
+TARGET = 0.99999
+#: Runs of the first batch.
+FIRST_RUNS = 8
 #: Sketches agree on a share this far below the similarity, at least, for
-#: the pair to be compared exactly: three standard errors of the estimate.
-SLACK = 3 * (0.8 * 0.2 / COORDINATES) ** 0.5
+#: the pair to be compared exactly: six standard errors of the estimate.
+SLACK = 6 * (0.8 * 0.2 / COORDINATES) ** 0.5
 #: Records of a block of a large component.
 BLOCK = 1_000
 
@@ -54,19 +59,48 @@ FACTORS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * STEP) | (
 )
 
 
-def survival(similarity: float, depth: int) -> float:
-    """Chance that a pair of this similarity meets at that depth of a run."""
-    second = 1 / similarity - 1  # chance of a second coordinate
+def survival(
+    similarity: float, depth: int, share: float | None = None
+) -> float:
+    """Chance that a pair meets at that depth of a run whose trees are made for
+    this similarity, if its sketches agree on `share` (else: on as much)."""
+    share = similarity if share is None else share
+    second = min(1.0, 1 / similarity - 1)  # chance of a second coordinate
     p = 1.0
     for _ in range(depth):
-        x = similarity * p
+        x = share * p
         p = (1 - second) * x + second * (1 - (1 - x) ** 2)
     return p
 
 
+def missed(similarity: float, depth: int, runs: int) -> float:
+    """Chance that a pair of this similarity is missed by all runs.
+
+    All runs draw from the same coordinates, so they are independent only for
+    a given number of agreeing ones, which is binomial; a pair with too few
+    for the sketches is missed whatever the runs.
+    """
+    least = (similarity - SLACK) * COORDINATES
+    total = 0.0
+    for n in range(COORDINATES + 1):
+        chance = (
+            comb(COORDINATES, n)
+            * similarity**n
+            * (1 - similarity) ** (COORDINATES - n)
+        )
+        met_once = survival(similarity, depth, n / COORDINATES)
+        total += chance * ((1 - met_once) ** runs if n >= least else 1.0)
+    return total
+
+
 def runs_for(similarity: float, target: float = TARGET) -> int:
-    """Runs until a pair is missed with a chance of 1 - target at most."""
-    return ceil(log(1 - target) / log(1 - survival(similarity, DEPTH)))
+    """Runs until a pair is missed with a chance of 1 - target at most, or
+    until more of them don't help."""
+    floor = missed(similarity, DEPTH, 1 << 40)
+    most, runs = max(1 - target, 2 * floor), 1
+    while missed(similarity, DEPTH, runs) > most:
+        runs += 1
+    return runs
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -134,9 +168,11 @@ def _matrix(sigs: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(sigs), np.uint32).reshape(len(sigs), -1)
 
 
-def first_paths(records: DataFrame, similarity: float, runs: int) -> DataFrame:
-    """Paths of depth one, in all runs."""
-    seeds = mix(np.arange(1, runs + 1, dtype=np.uint64) * STEP)
+def first_paths(
+    records: DataFrame, similarity: float, runs: range
+) -> DataFrame:
+    """Paths of depth one, in these runs."""
+    seeds = mix(np.array(runs, np.uint64) * STEP)
 
     def run(cols: dict[str, list]) -> dict[str, list]:
         recs = np.array(cols["_rec"], np.int64)
@@ -236,8 +272,59 @@ def met(buckets: DataFrame, similarity: float) -> DataFrame:
     return map_groups(buckets, "_path", run, EDGES)
 
 
+def undecided(sized: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of the buckets whose records are not all in one component yet;
+    the others can add no edge."""
+    root = F.coalesce("root", "_rec")
+    rooted = sized.join(found, F.col("_rec") == F.col("node"), "left")
+    mixed = (
+        rooted.groupBy("_path")
+        .agg(F.min(root).alias("_low"), F.max(root).alias("_high"))
+        .where("_low < _high")
+    )
+    return sized.join(mixed.select("_path"), "_path", "left_semi")
+
+
+def each_once(buckets: DataFrame) -> DataFrame:
+    """Buckets without those that hold the same records as another one."""
+    kinds = buckets.groupBy("_path", "_size").agg(
+        F.bit_xor(F.xxhash64("_rec")).alias("_h1"),
+        F.bit_xor(F.xxhash64(F.lit(1), "_rec")).alias("_h2"),
+    )
+    once = kinds.groupBy("_size", "_h1", "_h2").agg(
+        F.min("_path").alias("_path")
+    )
+    return buckets.join(once.select("_path"), "_path", "left_semi")
+
+
 def candidates(records: DataFrame, similarity: float, runs: int) -> DataFrame:
     """Components (node, root) of the records that meet in a small bucket."""
+    found = staged(
+        components(
+            edges_of(records, similarity, range(1, min(runs, FIRST_RUNS) + 1))
+        ),
+        "found",
+    )
+    if runs <= FIRST_RUNS:
+        return found
+    more = edges_of(
+        records, similarity, range(FIRST_RUNS + 1, runs + 1), found
+    )
+    return components(
+        found.where("node <> root")
+        .select(F.col("node").alias("u"), F.col("root").alias("v"))
+        .unionByName(more)
+    )
+
+
+def edges_of(
+    records: DataFrame,
+    similarity: float,
+    runs: range,
+    found: DataFrame | None = None,
+) -> DataFrame:
+    """Edges that connect what meets in these runs, as far as the components
+    `found` don't."""
     placed = staged(first_paths(records, similarity, runs), "paths")
     buckets = None
     for depth in range(1, DEPTH + 1):
@@ -245,6 +332,8 @@ def candidates(records: DataFrame, similarity: float, runs: int) -> DataFrame:
         sized = staged(
             placed.join(sizes.where("_size > 1"), "_path"), "buckets"
         ).select("_rec", "_path", "_size")
+        if found is not None:
+            sized = staged(undecided(sized, found), "undecided")
         large = sized.where(F.col("_size") > SMALL)
         last = depth == DEPTH or large.isEmpty()
         done = sized if last else sized.where(F.col("_size") <= SMALL)
@@ -252,6 +341,7 @@ def candidates(records: DataFrame, similarity: float, runs: int) -> DataFrame:
         if last:
             break
         placed = staged(next_paths(large, records, similarity), "paths")
+    buckets = staged(each_once(buckets), "once")
     plain = buckets.where(F.col("_size") <= SMALL).select(
         "_rec",
         "_path",
@@ -267,7 +357,7 @@ def candidates(records: DataFrame, similarity: float, runs: int) -> DataFrame:
     rows = plain.unionByName(split).join(
         records.select("_rec", "_sig"), "_rec"
     )
-    return components(met(rows, similarity))
+    return met(rows, similarity)
 
 
 def linked(members: DataFrame, similarity: float) -> DataFrame:

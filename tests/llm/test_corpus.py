@@ -187,6 +187,35 @@ def test_runs_reach_the_target():
     assert 1 - (1 - p) ** runs >= chosen_path.TARGET
 
 
+@pytest.mark.parametrize("depth", [1, chosen_path.DEPTH])
+def test_no_pair_at_the_least_similarity_is_lost(depth):
+    """Sketches of 20,000 pairs of similarity 0.8, through the trees of all
+    runs: each pair must meet and pass the sketches."""
+    draws = np.random.default_rng(12)
+    shape = (20_000, chosen_path.COORDINATES)
+    left = draws.integers(0, 1 << 32, shape, np.uint32)
+    same = draws.random(shape) < 0.8
+    right = np.where(same, left, left ^ np.uint32(1))
+    least = (0.8 - chosen_path.SLACK) * chosen_path.COORDINATES
+    open_ = np.flatnonzero(np.ones(len(left), bool))
+    for run in range(1, chosen_path.runs_for(0.8) + 1):
+        at = open_
+        seed = chosen_path.mix(np.array([run], np.uint64) * chosen_path.STEP)
+        paths = np.repeat(seed, len(at))
+        for _ in range(depth):
+            ways = zip(
+                chosen_path.children(paths, left[at], 0.8),
+                chosen_path.children(paths, right[at], 0.8),
+                strict=True,
+            )
+            kept = [(at[r], p, p == q) for (r, p), (_, q) in ways]
+            at = np.concatenate([r[m] for r, _, m in kept])
+            paths = np.concatenate([p[m] for _, p, m in kept])
+        open_ = np.setdiff1d(open_, at)
+    lost = np.union1d(open_, np.flatnonzero(same.sum(1) < least))
+    assert len(lost) <= 2
+
+
 def test_components(spark):
     draws = np.random.default_rng(2)
     pairs = [(i, i + 1) for i in range(0, 300) if i % 50 != 49]
