@@ -9,14 +9,17 @@ counted. That confirms which passages recur.
 
 The anchors of confirmed passages are then compiled into Aho-Corasick
 automata over words, one for each shard of documents, holding only phrases
-that the shard has. Every document streams through its shard's automaton; at
-each phrase found the passages around it are compared word by word, and the
-words of the occurrences are removed. Texts are shuffled twice and read three
-times, whatever the number of passages.
+that the shard has. A document with such a passage streams through its shard's
+automaton; at each phrase found the passages around it are compared word by
+word, and the words of the occurrences are removed. Documents without one lose
+nothing, and of repeated rows with a window nothing is left: both are mapped
+row by row, so shards hold only different documents that have passages.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -30,8 +33,9 @@ from proclivity.llm.shingles import HASHES, STEP, mix
 
 WINDOW = 35
 PHRASE = 8
-#: Runs of a shard: about four megabytes of text.
+#: Bytes of text a shard are this many runs of RUN_BYTES: four megabytes.
 SHARD_RUNS = 50_000
+RUN_BYTES = 80
 
 #: Parts of a place: first window, distance of the anchor, and number of
 #: windows.
@@ -282,6 +286,28 @@ def _cleaned(
     return pa.Table.from_arrays(columns, schema=fields)
 
 
+def _straight(docs: pa.RecordBatch, fields: pa.Schema) -> pa.RecordBatch:
+    """Documents that lose all words (repeated rows) or none."""
+    column = docs.column("text").to_pylist()
+    copies = docs.column("_copies").to_pylist()
+    n, gone, kept = [], [], []
+    for text, again in zip(column, copies, strict=True):
+        found = words(text)
+        n.append(len(found))
+        gone.append(len(found) if again else 0)
+        kept.append("" if again else b" ".join(found).decode())
+    added = dict(zip(ADDED.fieldNames(), (n, gone, kept), strict=True))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(added[f.name], f.type)
+            if f.name in added
+            else docs.column(f.name).cast(f.type)
+            for f in fields
+        ],
+        schema=fields,
+    )
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """Adds n_words, n_removed and kept (the words left, joined by a space).
 
@@ -293,15 +319,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     own = [c for c in docs.columns if c not in ADDED.fieldNames()]
     rows = keyed(docs.select(*own))
     runs = staged(runs_of_documents(rows), "runs")
-    shards = max(1, -(-runs.count() // SHARD_RUNS))
-    shard = F.pmod("_x", F.lit(shards)).cast("int")
     # an anchor that occurs once lies in no repeated window
     twice = runs.groupBy("_anchor").count().where("count > 1")
+    again = staged(runs.join(twice, "_anchor", "left_semi"), "again")
     here = staged(
-        runs.join(twice, "_anchor", "left_semi")
-        .withColumn("_shard", shard)
-        .groupBy("_anchor", "_run", "_shard")
-        .agg(
+        again.groupBy("_anchor", "_run").agg(
             F.count(F.lit(1)).alias("_count"),
             F.min("_x").alias("_x"),
             F.min_by("_place", "_x").alias("_place"),
@@ -309,8 +331,29 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         "here",
     )
     found = staged(confirmed(rows, here), "confirmed")
-    passages = here.join(found, ["_anchor", "_run"]).selectExpr(
-        "_shard", "_x", START, AT, "_mask"
+    touched = staged(again.join(found, ["_anchor", "_run"]), "touched")
+    # each row has one run from its first word on
+    marks = staged(
+        touched.groupBy("_x").agg(
+            F.sum(F.expr("int(_place >> 16 = 0)")).alias("_rows")
+        ),
+        "marks",
+    )
+    marked = staged(rows.join(marks, "_x", "left"), "marked")
+    single = marked.where("_rows <= 1")
+    size = single.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(1, -(-size // (SHARD_RUNS * RUN_BYTES)))
+    shard = F.pmod("_x", F.lit(shards)).cast("int")
+    passages = (
+        touched.join(marks.where("_rows <= 1"), "_x", "left_semi")
+        .withColumn("_shard", shard)
+        .groupBy("_anchor", "_run", "_shard")
+        .agg(
+            F.min("_x").alias("_x"),
+            F.min_by("_place", "_x").alias("_place"),
+            F.first("_mask").alias("_mask"),
+        )
+        .selectExpr("_shard", "_x", START, AT, "_mask")
     )
     fields = StructType(
         [*docs.select(*own).schema.fields, *ADDED.fields]
@@ -320,18 +363,30 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     def clean(left: pa.Table, right: pa.Table) -> pa.Table:
         return _cleaned(left, right, arrow)
 
-    return (
-        rows.withColumn("_shard", shard)
+    def pass_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _straight(batch, arrow)
+
+    cleaned = (
+        single.drop("_rows")
+        .withColumn("_shard", shard)
         .groupBy("_shard")
         .cogroup(passages.groupBy("_shard"))
         .applyInArrow(clean, fields)
     )
+    others = marked.where("_rows IS NULL OR _rows > 1").select(
+        *own, F.col("_rows").isNotNull().alias("_copies")
+    )
+    return cleaned.unionByName(others.mapInArrow(pass_on, fields))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """`docs` with each text replaced by its kept words, n_chars following."""
-    done = remove_repeats(docs.select(F.struct("*").alias("_row"), "doc_id", "text"))
     new = {"text": F.col("kept"), "n_chars": F.length("kept")}
+    rest = [c for c in docs.columns if c not in new]
+    done = remove_repeats(
+        docs.select(F.struct(*rest).alias("_row"), "doc_id", "text")
+    )
     return done.select(
         *[
             new[c].cast(kind).alias(c) if c in new else F.col("_row")[c].alias(c)

@@ -107,6 +107,32 @@ def test_repeats_of_the_table(spark):
         assert (r.n_words, r.n_removed, r.kept_sha256) == (n, gone, digest)
 
 
+def test_shards_hold_only_what_has_passages(spark, monkeypatch, tmp_path):
+    """Short texts and repeated rows form no group: shards see few bytes."""
+    seen = tmp_path / "rows"
+    plain = substring_dedup._cleaned
+
+    def spy(docs, passages, fields):
+        with open(seen, "a") as out:
+            out.write(f"{docs.num_rows}\n")
+        return plain(docs, passages, fields)
+
+    monkeypatch.setattr(substring_dedup, "_cleaned", spy)
+    draws = np.random.default_rng(10)
+    shared = some_words(draws, 50)
+    texts = [" ".join(some_words(draws, 5)) for _ in range(500)]
+    texts += [" ".join(some_words(draws, 60)) for _ in range(20)]
+    texts += [" ".join(shared + some_words(draws, 9)) for _ in range(6)]
+    rows = list(enumerate(texts)) + [(None, " ".join(shared + ["end"]))] * 80
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substring_dedup.remove_repeats(docs).collect()
+    want = [
+        (i, *x) for (i, _), x in zip(rows, removed([t for _, t in rows]), strict=True)
+    ]
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got) == Counter(want)
+    assert sum(map(int, seen.read_text().split())) == 6
+
+
 def linked(texts, least=0.8):
     """Links of distinct shingle sets, and components, by all pairs."""
     sets = [frozenset(shingle_set(t).tolist()) for t in texts]
