@@ -4,8 +4,9 @@ A table cuts a few Gaussian projections of the unit vectors into cells; a
 bucket is a combination of cells. A query visits its own bucket and then
 those that differ by one cell in some projections, in the order of their
 estimated chance to hold a neighbour: small steps over near borders first.
-Buckets are kept in blocks of bounded size that Spark groups; a block gives
-each query only its best candidates, so no pair is ever a row. How many
+Buckets are kept in blocks of bounded size that Spark groups, each with a
+bounded part of its queries; a block gives each query only its best candidates,
+so no pair is ever a row. How many
 buckets are visited is fitted on a bounded sample, for a target recall.
 """
 
@@ -38,6 +39,8 @@ SAMPLE = 2_000
 SAMPLE_QUERIES = 100
 #: Vectors of a block.
 BLOCK = 20_000
+#: Keys and components, together, of the queries that meet a block at a time.
+ASKED = 4_000_000
 
 DOUBLES = ArrayType(DoubleType())
 INDEX = schema("_class long, _ids longs, _keys longs").add("_vec", DOUBLES)
@@ -292,6 +295,20 @@ def best_in_block(
     return pd.DataFrame(out, columns=names)
 
 
+def query_parts(asked: DataFrame) -> DataFrame:
+    """(_block, _turns) of the blocks whose queries are beyond ASKED."""
+    size = F.size("_keys") + F.size("_vec")
+    return (
+        asked.groupBy("_block")
+        .agg(F.ceil(F.sum(size) / ASKED).alias("_turns"))
+        .where("_turns > 1")
+    )
+
+
+def _turns() -> Column:
+    return F.coalesce("_turns", F.lit(1).cast("long"))
+
+
 def nearest(
     vectors: DataFrame, every: int = 50, k: int = 5
 ) -> DataFrame:
@@ -335,7 +352,7 @@ def nearest(
         "_block",
         block(F.pmod(F.col("_class"), F.coalesce("_parts", F.lit(1).cast("long")))),
     )
-    asked = (
+    visits = staged(
         probes(queries, most)
         .select("query_id", F.explode("_keys").alias("_key"))
         .join(sizes, "_key")
@@ -346,17 +363,30 @@ def nearest(
         )
         .withColumn("_block", block(F.col("_p").cast("long")))
         .groupBy("query_id", "_block")
-        .agg(F.collect_set("_key").alias("_keys"))
-        .join(queries, "query_id")
+        .agg(F.collect_set("_key").alias("_keys")),
+        "visits",
+    )
+    asked = visits.join(queries, "query_id")
+    # a block with many queries meets them in parts, by the query
+    turns = staged(query_parts(asked), "turns")
+    asked = (
+        asked.join(turns, "_block", "left")
+        .withColumn(
+            "_turn", F.pmod(F.xxhash64("query_id", F.lit(5)), _turns())
+        )
+        .select("_block", "_turn", "query_id", "_keys", "_vec")
+    )
+    placed = placed.join(turns, "_block", "left").withColumn(
+        "_turn", F.explode(F.sequence(F.lit(0).cast("long"), _turns() - 1))
     )
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         return best_in_block(left, right, k)
 
     found = (
-        placed.select("_block", "_class", "_ids", "_vec", "_key")
-        .groupBy("_block")
-        .cogroup(asked.groupBy("_block"))
+        placed.select("_block", "_turn", "_class", "_ids", "_vec", "_key")
+        .groupBy("_block", "_turn")
+        .cogroup(asked.groupBy("_block", "_turn"))
         .applyInPandas(best, FOUND)
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

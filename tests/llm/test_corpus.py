@@ -296,6 +296,27 @@ def test_neighbours_recall(spark):
             assert score == best[x]
 
 
+def test_queries_of_a_group_are_bounded(spark, monkeypatch, tmp_path):
+    """Small parts of queries give the same rows, and no group has many."""
+    draws = np.random.default_rng(13)
+    vectors = [(i, r.tolist()) for i, r in enumerate(draws.normal(size=(400, 8)))]
+    frame = spark.createDataFrame(vectors, VECTORS)
+    seen, plain = tmp_path / "queries", multiprobe.best_in_block
+
+    def spy(rows, asked, k):
+        with open(seen, "a") as out:
+            out.write(f"{len(asked)}\n")
+        return plain(rows, asked, k)
+
+    want = sorted(map(tuple, multiprobe.nearest(frame, every=2).collect()))
+    monkeypatch.setattr(multiprobe, "best_in_block", spy)
+    monkeypatch.setattr(multiprobe, "ASKED", 2_000, raising=False)
+    got = sorted(map(tuple, multiprobe.nearest(frame, every=2).collect()))
+    assert got == want
+    sizes = list(map(int, seen.read_text().split()))
+    assert sum(sizes) >= 200 and max(sizes) < 100
+
+
 def test_neighbours_of_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
