@@ -21,10 +21,11 @@ from proclivity.llm import (
     multiprobe,
     packing,
     substring_dedup,
+    token_counts,
     toxicity,
     warc,
 )
-from proclivity.llm.common import table
+from proclivity.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +38,8 @@ VOCABULARIES = (
 )
 #: Vocabulary that sequences are packed by.
 PACKED_BY = public_tokenizers.path("byte_bpe_50k.json")
+#: Vocabulary that tokens are counted by.
+COUNTED_BY = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -135,6 +138,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     )
 
+
+@query
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a cache of its own, so each run encodes all distinct texts
+    return token_counts.count(
+        table(spark, sf_dir, "documents"),
+        COUNTED_BY,
+        scratch(spark, "token-counts"),
+    )
+
+
 ORACLES["op1_substring_dedup"] = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(
