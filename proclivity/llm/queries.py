@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proclivity.llm import (
+    alignment,
     byte_bpe,
     chosen_path,
     fertility,
@@ -38,6 +39,11 @@ VOCABULARIES = (
 )
 #: Vocabulary that sequences are packed by.
 PACKED_BY = public_tokenizers.path("byte_bpe_50k.json")
+#: Vocabularies whose tokens are aligned.
+ALIGNED = (
+    public_tokenizers.path("byte_bpe_50k.json"),
+    public_tokenizers.path("piece_bpe_32k.model"),
+)
 #: Vocabulary that tokens are counted by.
 COUNTED_BY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -149,6 +155,11 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), *ALIGNED)
+
+
 ORACLES["op1_substring_dedup"] = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(
