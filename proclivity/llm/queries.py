@@ -17,6 +17,7 @@ from proclivity.llm import (
     byte_bpe,
     chosen_path,
     fertility,
+    hard_negatives,
     licenses,
     main_text,
     multiprobe,
@@ -160,6 +161,43 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), *ALIGNED)
 
 
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * CAST(c AS DOUBLE)) FOR c IN embedding] AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same,
+    CAST(list_inner_product(a.x, v.x) AS BIGINT) AS score
+  FROM v a JOIN v ON a.vec_id <> v.vec_id
+  WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+  FROM s WHERE same
+  QUALIFY row_number() OVER (
+    PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id,
+    score AS negative_score, CAST(row_number() OVER (
+      PARTITION BY anchor_id, positive_id
+      ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score
+    AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score,
+  negative_score
+FROM n WHERE rank <= 10
+"""
+
+
 ORACLES["op1_substring_dedup"] = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(
