@@ -7,6 +7,7 @@ they are translated to MLlib parameters here.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from itertools import combinations
 from typing import Any
 
 from pyspark import keyword_only
@@ -16,13 +17,17 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.param import Param, Params
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from proclivity.functions.exact import exact_quantiles
 from proclivity.operators import encoders as enc
+from proclivity.operators.dictionaries import (
+    level_lookups,
+    mean_lookups,
+    ordered_means,
+)
 from proclivity.presets import BEST_PARAMS, RARE_SHARE, SEED
 from proclivity.sources.readers import merge_params
 from proclivity.spec import TableSpec
@@ -93,9 +98,9 @@ class FeatureStages:
 def encoded_stages(df: DataFrame, spec: TableSpec) -> FeatureStages:
     """Fully numeric features."""
     encoder = enc.fit_encoded_features(df, spec, RARE_SHARE)
-    stage, physical = encoder.stage()
+    stages, physical = encoder.stages()
     assemble = VectorAssembler(inputCols=physical, outputCol=FEATURES)
-    return FeatureStages([stage, assemble], encoder.names)
+    return FeatureStages([*stages, assemble], encoder.names)
 
 
 def native_stages(
@@ -114,59 +119,18 @@ def native_stages(
 
 
 def _with_categories(df, plain, columns, max_bins) -> FeatureStages:
-    indexers, index_cols, keys, kept = [], [], enc.Encoder(), []
-    bins = max_bins
-    for c, labels in _text_levels(df, columns).items():
-        keys = keys + enc.category_string([c])
-        kept.append(c)
-        index_cols.append(f"__c{len(index_cols)}")
-        indexers.append((labels, index_cols[-1]))
-        bins = max(bins, len(labels) + 1)
-    stages, physical = [], []
-    if plain.expressions:
-        encoder_stage, physical = plain.stage("x")
-        stages.append(encoder_stage)
-    if kept:
-        key_stage, key_cols = keys.stage("k")
-        stages.append(key_stage)
-        for (labels, out), source in zip(indexers, key_cols, strict=True):
-            stages.append(
-                StringIndexerModel.from_labels(
-                    labels, inputCol=source, outputCol=out,
-                    handleInvalid="keep",
-                )
-            )
-    stages.append(
-        VectorAssembler(
-            inputCols=[*physical, *index_cols], outputCol=FEATURES
-        )
+    places = {c: f"__c{i}" for i, c in enumerate(columns)}
+    lookups = level_lookups(df, places, for_trees=True)
+    sizes = [x.getOrDefault(x.size) for x in lookups]
+    stages, physical = plain.stages("x") if plain.expressions else ([], [])
+    assemble = VectorAssembler(
+        inputCols=[*physical, *places.values()], outputCol=FEATURES
+    )
+    return FeatureStages(
+        [*stages, *lookups, assemble],
+        [*plain.names, *columns],
+        max([max_bins, *sizes]),
     )
-    return FeatureStages(stages, [*plain.names, *kept], bins)
-
-
-def _text_levels(
-    df: DataFrame, columns: Sequence[str]
-) -> dict[str, list[str]]:
-    """Levels in their own order, in the text form that Spark gives them."""
-    if not columns:
-        return {}
-    pairs = [
-        F.sort_array(
-            F.collect_set(
-                F.when(
-                    F.col(c).isNotNull(),
-                    F.struct(F.col(c), F.col(c).cast("string").alias("t")),
-                )
-            )
-        )["t"].alias(c)
-        for c in columns
-    ]
-    row = df.agg(*pairs).first()
-    return {c: list(row[c]) for c in columns}
-
-
-#: Folds of the target means that a model is trained on.
-MEAN_FOLDS = 5
 
 
 def target_mean_stages(
@@ -182,54 +146,96 @@ def target_mean_stages(
         + enc.fit_ordinal_learned(df, spec.binary)
         + enc.fit_ordinal(spec.ordinal)
     )
-    codes = enc.fit_target_mean(df, spec.high_card, spec.target)
-    encoder = numbers + codes
-    stage, physical = encoder.stage()
-    assemble = VectorAssembler(inputCols=physical, outputCol=FEATURES)
-    place = dict(zip(encoder.expressions, physical, strict=True))
+    return _with_means(
+        df, spec, numbers, list(spec.high_card), max_bins, _fold_means
+    )
+
+
+#: Folds of the target means that a model is trained on.
+MEAN_FOLDS = 5
+
+
+def _fold_means(
+    rows: DataFrame, places: dict[str, str], target: str, keys: list[str]
+) -> DataFrame:
+    """Means of the other folds, so no row's label is in its features."""
+    rows = rows.withColumn(
+        "__fold", F.pmod(F.xxhash64(*keys), F.lit(MEAN_FOLDS))
+    )
+    for c, out in places.items():
+        rows = enc.target_mean_oof(rows, c, target, "__fold", out=out)
+    return rows.drop("__fold")
+
+
+def _with_means(
+    df: DataFrame,
+    spec: TableSpec,
+    plain: enc.Encoder,
+    columns: list[str],
+    max_bins: int,
+    own_means: Callable,
+    before: list | None = None,
+) -> FeatureStages:
+    """Plain features and target means of the columns, which the stages
+    `before` may make; `own_means` are those of the training rows."""
+    before = before or []
+    places = {c: f"__m{i}" for i, c in enumerate(columns)}
+    prepared = df
+    for stage in before:
+        prepared = stage.transform(prepared)
+    lookups = mean_lookups(prepared, places, spec.target)
+    stages, physical = plain.stages("x") if plain.expressions else ([], [])
+    assemble = VectorAssembler(
+        inputCols=[*physical, *places.values()], outputCol=FEATURES
+    )
 
     def train(rows: DataFrame) -> DataFrame:
-        """Means of the other folds, so no row's label is in its features."""
         keys = [spec.id] if spec.id in rows.columns else rows.columns
-        out = stage.transform(rows).withColumn(
-            "__fold", F.pmod(F.xxhash64(*keys), F.lit(MEAN_FOLDS))
-        )
-        for c in spec.high_card:
-            out = enc.target_mean_oof(
-                out.drop(place[c]), c, spec.target, "__fold", out=place[c]
-            )
-        return assemble.transform(out)
-
-    return FeatureStages([stage, assemble], encoder.names, max_bins, train)
+        for stage in before:
+            rows = stage.transform(rows)
+        rows = own_means(rows, places, spec.target, keys)
+        for stage in [*stages, assemble]:
+            rows = stage.transform(rows)
+        return rows
+
+    return FeatureStages(
+        [*before, *stages, *lookups, assemble],
+        [*plain.names, *columns],
+        max_bins,
+        train,
+    )
 
 
 def all_categorical_stages(
-    df: DataFrame, spec: TableSpec, bands: int = 32, max_bins: int = 32
+    df: DataFrame, spec: TableSpec, max_bins: int = 32
 ) -> FeatureStages:
-    """Every column as a category, numbers in quantile bands.
-
-    Tree learners on Spark hold a category per bin, so numbers become
-    `bands` groups of equal size instead of one category per value.
-    """
-    numeric = [*spec.robust, *spec.numeric]
-    steps = [i / bands for i in range(1, bands)]
-    found = exact_quantiles(df, {c: steps for c in numeric}) if numeric else {}
-    banded = {}
-    for c in numeric:
-        cuts = sorted({v for v in found[c] if v is not None})
-        banded[c] = " + ".join(
-            [f"CAST({enc.name(c)} >= {enc.literal(float(v))} AS INT)"
-             for v in cuts]
-        ) or "0"
-    stage, physical = enc.Encoder(banded).stage("b")
-    prepared = stage.transform(df)
-    columns = [*physical, *spec.high_card, *spec.binary, *spec.ordinal]
-    rest = _with_categories(
-        prepared, enc.Encoder(), columns, max_bins
+    """Every value of every column as a category, and pairs of the columns
+    that are categories by nature; each by its ordered target mean."""
+    single = [
+        *spec.robust,
+        *spec.numeric,
+        *spec.high_card,
+        *spec.binary,
+        *spec.ordinal,
+    ]
+    nature = [*spec.high_card, *spec.binary, *spec.ordinal]
+    pairs = {
+        f"{a} & {b}": f"concat_ws('\\u0001', {enc.key_sql(a)}, {enc.key_sql(b)})"
+        for a, b in combinations(nature, 2)
+    }
+    before = []
+    if pairs:
+        parts = ", ".join(f"{e} AS {enc.name(n)}" for n, e in pairs.items())
+        before = [SQLTransformer(statement=f"SELECT *, {parts} FROM __THIS__")]
+    return _with_means(
+        df,
+        spec,
+        enc.Encoder(),
+        [*single, *pairs],
+        max_bins,
+        ordered_means,
+        before,
     )
-    raw = dict(zip(physical, numeric, strict=True))
-    names = [raw.get(c, c) for c in rest.names]
-    return FeatureStages([stage, *rest.stages], names, rest.bins)
 
 
 # --- estimators -----------------------------------------------------------------

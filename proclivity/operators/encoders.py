@@ -2,8 +2,9 @@
 
 Fitting computes a few statistics with Spark; the fitted encoder is a list of
 SQL expressions with those statistics as literals. Transforming is therefore
-a plain projection inside generated code, it needs no join, and Spark's own
-`SQLTransformer` stores it with the model.
+a plain projection inside generated code, and Spark's own `SQLTransformer`
+stores it with the model. Level codes and target means, whose number grows
+with the data, are stored tables that a stage joins first (`dictionaries`).
 """
 
 from __future__ import annotations
@@ -19,6 +20,11 @@ from pyspark.sql import functions as F
 
 from proclivity.functions.exact import exact_quantiles
 from proclivity.functions.tables import settle
+from proclivity.operators.dictionaries import (
+    Lookup,
+    level_lookups,
+    mean_lookups,
+)
 from proclivity.session import staged
 from proclivity.functions.scalar import NAN_KEY, literal, name, str_key
 
@@ -30,9 +36,13 @@ def key_sql(column: str) -> str:
 
 @dataclass
 class Encoder:
-    """Fitted encoder: output name -> SQL expression, in output order."""
+    """Fitted encoder: output name -> SQL expression, in output order.
+
+    Expressions may name columns that `lookups` add from stored tables first.
+    """
 
     expressions: dict[str, str] = field(default_factory=dict)
+    lookups: list[Lookup] = field(default_factory=list)
 
     @property
     def names(self) -> list[str]:
@@ -41,23 +51,28 @@ class Encoder:
 
     def apply(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """Encoded columns next to the columns to keep."""
+        for lookup in self.lookups:
+            df = lookup.transform(df)
         return df.select(
             *keep,
             *[F.expr(e).alias(n) for n, e in self.expressions.items()],
         )
 
-    def stage(self, prefix: str = "x") -> tuple[Transformer, list[str]]:
-        """The encoder as a storable stage, with its physical columns."""
+    def stages(self, prefix: str = "x") -> tuple[list[Transformer], list[str]]:
+        """The encoder as storable stages, with its physical columns."""
         physical = [f"__{prefix}{i}" for i in range(len(self.expressions))]
         parts = ", ".join(
             f"{e} AS {name(c)}"
             for c, e in zip(physical, self.expressions.values(), strict=True)
         )
         statement = f"SELECT *, {parts} FROM __THIS__"
-        return SQLTransformer(statement=statement), physical
+        return [*self.lookups, SQLTransformer(statement=statement)], physical
 
     def __add__(self, other: Encoder) -> Encoder:
-        return Encoder({**self.expressions, **other.expressions})
+        return Encoder(
+            {**self.expressions, **other.expressions},
+            [*self.lookups, *other.lookups],
+        )
 
 
 # --- frequency --------------------------------------------------------------
@@ -192,9 +207,8 @@ def fit_levels(
 ) -> dict[str, list[Any]]:
     """Sorted distinct values per column (numbers in numeric order).
 
-    One aggregate for all columns. The levels become literals of the fitted
-    encoder, so the driver holds them; `fit_frequency` keeps only the common
-    ones, and `category_dictionary` is a table.
+    For one-hot columns, whose levels become columns. Codes and means of
+    columns with many levels come from tables (`dictionaries`).
     """
     if not columns:
         return {}
@@ -242,16 +256,28 @@ def fit_ordinal(levels: Mapping[str, Sequence[Any]]) -> Encoder:
     )
 
 
+def _level_column(column: str) -> str:
+    return f"__level_{column}"
+
+
 def fit_ordinal_learned(df: DataFrame, columns: Sequence[str]) -> Encoder:
     """Sorted levels -> 0..k-1; an unknown level is an error."""
-    return fit_ordinal(fit_levels(df, columns))
+    return _coded(df, columns, {c: _unknown(c) for c in columns})
 
 
 def fit_category_index(df: DataFrame, columns: Sequence[str]) -> Encoder:
     """Category codes frozen at fit time; an unseen value becomes null."""
-    found = fit_levels(df, columns)
+    return _coded(df, columns, {})
+
+
+def _coded(
+    df: DataFrame, columns: Sequence[str], miss: Mapping[str, str]
+) -> Encoder:
+    """Codes from stored tables of levels, of any size."""
+    places = {c: _level_column(c) for c in columns}
     return Encoder(
-        {c: _case(c, levels, "NULL") for c, levels in found.items()}
+        {c: name(place) for c, place in places.items()},
+        level_lookups(df, places, miss),
     )
 
 
@@ -383,41 +409,14 @@ def fit_target_mean(
 ) -> Encoder:
     """Mean target per category for scoring; unseen values get the mean.
 
-    One grouped pass for all columns. The rows that the means are made of
+    The means are a stored table, of any size. The rows that they are made of
     must not be trained on with them: use `target_mean_oof` there.
     """
-    if not columns:
-        return Encoder({})
-    y = F.col(target).cast("double")
-    cells = F.array(
-        *[
-            F.struct(F.lit(c).alias("c"), str_key(c).alias("k"))
-            for c in columns
-        ]
-    )
-    rows = (
-        df.select(F.inline(cells), y.alias("y"))
-        .groupBy("c", "k")
-        .agg(F.sum("y").alias("s"), F.count(F.lit(1)).alias("n"))
-        .orderBy("c", "k")
-        .collect()
+    places = {c: f"__mean_{c}" for c in columns}
+    return Encoder(
+        {c: name(place) for c, place in places.items()},
+        mean_lookups(df, places, target, weight),
     )
-    size = sum(r["n"] for r in rows) / len(columns)
-    total = sum(r["s"] or 0.0 for r in rows) / len(columns)
-    prior = total / size if size else 0.0
-    out = {}
-    for c in columns:
-        pairs = ", ".join(
-            f"{literal(r['k'])}, "
-            f"{literal(((r['s'] or 0.0) + prior * weight) / (r['n'] + weight))}"
-            for r in rows
-            if r["c"] == c
-        )
-        out[c] = (
-            f"coalesce(try_element_at(map({pairs}), {key_sql(c)}), "
-            f"{literal(prior)})"
-        )
-    return Encoder(out)
 
 
 # --- derived columns -----------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from proclivity.models.bundle import linear_score_sql
@@ -13,6 +15,7 @@ from proclivity.operators import lookups
 from proclivity.operators import profiling, registry, validate
 from proclivity.models.search import best_trial
 from proclivity.models.search import median_pruning as prune
+from proclivity.operators.dictionaries import ordered_means
 from proclivity.operators.sampling import stratified_folds, stratified_split
 from proclivity.plans.catalog import query, r6, rounded
 from proclivity.plans.data_queries import SPLIT_SQL
@@ -83,17 +86,20 @@ def freq_encode_other(spark, sf):
     f"""WITH {MESSY}, d AS (SELECT c_mktsegment AS v,
       dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS code
       FROM (SELECT DISTINCT c_mktsegment FROM oc) t),
-    n AS (SELECT c_nationkey AS v, dense_rank() OVER (ORDER BY c_nationkey)
-      - 1 AS code FROM (SELECT DISTINCT c_nationkey FROM oc) t)
+    n AS (SELECT o_custkey AS v, dense_rank() OVER (ORDER BY o_custkey)
+      - 1 AS code FROM (SELECT DISTINCT o_custkey FROM oc
+                        WHERE id % 3 <> 0) t)
     SELECT id, CAST(d.code AS INTEGER) AS c_mktsegment,
-           CAST(n.code AS INTEGER) AS c_nationkey
+           CAST(n.code AS INTEGER) AS o_custkey
     FROM messy LEFT JOIN d ON c_mktsegment = d.v
-    LEFT JOIN n ON c_nationkey = n.v""",
+    LEFT JOIN n ON o_custkey = n.v""",
 )
 def category_index(spark, sf):
-    encoder = enc.fit_category_index(
-        customers(spark, sf), ["c_mktsegment", "c_nationkey"]
-    )
+    """Thousands of customers as a category; some are not seen at the fit."""
+    df = customers(spark, sf)
+    segments = enc.fit_category_index(df, ["c_mktsegment"])
+    keys = enc.fit_category_index(df.where("id % 3 <> 0"), ["o_custkey"])
+    encoder = segments + keys
     return encoder.apply(messy(spark, sf), ["id"])
 
 
@@ -185,14 +191,14 @@ def ordinal_explicit(spark, sf):
 @query(
     "ordinal_learned",
     f"""WITH {OC}, d AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code
-      FROM (SELECT DISTINCT c_nationkey AS v FROM oc) t)
+      FROM (SELECT DISTINCT o_custkey AS v FROM oc) t)
     SELECT id, CAST(in_debt = 'Yes' AS INTEGER) AS in_debt,
-           CAST(code AS INTEGER) AS c_nationkey
-    FROM oc JOIN d ON c_nationkey = v""",
+           CAST(code AS INTEGER) AS o_custkey
+    FROM oc JOIN d ON o_custkey = v""",
 )
 def ordinal_learned(spark, sf):
     df = customers(spark, sf)
-    return enc.fit_ordinal_learned(df, ["in_debt", "c_nationkey"]).apply(
+    return enc.fit_ordinal_learned(df, ["in_debt", "o_custkey"]).apply(
         df, ["id"]
     )
 
@@ -223,15 +229,20 @@ def encoded_features(spark, sf):
 @query(
     "native_features",
     f"""WITH {OC}, d AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code
-      FROM (SELECT DISTINCT c_nationkey AS v FROM oc) t)
+      FROM (SELECT DISTINCT c_nationkey AS v FROM oc) t),
+    k AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code
+      FROM (SELECT DISTINCT o_custkey AS v FROM oc) t)
     SELECT id, o_totalprice, c_acctbal,
       CAST(in_debt = 'Yes' AS INTEGER) AS in_debt,
-      {ORDINAL_CASE} AS o_orderpriority, CAST(code AS INTEGER) AS c_nationkey
-    FROM oc JOIN d ON c_nationkey = v""",
+      {ORDINAL_CASE} AS o_orderpriority,
+      CAST(d.code AS INTEGER) AS c_nationkey,
+      CAST(k.code AS INTEGER) AS o_custkey
+    FROM oc JOIN d ON c_nationkey = d.v JOIN k ON o_custkey = k.v""",
 )
 def native_features(spark, sf):
     df = customers(spark, sf)
-    return enc.fit_native_features(df, SPEC).apply(df, ["id"])
+    spec = replace(SPEC, high_card=("c_nationkey", "o_custkey"))
+    return enc.fit_native_features(df, spec).apply(df, ["id"])
 
 
 @query(
@@ -274,6 +285,59 @@ def target_mean_oof(spark, sf):
     return out.select("id", r6("target_mean"))
 
 
+@query(
+    "target_mean_table",
+    f"""WITH {MESSY}, t AS (SELECT o_custkey AS v, sum(y) AS s, count(*) AS n
+      FROM oc WHERE id % 3 <> 0 GROUP BY 1),
+    p AS (SELECT avg(CAST(y AS DOUBLE)) AS p FROM oc WHERE id % 3 <> 0)
+    SELECT id, round(coalesce((s + p) / (n + 1.0), p), 6) AS o_custkey
+    FROM messy CROSS JOIN p LEFT JOIN t ON o_custkey = v""",
+)
+def target_mean_table(spark, sf):
+    """Mean target of thousands of customers; some are not seen at the fit."""
+    df = customers(spark, sf).where("id % 3 <> 0")
+    encoder = enc.fit_target_mean(df, ["o_custkey"], "y")
+    return rounded(encoder.apply(messy(spark, sf), ["id"]))
+
+
+def _before(column):
+    return (
+        f"sum(y) OVER (PARTITION BY {column} ORDER BY {md5_sql()}, id "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)",
+        f"row_number() OVER (PARTITION BY {column} ORDER BY {md5_sql()}, id)",
+    )
+
+
+@query(
+    "ordered_target_means",
+    f"""WITH {OC}, p AS (SELECT avg(CAST(y AS DOUBLE)) AS p FROM oc)
+    SELECT id, """
+    + ", ".join(
+        f"round((coalesce({total}, 0) + p) / ({n}), 6) AS {out}"
+        for out, (total, n) in {
+            "by_customer": _before("o_custkey"),
+            "by_price": _before("o_totalprice"),
+            "by_pair": _before("c_nationkey, in_debt"),
+        }.items()
+    )
+    + " FROM oc, p",
+)
+def ordered_target_means(spark, sf):
+    """Means over the rows before a row: of every value, and of a pair."""
+    df = customers(spark, sf).withColumn(
+        "pair", F.concat_ws("/", "c_nationkey", "in_debt")
+    )
+    places = {
+        "o_custkey": "by_customer",
+        "o_totalprice": "by_price",
+        "pair": "by_pair",
+    }
+    out = ordered_means(
+        df.select("id", "y", *places), places, "y", ["id"]
+    )
+    return rounded(out.select("id", *places.values()))
+
+
 @query(
     "class_weight_column",
     f"""WITH {OC} SELECT id, y, round(count(*) OVER ()
