@@ -6,11 +6,10 @@ prefix sums replace one global sort; see `functions.exact`.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from proclivity.functions.exact import (
@@ -31,13 +30,9 @@ from proclivity.functions.scalar import (
 )
 from proclivity.functions.tables import settle
 from proclivity.operators.ranking import TopShares
-from proclivity.session import ship_by_value
 
 METRICS = ["precision", "recall", "f1", "roc_auc"]
 
-ship_by_value(__name__)
-
-
 def _counts(target: str, score: str, threshold) -> dict[str, Column]:
     y = F.col(target)
     hit = threshold_decision(score, threshold) == 1
@@ -585,6 +580,75 @@ def auc_ci_hanley(auc: DataFrame, z: float = 1.959963984540054) -> DataFrame:
     )
 
 
+#: Groups of at most this many equal rows draw a weight for each row.
+SINGLE_DRAWS = 20
+
+
+def poisson_cuts() -> list[float]:
+    """Distribution function of Poisson(1) at 0, 1, 2, ..."""
+    terms = [math.exp(-1)]
+    while terms[-1] > 1e-11:
+        terms.append(terms[-1] / len(terms))
+    return [math.fsum(terms[: i + 1]) for i in range(len(terms))]
+
+
+def _uniform(*parts: Column) -> Column:
+    """A number in (0, 1) from the first 32 bits of an md5."""
+    digits = F.substring(F.md5(F.concat_ws(":", *parts)), 1, 8)
+    return (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 32)
+
+
+def poisson_weights(
+    df: DataFrame, sizes: Mapping[str, str], key: Sequence[str]
+) -> DataFrame:
+    """Replaces sizes by Poisson(size) numbers that depend on the key only.
+
+    `sizes` gives each column a salt. The weight is the inverse distribution
+    function of a hash: of one hash a row for up to SINGLE_DRAWS rows; beyond,
+    the normal quantile with the correction for skewness (two hashes), whose
+    distribution differs from Poisson's by less than 0.01 there and by less
+    for larger sizes.
+    """
+
+    def uniform(salt: str, more: Column) -> Column:
+        return _uniform(*map(F.col, key), F.lit(salt), more)
+
+    def drawn(u: Column) -> Column:
+        return sum(((u >= c).cast("long") for c in poisson_cuts()), F.lit(0))
+
+    def weight(c: str, salt: str) -> Column:
+        size = F.col(c)
+        many = F.aggregate(
+            F.transform(
+                F.sequence(F.lit(1), size.cast("int")),
+                lambda i: uniform(salt, i.cast("string")),
+            ),
+            F.lit(0).cast("long"),
+            lambda total, u: total + drawn(u),
+        )
+        z = F.sqrt(-2 * F.log(uniform(salt, F.lit("a")))) * F.cos(
+            2 * math.pi * uniform(salt, F.lit("b"))
+        )
+        rough = size + F.sqrt(size.cast("double")) * z + (z * z - 1) / 6
+        return (
+            F.when(size == 0, F.lit(0))
+            .when(size == 1, drawn(F.col(f"__u_{c}")))
+            .when(size <= SINGLE_DRAWS, many)
+            .otherwise(F.greatest(F.floor(rough + 0.5), F.lit(0)))
+            .cast("long")
+        )
+
+    # a column of its own, so that each comparison does not hash again
+    first = {
+        f"__u_{c}": F.when(F.col(c) == 1, uniform(salt, F.lit("1")))
+        for c, salt in sizes.items()
+    }
+    out = df.withColumns(first)
+    return out.withColumns(
+        {c: weight(c, salt) for c, salt in sizes.items()}
+    ).drop(*first)
+
+
 def bootstrap_ci(
     df: DataFrame,
     target: str,
@@ -593,30 +657,62 @@ def bootstrap_ci(
     repeats: int = 300,
     level: float = 0.95,
     seed: int = 42,
-    bucket_rows: int = 200_000,
+    bucket_rows: int = 50_000,
 ) -> DataFrame:
     """Poisson bootstrap intervals of precision, recall, F1 and AUC.
 
     A group of m equal rows gets a Poisson(m) weight per repeat, which is the
     same as Poisson(1) for each of its rows. So rows collapse to distinct
-    scores, one task walks through its score range in batches with all
-    repeats side by side, and only `repeats` rows per range leave it.
+    scores, which are dealt over order buckets once; each is repeated only
+    inside its bucket, where a window by (bucket, repeat) adds up what lies
+    below. `repeats` rows a bucket leave it. Weights are hashes of score,
+    class, repeat and seed: they depend neither on the partitions nor on the
+    order of rows.
     """
     cuts, _ = order_cuts(df, score, bucket_rows)
     runs = df.groupBy(score).agg(
         *[F.sum(c).alias(n) for n, c in _positives(target).items()]
     ).withColumn("bucket", step_index(score, cuts))
-    ordered = runs.repartition(len(cuts) + 1, "bucket").sortWithinPartitions(
-        "bucket", score
-    )
-    schema = (
-        "bucket int, repeat int, pos double, neg double, wins double, "
-        "tp double, fp double"
-    )
-    parts = ordered.select(
-        "bucket", F.col(score).alias("score"), "pos", "neg"
-    ).mapInPandas(
-        lambda batches: _resample(batches, threshold, repeats, seed), schema
+    # two whole numbers that tell all scores between 0 and 1 apart
+    scaled = F.col(score).cast("double") * float(1 << 26)
+    rest = (scaled - F.floor(scaled)) * float(1 << 26)
+    key = F.concat_ws(
+        ":", F.floor(scaled).cast("string"), F.floor(rest).cast("string")
+    )
+    dealt = runs.repartition(len(cuts) + 1, "bucket").select(
+        "bucket",
+        F.col(score).alias("score"),
+        "pos",
+        "neg",
+        key.alias("key"),
+        F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat"),
+    )
+    drawn = poisson_weights(
+        dealt.withColumn("seed", F.lit(str(seed))),
+        {"pos": "p", "neg": "n"},
+        ["key", "repeat", "seed"],
+    )
+    # the rows are dealt by bucket already, so this needs no exchange
+    before = Window.partitionBy("bucket", "repeat").orderBy("score")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("neg").over(before), F.lit(0))
+    flagged = F.col("score") >= threshold
+    parts = (
+        drawn.withColumn("below", below)
+        .groupBy("bucket", "repeat")
+        .agg(
+            F.sum("pos").cast("double").alias("pos"),
+            F.sum("neg").cast("double").alias("neg"),
+            F.sum(
+                F.col("pos") * (F.col("below") + F.col("neg") / 2)
+            ).alias("wins"),
+            F.sum(F.when(flagged, F.col("pos")).otherwise(0))
+            .cast("double")
+            .alias("tp"),
+            F.sum(F.when(flagged, F.col("neg")).otherwise(0))
+            .cast("double")
+            .alias("fp"),
+        )
     )
     renamed = parts.withColumnsRenamed({"bucket": "__bucket"})
     total = _auc_total(renamed, ["repeat"]).withColumn(
@@ -646,47 +742,6 @@ def bootstrap_ci(
     )
 
 
-def _resample(batches, threshold: float, repeats: int, seed: int):
-    """Weighted totals of one sorted partition, batch by batch."""
-    state: dict[int, dict] = {}
-    step = max(1, 4_000_000 // repeats)
-    for pdf in batches:
-        for bucket, rows in pdf.groupby("bucket", sort=False):
-            s = state.get(bucket)
-            if s is None:
-                s = state[bucket] = {
-                    "rng": np.random.default_rng([seed, int(bucket)]),
-                    **{
-                        k: np.zeros(repeats)
-                        for k in ("pos", "neg", "wins", "tp", "fp")
-                    },
-                }
-            for start in range(0, len(rows), step):
-                _add(s, rows.iloc[start : start + step], threshold, repeats)
-    for bucket, s in state.items():
-        yield pd.DataFrame(
-            {
-                "bucket": np.int32(bucket),
-                "repeat": np.arange(repeats, dtype=np.int32),
-                **{k: s[k] for k in ("pos", "neg", "wins", "tp", "fp")},
-            }
-        )
-
-
-def _add(s: dict, rows: pd.DataFrame, threshold: float, repeats: int) -> None:
-    shape = (len(rows), repeats)
-    rng = s["rng"]
-    pos = rng.poisson(rows["pos"].to_numpy(float)[:, None], shape)
-    neg = rng.poisson(rows["neg"].to_numpy(float)[:, None], shape)
-    below = np.cumsum(neg, axis=0) - neg + s["neg"]
-    s["wins"] += (pos * (below + neg / 2)).sum(axis=0)
-    s["pos"] += pos.sum(axis=0)
-    s["neg"] += neg.sum(axis=0)
-    flagged = rows["score"].to_numpy() >= threshold
-    s["tp"] += pos[flagged].sum(axis=0)
-    s["fp"] += neg[flagged].sum(axis=0)
-
-
 def rule_baseline(
     df: DataFrame, target: str, rule: Column, bucket_rows: int = SORT_ROWS
 ) -> DataFrame:

@@ -732,10 +732,60 @@ def auc_ci_hanley(spark, sf):
     return rounded(ev.auc_ci_hanley(auc))
 
 
-@query("bootstrap_ci")
+def _draw_sql(size: str, group: str) -> str:
+    """The weight of a group of equal rows in one repeat, from md5 hashes."""
+
+    def uniform(more: str) -> str:
+        text = f"concat_ws(':', key, repeat, '42', '{group}', {more})"
+        return f"((CAST('0x' || md5({text})[1:8] AS BIGINT) + 0.5) / 4294967296.0)"
+
+    def one(more: str) -> str:
+        cuts = ", ".join(f"{c!r}" for c in ev.poisson_cuts())
+        return f"len([c FOR c IN [{cuts}] IF {uniform(more)} >= c])"
+
+    z = (
+        f"(sqrt(-2 * ln({uniform("'a'")}))"
+        f" * cos(2 * pi() * {uniform("'b'")}))"
+    )
+    return f"""CASE WHEN {size} = 0 THEN 0 WHEN {size} <= {ev.SINGLE_DRAWS}
+      THEN list_sum([{one("i")} FOR i IN range(1, CAST({size} AS BIGINT) + 1)])
+      ELSE greatest(floor({size} + sqrt({size}) * {z}
+        + ({z} * {z} - 1) / 6 + 0.5), 0) END"""
+
+
+@query(
+    "bootstrap_ci",
+    f"""WITH {OC}, g AS (SELECT score, sum(y) AS p, sum(1 - y) AS q,
+      concat_ws(':', CAST(floor(score * 67108864) AS BIGINT),
+        CAST(floor((score * 67108864 - floor(score * 67108864)) * 67108864)
+          AS BIGINT)) AS key
+      FROM oc GROUP BY score),
+    w AS (SELECT score, repeat, {_draw_sql("p", "p")} AS p,
+        {_draw_sql("q", "n")} AS q
+      FROM g, (SELECT unnest(range(300)) AS repeat) r),
+    b AS (SELECT *, coalesce(sum(q) OVER (PARTITION BY repeat ORDER BY score
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM w),
+    t AS (SELECT repeat, CAST(sum(p) AS DOUBLE) AS pos,
+        CAST(sum(q) AS DOUBLE) AS neg, sum(p * (below + q / 2.0)) AS wins,
+        CAST(sum(p) FILTER (score >= 0.5) AS DOUBLE) AS tp,
+        CAST(sum(q) FILTER (score >= 0.5) AS DOUBLE) AS fp
+      FROM b GROUP BY repeat),
+    v AS (SELECT unnest([
+        {{'metric': 'precision', 'value': tp / (tp + fp)}},
+        {{'metric': 'recall', 'value': tp / pos}},
+        {{'metric': 'f1', 'value': 2 * tp / (tp + fp + pos)}},
+        {{'metric': 'roc_auc', 'value': wins / (pos * neg)}}
+      ], recursive := true) FROM t)
+    SELECT metric, round(avg(value), 6) AS mean,
+      round(quantile_cont(value, 0.025), 6) AS ci_low,
+      round(quantile_cont(value, 0.975), 6) AS ci_high
+    FROM v GROUP BY metric""",
+)
 def bootstrap_ci(spark, sf):
     return rounded(
-        ev.bootstrap_ci(customers(spark, sf), "y", "score", repeats=300)
+        ev.bootstrap_ci(
+            customers(spark, sf), "y", "score", repeats=300, bucket_rows=2_000
+        )
     )
 
 

@@ -216,6 +216,27 @@ def test_bootstrap_covers_the_estimate(skewed):
     exact_row = ev.confusion_metrics(df, "y", "score").first()
     for m in ("precision", "recall", "f1"):
         assert got[m]["ci_low"] < exact_row[m] < got[m]["ci_high"]
+    # weights depend neither on the buckets nor on the order of rows
+    again = ev.bootstrap_ci(
+        df.repartition(13), "y", "score", repeats=200, bucket_rows=250
+    )
+    for r in again.collect():
+        assert r["mean"] == pytest.approx(got[r["metric"]]["mean"], abs=1e-12)
+
+
+def test_poisson_weights_have_their_distribution(spark):
+    for size in (1, 7, 20, 21, 400):
+        rows = spark.range(20_000).select(
+            F.col("id").cast("string").alias("k"), F.lit(size).alias("n")
+        )
+        drawn = ev.poisson_weights(rows, {"n": "x"}, ["k"]).agg(
+            F.avg("n").alias("m"), F.var_pop("n").alias("v"),
+            F.min("n").alias("least"), F.skewness("n").alias("s"),
+        ).first()
+        assert drawn["m"] == pytest.approx(size, rel=0.03)
+        assert drawn["v"] == pytest.approx(size, rel=0.05)
+        assert drawn["s"] == pytest.approx(size**-0.5, abs=0.08)
+        assert drawn["least"] >= 0
 
 
 def test_settle_leaves_large_tables_alone(spark):
