@@ -6,19 +6,21 @@ they are translated to MLlib parameters here.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from itertools import combinations
 from typing import Any
 
-from pyspark import keyword_only
+from pyspark import SparkContext, keyword_only
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import (
+    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.param import Param, Params
+from pyspark.ml.wrapper import JavaWrapper
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -271,7 +273,7 @@ def _forest(p: dict, weight_sum: float, bins: int, seed: int):
 
 def _boosting(p: dict, weight_sum: float, bins: int, seed: int):
     settings = {}
-    if "validation_col" in p:
+    if "validation_col" in p and "early_stopping_rounds" not in p:
         settings["validationIndicatorCol"] = p["validation_col"]
         settings["validationTol"] = p.get("validation_tol", 0.01)
     return GBTClassifier(
@@ -290,6 +292,57 @@ def _boosting(p: dict, weight_sum: float, bins: int, seed: int):
     )
 
 
+def patience_stop(curve: Sequence[float], rounds: int) -> tuple[int, int]:
+    """(trees to keep, trees looked at) of a curve of losses.
+
+    The curve is read until `rounds` trees in a row bring no new least loss;
+    the trees up to the first least loss are kept.
+    """
+    best = 0
+    for i, loss in enumerate(curve):
+        if loss < curve[best]:
+            best = i
+        elif i - best >= rounds:
+            return best + 1, i + 1
+    return best + 1, len(curve)
+
+
+def first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
+    """The model of the first n trees of a boosted model."""
+    java = SparkContext._active_spark_context._gateway.jvm
+    ml = java.org.apache.spark.ml
+    trees = model._java_obj.trees()
+    made = JavaWrapper._new_java_obj(
+        "org.apache.spark.ml.classification.GBTClassificationModel",
+        model.uid,
+        JavaWrapper._new_java_array(
+            [trees[i] for i in range(n)],
+            ml.regression.DecisionTreeRegressionModel,
+        ),
+        JavaWrapper._new_java_array(model.treeWeights[:n], java.double),
+        model.numFeatures,
+        model.numClasses,
+    )
+    return GBTClassificationModel(made).setFeaturesCol(model.getFeaturesCol())
+
+
+def fit_with_patience(
+    estimator: GBTClassifier,
+    train: DataFrame,
+    held_out: DataFrame,
+    rounds: int,
+) -> tuple[GBTClassificationModel, list[float]]:
+    """The boosted model cut where the held-out loss stops falling.
+
+    All trees are fitted on the training rows; one pass over the held-out
+    rows gives the mean log loss after each tree (staged predictions).
+    """
+    model = estimator.fit(train)
+    curve = list(model.evaluateEachIteration(held_out))
+    kept, seen = patience_stop(curve, rounds)
+    return first_trees(model, kept), curve[:seen]
+
+
 BUILDERS: dict[str, tuple[Callable, Callable, str]] = {
     "logreg": (encoded_stages, _logreg, "logreg"),
     "random_forest": (encoded_stages, _forest, "random_forest"),
@@ -304,7 +357,8 @@ MODEL_NAMES = list(BUILDERS)
 #: Parameters that each learner has; any other name is refused.
 BOOSTING_NAMES = frozenset(
     "n_estimators max_depth learning_rate subsample colsample_bytree "
-    "scale_pos_weight max_bins validation_col validation_tol".split()
+    "scale_pos_weight max_bins validation_col validation_tol "
+    "early_stopping_rounds".split()
 )
 PARAMETER_NAMES = {
     "logreg": frozenset(("C", "l1_ratio", "max_iter", "tol")),
@@ -359,13 +413,23 @@ class PropensityModel(Estimator):
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         p = model_params(self.name, self.getOrDefault(self.settings))
         target = self.spec.target
-        features = self.feature_stages(dataset)
-        sizes = class_sizes(dataset, target)
+        known = dataset
+        if p.get("early_stopping_rounds") and "validation_col" in p:
+            # nothing is learned from the held-out rows
+            known = dataset.where(~F.col(p["validation_col"]))
+        features = self.feature_stages(known)
+        sizes = class_sizes(known, target)
         if self.name == "logreg" or p.get("class_weight") == "balanced":
             weights = balanced_weights(sizes)
         else:
             weights = {0: 1.0, 1: float(p.get("scale_pos_weight", 1.0))}
-        prepared = features.train(dataset)
+        if known is dataset:
+            prepared = features.train(dataset)
+        else:
+            prepared = features.train(known).unionByName(
+                features.transform(dataset.where(F.col(p["validation_col"]))),
+                allowMissingColumns=True,
+            )
         extra = [p["validation_col"]] if "validation_col" in p else []
         # the learners cache their own form of the rows; a second copy here
         # would only take memory from them
@@ -379,9 +443,22 @@ class PropensityModel(Estimator):
         estimator = BUILDERS[self.name][1](
             p, float(sum(sizes.values())), features.bins, self.seed
         )
-        model = estimator.fit(ready)
+        rounds = p.get("early_stopping_rounds")
+        if rounds:
+            if not extra:
+                raise ValueError("early stopping needs a validation_col")
+            held_out = F.col(extra[0])
+            model, curve = fit_with_patience(
+                estimator,
+                ready.where(~held_out),
+                ready.where(held_out),
+                rounds,
+            )
+        else:
+            model, curve = estimator.fit(ready), None
         fitted = PipelineModel([*features.stages, model])
         fitted.slots = features.names
+        fitted.curve = curve
         self.slots = features.names
         return fitted
 

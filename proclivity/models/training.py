@@ -61,7 +61,11 @@ def evaluate(
     )
     try:
         rows = classification_metrics(
-            scored, target, "probability", threshold or bundle.threshold, by
+            scored,
+            target,
+            "probability",
+            bundle.threshold if threshold is None else threshold,
+            by,
         ).collect()
     finally:
         scored.unpersist()
@@ -94,9 +98,24 @@ def fit_and_evaluate(
         "n_train": parts["train"]["n_rows"],
         "n_test": parts["test"]["n_rows"],
     }
+    if fitted.curve is not None:
+        bundle.metrics["curve"] = fitted.curve
     return bundle
 
 
+def curve_rows(spark, bundle: ModelBundle) -> DataFrame:
+    """Held-out loss after each tree that was looked at, and those kept."""
+    kept = bundle.pipeline.stages[-1].getNumTrees
+    return local_table(
+        spark,
+        [
+            (i, float(loss), i <= kept)
+            for i, loss in enumerate(bundle.metrics["curve"], 1)
+        ],
+        "trees int, loss double, kept boolean",
+    )
+
+
 def metric_rows(spark, bundles: Sequence[ModelBundle]) -> DataFrame:
     """Comparison table: test metrics and fit time of several models."""
     rows = [
@@ -121,6 +140,10 @@ def save_run(bundle: ModelBundle, out_dir: str, spark) -> str:
     bundle.save(f"{path}/model")
     write_metrics(metric_rows(spark, [bundle]), f"{path}/metrics")
     write_importance(bundle.importance(spark), f"{path}/feature_importance")
+    if "curve" in bundle.metrics:
+        curve_rows(spark, bundle).write.mode("overwrite").parquet(
+            f"{path}/validation_curve"
+        )
     return path
 
 

@@ -111,26 +111,25 @@ query("fit_all_categorical")(_fit_query("gbt_all_categorical"))
 
 @query("early_stopping_fit")
 def early_stopping_fit(spark, sf):
-    df = staged(creditors(spark, sf).select(*_columns()))
-    parts = train_val_test_split(df, "id", "y", 0.25, 0.03).filter(
-        F.col("split") != "test"
+    """The stored curve of a model that stops after rounds without gain."""
+    parts = staged(
+        train_val_test_split(
+            creditors(spark, sf).select(*_columns()), "id", "y", 0.25, 0.2
+        )
+    )
+    data = parts.withColumn("is_val", F.col("split") == "val").withColumn(
+        "split", F.when(F.col("split") == "test", "test").otherwise("train")
     )
-    data = parts.withColumn("is_val", F.col("split") == "val")
     settings = {
         **SMALL["gbt"],
-        "n_estimators": 20,
+        "n_estimators": 30,
+        "learning_rate": 0.5,
         "validation_col": "is_val",
-        "validation_tol": 0.01,
+        "early_stopping_rounds": 5,
     }
-    fitted = builders.PropensityModel(
-        name="gbt", spec=SCORING_SPEC, settings=settings
-    ).fit(data)
-    trees = fitted.stages[-1].getNumTrees
-    return training.local_table(
-        spark,
-        [(settings["n_estimators"], trees)],
-        "max_trees int, trees int",
-    )
+    bundle = training.fit_and_evaluate("gbt", data, SCORING_SPEC, settings)
+    path = training.save_run(bundle, scratch(spark), spark)
+    return rounded(spark.read.parquet(f"{path}/validation_curve"))
 
 
 @query(

@@ -335,3 +335,59 @@ def test_stream_scores_like_batch(spark, customers, logreg, tmp_path):
     got = spark.read.parquet(out).toPandas().sort_values("id")
     expected = logreg.predict(customers).toPandas().sort_values("id")
     assert np.array_equal(got.probability, expected.probability)
+
+
+def test_patience_rule():
+    stop = builders.patience_stop
+    assert stop([3, 2, 1, 2, 2, 0], 2) == (3, 5)
+    assert stop([3, 2, 1, 2, 2, 0], 3) == (6, 6)
+    assert stop([1, 1, 1, 1], 2) == (1, 3)  # equal is no gain
+    assert stop([3, 2, 1], 100) == (3, 3)
+    assert stop([5.0], 1) == (1, 1)
+
+
+def test_early_stopping_keeps_the_best_trees(spark, customers, tmp_path):
+    """The curve is the log loss of held-out rows under each cut model."""
+    from pyspark.ml import PipelineModel
+
+    rows = staged(
+        stratified_split(customers, "id", "Response").withColumn(
+            "is_val", (F.col("id") % 4 == 0) & (F.col("split") == "train")
+        )
+    )
+    settings = {
+        "n_estimators": 12, "max_depth": 4, "learning_rate": 0.8, "scale_pos_weight": 1.0,
+        "validation_col": "is_val", "early_stopping_rounds": 3,
+    }
+    bundle = training.fit_and_evaluate("gbt", rows, SPEC, settings)
+    curve, model = bundle.metrics["curve"], bundle.pipeline.stages[-1]
+    kept, seen = builders.patience_stop(curve, 3)
+    assert model.getNumTrees == kept and len(curve) == seen < 12
+    held = rows.where("is_val")
+    for n in (1, kept):
+        cut = PipelineModel(
+            [*bundle.pipeline.stages[:-1], builders.first_trees(model, n)]
+        )
+        at = ModelBundle("gbt", cut, SPEC, bundle.feature_names)
+        p = F.when(F.col("Response") == 1, F.col("probability")).otherwise(
+            1 - F.col("probability")
+        )
+        loss = at.probability(held, ["Response"]).agg(F.avg(-2 * F.log(p))).first()[0]
+        assert loss == pytest.approx(curve[n - 1])
+    path = training.save_run(bundle, str(tmp_path), spark)
+    stored = spark.read.parquet(f"{path}/validation_curve").orderBy("trees")
+    assert [r.kept for r in stored.collect()] == [i < kept for i in range(seen)]
+    again = ModelBundle.load(spark, f"{path}/model", SPEC)
+    assert again.predict(held).exceptAll(bundle.predict(held)).isEmpty()
+    with pytest.raises(ValueError, match="validation_col"):
+        training.fit_and_evaluate(
+            "gbt", rows, SPEC, {"n_estimators": 2, "max_depth": 2, "early_stopping_rounds": 2}
+        )
+
+
+def test_a_threshold_of_zero_counts(split):
+    bundle = training.fit_and_evaluate(
+        "logreg", split, SPEC, FAST["logreg"], threshold=0.9
+    )
+    row = training.evaluate(bundle, split, threshold=0.0)[0]
+    assert row["recall"] == 1.0
