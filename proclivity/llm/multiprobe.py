@@ -32,8 +32,9 @@ FUNCTIONS = 8
 TABLES = 6
 WIDTH = 2.5
 SEED = 20_11
-#: Fewest visited buckets a table that reach TARGET on the sample are taken.
-PROBES = (1, 10, 20, 40, 80, 160, 320, 640, 1280)
+#: Fewest visited buckets a table that reach TARGET on the sample are taken;
+#: the last are all that one step a projection leads to.
+PROBES = (1, 10, 20, 40, 80, 160, 320, 640, 1280, 2560, 3**FUNCTIONS)
 TARGET = 0.97
 SAMPLE = 2_000
 SAMPLE_QUERIES = 100
@@ -45,7 +46,9 @@ ASKED = 4_000_000
 DOUBLES = ArrayType(DoubleType())
 INDEX = schema("_class long, _ids longs, _keys longs").add("_vec", DOUBLES)
 PROBE = schema("query_id long, _keys longs")
-FOUND = schema("query_id long, _class long, _ids longs, score double")
+FOUND = schema("query_id long, vec_id long, score double")
+#: Products of unit vectors this close to the k-th are scored exactly.
+NEAR = 1e-9
 
 
 class Tables(NamedTuple):
@@ -184,7 +187,11 @@ def classes_of(rows: DataFrame, k: int) -> DataFrame:
 
 
 def fitted_probes(classes: DataFrame, k: int) -> int:
-    """Buckets a table to visit, by recall on SAMPLE vectors (by hash)."""
+    """Buckets a table to visit, by recall on SAMPLE vectors (by hash).
+
+    0 if no number of PROBES reaches TARGET: then no bucket is worth a visit
+    and every query takes the exact scan.
+    """
     picked = (
         classes.select("_class", "_vec")
         .orderBy(F.xxhash64("_class", F.lit(1)), "_class")
@@ -207,7 +214,7 @@ def fitted_probes(classes: DataFrame, k: int) -> int:
                 hit += (visits == cells[x][:, None, :]).all(2).any()
         if hit >= TARGET * best.size:
             return most
-    return PROBES[-1]
+    return 0
 
 
 def _arrow_map(df: DataFrame, fn, fields: StructType) -> DataFrame:
@@ -262,36 +269,53 @@ def probes(queries: DataFrame, most: int) -> DataFrame:
 def best_in_block(
     rows: pd.DataFrame, asked: pd.DataFrame, k: int
 ) -> pd.DataFrame:
-    """Each query's best classes among the buckets it visits in a block."""
+    """Each query's k nearest among the buckets it visits in a block; among
+    all rows of the block where queries name no buckets."""
     names = FOUND.fieldNames()
     if rows.empty or asked.empty:
         return pd.DataFrame({n: [] for n in names})
     vec = np.stack(rows["_vec"].to_numpy())
     norm = np.sqrt((vec * vec).sum(1))
     unit = vec / norm[:, None]
-    at: dict[int, list[int]] = {}
-    for i, key in enumerate(rows["_key"]):
-        at.setdefault(key, []).append(i)
-    members = {key: np.array(x) for key, x in at.items()}
+    members: dict[int, np.ndarray] = {}
+    keys_of_asked = [None] * len(asked)
+    if "_keys" in asked:
+        at: dict[int, list[int]] = {}
+        for i, key in enumerate(rows["_key"]):
+            at.setdefault(key, []).append(i)
+        members = {key: np.array(x) for key, x in at.items()}
+        keys_of_asked = asked["_keys"]
     classes = rows["_class"].to_numpy()
     ids = rows["_ids"].to_numpy()
+    every = np.arange(len(rows))
     out = []
     for query, keys, q in zip(
-        asked["query_id"], asked["_keys"], asked["_vec"], strict=True
+        asked["query_id"], keys_of_asked, asked["_vec"], strict=True
     ):
-        found = np.concatenate([members[x] for x in keys if x in members])
-        # a class can be here by several tables
-        _, first = np.unique(classes[found], return_index=True)
-        found = found[first]
-        near = unit[found] @ (q / np.sqrt((q * q).sum()))
-        most = min(k + 3, len(found))  # one class may be the query's own
-        top = found[np.argpartition(-near, most - 1)[:most]]
+        found = every
+        if keys is not None:
+            buckets = [members[x] for x in keys if x in members]
+            if not buckets:  # a part of a bucket may hold no row
+                continue
+            found = np.concatenate(buckets)
+            # a class can be here by several tables
+            _, first = np.unique(classes[found], return_index=True)
+            found = found[first]
+        size = np.sqrt((q * q).sum())
+        near = unit[found] @ (q / size)
+        # one class may be the query's own; ties with the last are kept
+        most = min(k + 1, len(found))
+        last = np.partition(near, len(found) - most)[len(found) - most]
+        top = found[near >= last - NEAR]
         # the exact measure, added up in the same order for every pair
-        score = (vec[top] * q).sum(1) / (norm[top] * np.sqrt((q * q).sum()))
-        out += [
-            (query, classes[i], ids[i], float(x))
-            for i, x in zip(top, score, strict=True)
-        ]
+        score = (vec[top] * q).sum(1) / (norm[top] * size)
+        nearest = sorted(
+            (-float(x), int(i))
+            for row, x in zip(top, score, strict=True)
+            for i in ids[row]
+            if i != query
+        )
+        out += [(query, i, -x) for x, i in nearest[:k]]
     return pd.DataFrame(out, columns=names)
 
 
@@ -315,15 +339,14 @@ def nearest(
     """The k nearest found of each query: query_id, rank, vec_id, score.
 
     Queries are the rows whose vec_id is divisible by `every`; candidates are
-    all rows with another vec_id. The measure is the cosine, in double
+    all rows with another vec_id; a query that meets fewer than k of them in
+    its buckets is compared with all. The measure is the cosine, in double
     precision on the original vectors; ties go to the smaller vec_id. Rows
     that `usable` leaves out take no part; repeated rows count once; other
     columns are ignored; an empty table gives no rows.
     """
     rows = usable(vectors)
     classes = staged(classes_of(rows, k), "classes")
-    n = classes.count()
-    most = fitted_probes(classes, k)
     # a query's vector is the smallest where its id is repeated
     queries = staged(
         rows.where(F.col("vec_id") % every == 0)
@@ -331,6 +354,78 @@ def nearest(
         .agg(F.min("_vec").alias("_vec")),
         "queries",
     )
+    most = fitted_probes(classes, k)
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+
+    def first_of(found: DataFrame) -> DataFrame:
+        return (
+            found.groupBy("query_id", "vec_id")
+            .agg(F.max("score").alias("score"))
+            .withColumn("rank", F.row_number().over(order))
+            .where(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score")
+        )
+
+    if not most:
+        return first_of(scanned(classes, queries, k))
+    near = staged(first_of(probed_rows(classes, queries, most, k)), "near")
+    # too few met: all other vectors are candidates, in exact blocks
+    ids = classes.select(F.explode("_ids").alias("vec_id"))
+    wanted = min(k, ids.distinct().limit(k + 1).count() - 1)
+    met = near.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n"))
+    lacking = staged(
+        queries.join(met, "query_id", "left")
+        .where(F.coalesce("_n", F.lit(0)) < wanted)
+        .select("query_id", "_vec"),
+        "lacking",
+    )
+    if lacking.isEmpty():
+        return near
+    return near.join(lacking, "query_id", "left_anti").union(
+        first_of(scanned(classes, lacking, k))
+    )
+
+
+def scanned(classes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """The k nearest of a few queries in each block of all vectors.
+
+    Every query meets every block, in bounded parts; a block gives k rows a
+    query. For queries that the buckets leave short.
+    """
+    blocks = max(1, -(-classes.count() // BLOCK))
+    components = queries.agg(F.sum(F.size("_vec"))).first()[0] or 0
+    turns = max(1, -(-components // ASKED))
+    index = classes.withColumn(
+        "_block", F.pmod(F.xxhash64("_class"), F.lit(blocks))
+    ).withColumn("_turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
+    asked = queries.withColumn(
+        "_turn", F.pmod(F.xxhash64("query_id"), F.lit(turns)).cast("int")
+    ).withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    return _met(
+        index.select(
+            F.col("_block").cast("long"), "_turn", "_class", "_ids", "_vec"
+        ),
+        asked.select(F.col("_block").cast("long"), "_turn", "query_id", "_vec"),
+        k,
+    )
+
+
+def _met(index: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return best_in_block(left, right, k)
+
+    return (
+        index.groupBy("_block", "_turn")
+        .cogroup(asked.groupBy("_block", "_turn"))
+        .applyInPandas(best, FOUND)
+    )
+
+
+def probed_rows(
+    classes: DataFrame, queries: DataFrame, most: int, k: int
+) -> DataFrame:
+    """The k nearest of each query in each block of buckets that it visits."""
+    n = classes.count()
     blocks = max(1, -(-n * TABLES // BLOCK))
     index = indexed(classes).select(
         "_class", "_ids", "_vec", F.explode("_keys").alias("_key")
@@ -380,23 +475,8 @@ def nearest(
         "_turn", F.explode(F.sequence(F.lit(0).cast("long"), _turns() - 1))
     )
 
-    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return best_in_block(left, right, k)
-
-    found = (
-        placed.select("_block", "_turn", "_class", "_ids", "_vec", "_key")
-        .groupBy("_block", "_turn")
-        .cogroup(asked.groupBy("_block", "_turn"))
-        .applyInPandas(best, FOUND)
-    )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (
-        found.dropDuplicates(["query_id", "_class"])
-        .select("query_id", F.explode("_ids").alias("vec_id"), "score")
-        .where(F.col("vec_id") != F.col("query_id"))
-        .groupBy("query_id", "vec_id")
-        .agg(F.max("score").alias("score"))
-        .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
+    return _met(
+        placed.select("_block", "_turn", "_class", "_ids", "_vec", "_key"),
+        asked,
+        k,
     )

@@ -296,6 +296,51 @@ def test_neighbours_recall(spark):
             assert score == best[x]
 
 
+def neighbours(spark, vectors, **settings):
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    found = defaultdict(list)
+    rows = multiprobe.nearest(frame, **settings)
+    for r in rows.orderBy("query_id", "rank").collect():
+        found[r.query_id].append((r.vec_id, r.score))
+    return found
+
+
+@pytest.mark.parametrize("block", [multiprobe.BLOCK, 90])
+def test_a_query_that_meets_nothing_is_answered(spark, monkeypatch, block):
+    """One query opposite to a cluster, beside a query inside it."""
+    monkeypatch.setattr(multiprobe, "BLOCK", block)
+    draws = np.random.default_rng(9)
+    cluster = 5 + 0.05 * draws.normal(size=(588, 24))
+    vectors = [(i + 1, r.tolist()) for i, r in enumerate(cluster)]
+    vectors += [(0, [-5.0] * 24), (1000, [5.0] * 24)]
+    found, want = neighbours(spark, vectors, every=1000), brute(vectors, 1000, 5)
+    assert {q: [x for x, _ in r] for q, r in found.items()} == {
+        q: [x for x, _ in r] for q, r in want.items()
+    }
+    # fewer candidates than asked for: all of them
+    assert len(neighbours(spark, vectors[:2] + vectors[-2:], every=1000)[0]) == 3
+
+
+def test_scaled_copies_tie_by_id(spark):
+    """All cosines are 1: the smaller ids win, however many copies tie."""
+    draws = np.random.default_rng(4)
+    one = draws.normal(size=16)
+    vectors = [(i, (one * 2.0 ** (i % 39 - 19)).tolist()) for i in range(39)]
+    vectors += [(i, draws.normal(size=16).tolist()) for i in range(40, 140)]
+    found = neighbours(spark, vectors, every=500)
+    assert found[0] == [(i, found[0][0][1]) for i in range(1, 6)]
+
+
+def test_no_number_of_buckets_reaches_the_target(spark, monkeypatch):
+    monkeypatch.setattr(multiprobe, "PROBES", (1,))
+    draws = np.random.default_rng(2)
+    vectors = [(i, r.tolist()) for i, r in enumerate(draws.normal(size=(300, 20)))]
+    found, want = neighbours(spark, vectors), brute(vectors, 50, 5)
+    assert {q: [x for x, _ in r] for q, r in found.items()} == {
+        q: [x for x, _ in r] for q, r in want.items()
+    }
+
+
 def test_queries_of_a_group_are_bounded(spark, monkeypatch, tmp_path):
     """Small parts of queries give the same rows, and no group has many."""
     draws = np.random.default_rng(13)
