@@ -169,8 +169,32 @@ def evaluate(expression: str) -> tuple[frozenset[str], frozenset[str]] | None:
     return stack[0]
 
 
+def longest_valid(line: str) -> str:
+    """The longest start of a line that is a whole expression; "" if none.
+
+    A stop after an identifier ends the expression, and so does a second
+    identifier or an opening bracket where an operator must come.
+    """
+    depth = end = 0
+    operand = True  # whether an identifier or "(" must come next
+    for found in TOKEN.finditer(line):
+        token = found[0].rstrip(".")
+        if operand == (token == ")" or token in BINDS) or not token:
+            break
+        if token == ")" and not depth:
+            break
+        depth += (token == "(") - (token == ")")
+        operand = token == "(" or token in BINDS
+        if not operand and not depth:
+            end = found.start() + len(token)
+        if token != found[0]:
+            break
+    return line[:end]
+
+
 def expressions(text: str) -> list[str]:
-    """What follows each identifier tag on its line, in lower case."""
+    """The longest expression after each identifier tag on its line, in lower
+    case; what stands there if that begins with none."""
     if "dentifier" not in text and "DENTIFIER" not in text:
         return []
     low = text.lower()
@@ -181,7 +205,8 @@ def expressions(text: str) -> list[str]:
         kept = re.match(
             r"\s*((?:[()\s]|(?:[a-z0-9][a-z0-9.+:-]*))*)", line
         )
-        out.append(" ".join(kept[1].split()).rstrip("."))
+        whole = " ".join(kept[1].split())
+        out.append(longest_valid(whole) or whole.rstrip("."))
     return out
 
 

@@ -220,3 +220,30 @@ def test_identifier_tags():
     assert got[5] == "apache,mit"
     assert got[6] == 1.0
     assert got[8]
+
+
+@pytest.mark.parametrize(
+    ("line", "label"),
+    [
+        ("MIT. See LICENSE", "mit"),
+        ("MIT This file", "mit"),
+        ("(MIT OR Apache-2.0) AND (BSD", "apache,mit"),
+        ("Apache-2.0 WITH", "apache"),
+        ("GPL-2.0-only WITH Classpath-exception-2.0 */", "gpl"),
+        ("(see the file)", ""),
+    ],
+)
+def test_text_after_an_expression(line, label):
+    got = licenses.scan_text(f"/* SPDX-License-Identifier: {line}\n mpl */")
+    assert got[5] == label
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["mit", "or", "and", "with", "(", ")", "b", "isc."]), max_size=9))
+def test_longest_expression_equals_all_starts(tokens):
+    best = ""
+    for n in range(1, len(tokens) + 1):
+        start = " ".join(tokens[:n]).rstrip(".")
+        if not any(t.endswith(".") for t in tokens[: n - 1]) and licenses.postfix(start):
+            best = start
+    assert licenses.longest_valid(" ".join(tokens)) == best
