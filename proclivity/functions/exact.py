@@ -30,14 +30,13 @@ from proclivity.functions.scalar import (
     step_index,
 )
 from proclivity.functions.tables import join_null_safe, local_table, settle
+from proclivity.session import staged
 
 HEX_DIGITS = 4
 LITERAL_STRATA = 64
 SORT_ROWS = 1_000_000
 PLAIN_ROWS = 50_000
 SKETCH_ACCURACY = 10_000
-#: Quantiles read along with the row count, enough for as many buckets.
-FIRST_STEPS = 512
 
 
 # --- ranks in hashed order -------------------------------------------------
@@ -454,37 +453,18 @@ def _values_at(data, brackets) -> dict[tuple[str, int], float]:
 # --- running totals along a score --------------------------------------------
 
 
-def order_cuts(
-    df: DataFrame,
-    column: str,
-    bucket_rows: int = SORT_ROWS,
-) -> tuple[list[float], int]:
-    """Cut points that split the column's order into buckets of similar size.
-
-    There are as many buckets as `bucket_rows` asks for, however many that
-    is. The cuts are read from a sketch (again, with more quantiles, for more
-    than FIRST_STEPS buckets) and then fixed as literals, so every branch of
-    a plan sees the same buckets. Correctness does not depend on where they
-    are. Also returns the number of values.
+def bucket_count(
+    df: DataFrame, column: str, bucket_rows: int = SORT_ROWS
+) -> tuple[int, int]:
+    """Buckets for the column's order, and the number of its values.
+
+    One for every `bucket_rows` values, but no more than the session has
+    shuffle partitions: buckets are there to run side by side, and a bucket's
+    window may spill.
     """
-    values = df.select(_number(df, column).alias("x"))
-
-    def quantiles(parts: int) -> Column:
-        steps = [i / parts for i in range(1, parts)]
-        return _sketch("x", steps, max(SKETCH_ACCURACY, 10 * parts))
-
-    row = values.agg(
-        F.count("x").alias("n"), quantiles(FIRST_STEPS).alias("cuts")
-    ).first()
-    buckets = math.ceil((row["n"] or 0) / bucket_rows)
-    if buckets <= 1:
-        return [], row["n"]
-    if buckets > FIRST_STEPS:
-        cuts = values.agg(quantiles(buckets).alias("cuts")).first()["cuts"]
-        return sorted(set(cuts)), row["n"]
-    every = FIRST_STEPS / buckets
-    picked = {row["cuts"][round(i * every) - 1] for i in range(1, buckets)}
-    return sorted(picked), row["n"]
+    n = df.agg(F.count(column)).first()[0]
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(most, math.ceil(n / bucket_rows))), n
 
 
 def score_runs(
@@ -493,24 +473,24 @@ def score_runs(
     sums: Mapping[str, Column],
     by: Sequence[str] = (),
     bucket_rows: int = SORT_ROWS,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """One row per (by, score) with its sums and its order bucket `__bucket`."""
-    cuts, _ = order_cuts(df, score, bucket_rows)
-    return collapse(df, score, sums, cuts, by)
+    """One row per (by, score) with its sums and its order bucket `__bucket`.
 
-
-def collapse(
-    df: DataFrame,
-    score: str,
-    sums: Mapping[str, Column],
-    cuts: Sequence[float],
-    by: Sequence[str] = (),
-) -> DataFrame:
-    """Sums per (by, score), with the bucket the score falls in."""
+    Buckets are Spark's range partitions of the collapsed scores. They are
+    stored with their number, so every branch of a plan sees the same ones and
+    no cut point stands in a plan, however many buckets there are. Correctness
+    does not depend on where they begin. Missing scores come last.
+    """
+    if buckets is None:
+        buckets, _ = bucket_count(df, score, bucket_rows)
     runs = df.groupBy(*by, score).agg(
         *[F.sum(c).alias(name) for name, c in sums.items()]
     )
-    return runs.withColumn("__bucket", step_index(score, cuts))
+    if buckets == 1:
+        return runs.withColumn("__bucket", F.lit(0))
+    placed = runs.repartitionByRange(buckets, F.col(score).asc_nulls_last())
+    return staged(placed.withColumn("__bucket", F.spark_partition_id()))
 
 
 def inside_bucket(

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from proclivity.functions.exact import (
     SORT_ROWS,
     before_buckets,
+    bucket_count,
     inside_bucket,
-    order_cuts,
     running_before,
     score_runs,
 )
@@ -669,17 +669,17 @@ def bootstrap_ci(
     class, repeat and seed: they depend neither on the partitions nor on the
     order of rows.
     """
-    cuts, _ = order_cuts(df, score, bucket_rows)
-    runs = df.groupBy(score).agg(
-        *[F.sum(c).alias(n) for n, c in _positives(target).items()]
-    ).withColumn("bucket", step_index(score, cuts))
+    buckets, _ = bucket_count(df, score, bucket_rows)
+    runs = score_runs(
+        df, score, _positives(target), buckets=buckets
+    ).withColumnRenamed("__bucket", "bucket")
     # two whole numbers that tell all scores between 0 and 1 apart
     scaled = F.col(score).cast("double") * float(1 << 26)
     rest = (scaled - F.floor(scaled)) * float(1 << 26)
     key = F.concat_ws(
         ":", F.floor(scaled).cast("string"), F.floor(rest).cast("string")
     )
-    dealt = runs.repartition(len(cuts) + 1, "bucket").select(
+    dealt = runs.repartition(buckets, "bucket").select(
         "bucket",
         F.col(score).alias("score"),
         "pos",

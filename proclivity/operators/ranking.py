@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from proclivity.functions.exact import (
-    collapse,
-    order_cuts,
+    bucket_count,
     rank_cuts,
     running_before,
+    score_runs,
 )
 from proclivity.functions.scalar import hash_key
 from proclivity.functions.tables import local_table
@@ -59,14 +59,16 @@ class TopShares:
         """Find the cut-off of every share."""
         self.score = score
         self.key = hash_key(id_col, seed)
-        cuts, self.n_rows = order_cuts(df, score)
+        buckets, self.n_rows = bucket_count(df, score)
         self.sizes = {s: round(s * self.n_rows) for s in shares}
         self._cut: dict[float, tuple[float, str | None]] = {}
-        self._find(df, cuts)
+        self._find(df, buckets)
 
-    def _find(self, df: DataFrame, cuts: Sequence[float]) -> None:
+    def _find(self, df: DataFrame, buckets: int) -> None:
         spark = df.sparkSession
-        runs = collapse(df, self.score, {"n": F.lit(1)}, cuts)
+        runs = score_runs(
+            df, self.score, {"n": F.lit(1)}, buckets=buckets
+        )
         placed = running_before(runs, self.score, ["n"])
         inside = F.lit(False)
         for size in set(self.sizes.values()):

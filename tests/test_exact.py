@@ -265,6 +265,34 @@ def test_step_index_counts_cuts(spark, n):
 
 
 def test_buckets_have_no_ceiling(spark):
-    df = spark.range(30_000).select(F.col("id").cast("double").alias("x"))
-    cuts, n = exact.order_cuts(df, "x", bucket_rows=20)
-    assert n == 30_000 and 1400 <= len(cuts) < 1500
+    """1500 buckets: equal sizes, no cut point in a plan, the same totals."""
+    df = spark.range(30_000).select(
+        F.pmod(F.col("id") * 7919, F.lit(30_000)).cast("double").alias("x"),
+        (F.col("id") % 3 == 0).cast("int").alias("y"),
+    )
+    spark.conf.set("spark.sql.shuffle.partitions", "1500")
+    try:
+        assert exact.bucket_count(df, "x", 10) == (1500, 30_000)
+        assert exact.bucket_count(df, "x", 20) == (1500, 30_000)
+        assert exact.bucket_count(df, "x", 2_000) == (15, 30_000)
+        many = ev.roc_auc_exact(df, "y", "x", bucket_rows=20)
+        assert len(many._jdf.queryExecution().toString()) < 60_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    runs = exact.score_runs(df, "x", {"n": F.lit(1)}, buckets=1500)
+    spans = runs.groupBy("__bucket").agg(F.min("x"), F.max("x"), F.count("x"))
+    rows = sorted(tuple(r) for r in spans.collect())
+    assert 1000 < len(rows) <= 1500 and max(r[3] for r in rows) < 200
+    assert all(a[2] < b[1] for a, b in zip(rows, rows[1:]))
+    placed = exact.running_before(runs, "x", ["n"], descending=False)
+    assert placed.where("n_before <> x").isEmpty()
+    one = ev.roc_auc_exact(df, "y", "x").first()[0]
+    assert many.first()[0] == pytest.approx(one, abs=1e-12)
+
+
+def test_missing_scores_come_last(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(50)] + [(None,)] * 3, "x double")
+    runs = exact.score_runs(df, "x", {"n": F.lit(1)}, bucket_rows=10)
+    last = runs.agg(F.max("__bucket")).first()[0]
+    row = runs.where("x IS NULL").first()
+    assert row["n"] == 3 and row["__bucket"] == last
