@@ -395,24 +395,71 @@ def retrain_endings(spark, sf):
 # --- streams ------------------------------------------------------------------
 
 
-@query("stream_score")
+def _defects(df):
+    """Rows as they might arrive: some with a null, an unknown level or a
+    negative amount, some with two of them."""
+    i = F.col("id")
+    return df.withColumns(
+        {
+            "o_totalprice": F.when(i % 97 != 0, F.col("o_totalprice")),
+            "in_debt": F.when(i % 101 == 0, "Maybe").otherwise(F.col("in_debt")),
+            "credit": F.when(i % 89 == 0, -1.0).otherwise(F.col("credit")),
+        }
+    )
+
+
+@query(
+    "stream_score",
+    f"""WITH {OC}, r AS (SELECT id, concat_ws('; ',
+      CASE WHEN id % 97 = 0 THEN 'o_totalprice: null' END,
+      CASE WHEN id % 101 = 0 THEN 'in_debt: not allowed' END,
+      CASE WHEN id % 89 = 0 THEN 'credit: negative' END) AS reason FROM oc)
+    SELECT id, CASE WHEN reason <> '' THEN reason END AS reason,
+      CASE WHEN reason = '' THEN true END AS as_in_batch FROM r""",
+)
 def stream_score(spark, sf):
+    """Two deliveries and a restart: each row once, scored or rejected."""
     from pyspark.sql import types as T
 
-    split, bundle = _fit(spark, sf, "logreg")
+    _, bundle = _fit(spark, sf, "logreg")
     base = scratch(spark)
-    creditors(spark, sf).select("id", *SCORING_SPEC.features).write.parquet(
-        f"{base}/in"
-    )
     schema = T.StructType.fromDDL(
         "id long, c_nationkey int, in_debt string, o_orderpriority string, "
         "o_totalprice double, credit double"
     )
-    new = arriving.read_arriving(spark, f"{base}/in", schema)
-    arriving.write_available(
-        arriving.score_stream(new, bundle), f"{base}/out", f"{base}/state"
+    rows = staged(
+        _defects(creditors(spark, sf).select("id", *SCORING_SPEC.features))
+    )
+    for part in (0, 1, 2):  # the third time nothing has arrived
+        if part < 2:
+            rows.where(F.col("id") % 2 == part).write.mode("append").parquet(
+                f"{base}/in"
+            )
+        new = arriving.read_arriving(spark, f"{base}/in", schema)
+        arriving.run_checked_scores(
+            new, bundle, f"{base}/out", f"{base}/state"
+        )
+    scores = spark.read.parquet(f"{base}/out/scores")
+    rejects = spark.read.parquet(f"{base}/out/rejects")
+    good = rows.join(rejects.select("id"), "id", "left_anti")
+    batch = bundle.predict(staged(good)).select(
+        "id", F.col("probability").alias("p"), F.col("prediction").alias("d")
+    )
+    same = (F.abs(F.col("probability") - F.col("p")) < 1e-12) & (
+        F.col("prediction") == F.col("d")
+    )
+    return (
+        scores.join(batch, "id", "left")
+        .select(
+            "id", F.lit(None).cast("string").alias("reason"),
+            F.coalesce(same, F.lit(False)).alias("as_in_batch"),
+        )
+        .union(
+            rejects.select(
+                "id", "reason", F.lit(None).cast("boolean")
+            )
+        )
     )
-    return rounded(spark.read.parquet(f"{base}/out"))
 
 
 @query(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +13,7 @@ from proclivity.functions.scalar import threshold_decision
 from proclivity.models.bundle import ModelBundle
 from proclivity.operators.drift import KEYS, bin_counts, psi
 from proclivity.operators.lookups import outer_shares
+from proclivity.operators.validate import reject_reason
 
 
 def read_arriving(
@@ -37,6 +39,46 @@ def score_stream(arriving: DataFrame, bundle: ModelBundle) -> DataFrame:
     )
 
 
+def run_checked_scores(
+    arriving: DataFrame, bundle: ModelBundle, out: str, checkpoint: str
+) -> None:
+    """Score what has arrived; rows that break a rule go to a sink of theirs.
+
+    Each micro-batch writes `out/scores/batch=<n>` (key, probability,
+    prediction) and `out/rejects/batch=<n>` (the row and its reason). Both are
+    overwritten whole, so a batch that is repeated after a failure, even one
+    between the two writes, leaves each row once. A bad row never ends the
+    query.
+    """
+    spec = bundle.spec
+    keep = [spec.id] if spec.id in arriving.columns else []
+
+    def save(batch: DataFrame, number: int) -> None:
+        # two sinks, one reading of what arrived
+        marked = batch.withColumn(
+            "reason", reject_reason(batch, spec)
+        ).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            marked.where("reason IS NOT NULL").write.mode(
+                "overwrite"
+            ).parquet(f"{out}/rejects/batch={number}")
+            good = marked.where("reason IS NULL").drop("reason")
+            bundle.probability(good, keep).withColumn(
+                "prediction",
+                threshold_decision("probability", bundle.threshold),
+            ).write.mode("overwrite").parquet(f"{out}/scores/batch={number}")
+        finally:
+            marked.unpersist()
+
+    query = (
+        arriving.writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(save)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def write_available(
     stream: DataFrame, out: str, checkpoint: str, mode: str = "append"
 ) -> None:

@@ -337,6 +337,44 @@ def test_stream_scores_like_batch(spark, customers, logreg, tmp_path):
     assert np.array_equal(got.probability, expected.probability)
 
 
+def test_bad_rows_do_not_end_a_stream(spark, customers, logreg, tmp_path, monkeypatch):
+    """Rejects have reasons, and a batch that fails halfway is repeated."""
+    source, out, state = (str(tmp_path / x) for x in ("in", "out", "state"))
+    bad = customers.withColumns(
+        {
+            "Gender": F.when(F.col("id") % 50 == 0, "?").otherwise(F.col("Gender")),
+            "Annual_Premium": F.when(F.col("id") % 75 == 0, None).otherwise(
+                F.col("Annual_Premium")
+            ),
+        }
+    )
+    bad.write.parquet(source)
+    stream = arriving.read_arriving(spark, source, CUSTOMER_SCHEMA)
+    whole, broken = ModelBundle.probability, []
+
+    def fail_once(self, df, keep):
+        if not broken:
+            broken.append(1)
+            raise OSError("lost")
+        return whole(self, df, keep)
+
+    monkeypatch.setattr(ModelBundle, "probability", fail_once)
+    with pytest.raises(Exception, match="lost"):
+        arriving.run_checked_scores(stream, logreg, out, state)
+    for _ in range(2):
+        arriving.run_checked_scores(stream, logreg, out, state)
+    rejects = {
+        r.id: r.reason for r in spark.read.parquet(f"{out}/rejects").collect()
+    }
+    ids = {r.id for r in customers.select("id").collect()}
+    assert set(rejects) == {i for i in ids if i % 50 == 0 or i % 75 == 0}
+    assert sorted(rejects[150].split("; ")) == [
+        "Annual_Premium: null", "Gender: not allowed",
+    ]
+    scored = [r.id for r in spark.read.parquet(f"{out}/scores").collect()]
+    assert sorted(scored) == sorted(ids - set(rejects))
+
+
 def test_patience_rule():
     stop = builders.patience_stop
     assert stop([3, 2, 1, 2, 2, 0], 2) == (3, 5)
