@@ -264,10 +264,13 @@ def retrain_trigger(
     min_new_share: float = 0.05,
     psi_limit: float = 0.2,
     min_auc: float = 0.80,
+    manual: Column | None = None,
 ) -> Column:
-    """Reason to retrain: degradation, drift, new_data, schedule, or none."""
+    """Reason to retrain: manual, degradation, drift, new_data, schedule, or
+    none; a call by hand needs no other reason."""
     out = (
-        F.when(fresh_auc < min_auc, F.lit("degradation"))
+        F.when(F.lit(False) if manual is None else manual, F.lit("manual"))
+        .when(fresh_auc < min_auc, F.lit("degradation"))
         .when(max_psi > psi_limit, F.lit("drift"))
         .when(new_rows >= min_new_share * train_rows, F.lit("new_data"))
     )

@@ -199,6 +199,28 @@ def fit_standard(df: DataFrame, columns: Sequence[str]) -> Encoder:
     return Encoder(out)
 
 
+def fit_table_with_other(
+    df: DataFrame, column: str, threshold: float, other: str
+) -> Encoder:
+    """Shares looked up in `freq_table_with_other`, stored once; values that
+    the table lacks get the share of `other`."""
+    table = staged(
+        freq_table_with_other(df, column, threshold, other).select(
+            F.col("category").alias("value"), F.col("share").alias("code")
+        )
+    )
+    rest = table.where(F.col("value") == other).agg(F.max("code")).first()[0]
+    place = f"__share_{column}"
+    lookup = Lookup(
+        inputCol=column,
+        outputCol=place,
+        miss=f"{float(rest or 0.0)!r}D",
+        as_key=True,
+        table=table.where(F.col("value") != other),
+    )
+    return Encoder({column: name(place)}, [lookup])
+
+
 # --- levels -----------------------------------------------------------------
 
 

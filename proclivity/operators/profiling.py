@@ -419,3 +419,9 @@ def shape(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_rows"),
         F.lit(len(df.columns)).alias("n_columns"),
     )
+
+
+def first_rows(df: DataFrame, key: str, n: int = 5) -> DataFrame:
+    """The first n rows in key order: rows of a distributed table have no
+    other first ones."""
+    return df.orderBy(key).limit(n)

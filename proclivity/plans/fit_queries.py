@@ -155,7 +155,12 @@ def train_models(spark, sf):
     return sinks.rounded(table_)
 
 
-@query("feature_names")
+@query(
+    "feature_names",
+    """SELECT CAST(slot AS INTEGER) AS slot, feature FROM (VALUES
+      (0, 'o_totalprice'), (1, 'credit'), (2, 'in_debt'),
+      (3, 'o_orderpriority'), (4, 'c_nationkey')) AS t(slot, feature)""",
+)
 def feature_names(spark, sf):
     split, bundle = _fit(spark, sf, "gbt")
     rows = list(enumerate(bundle.feature_names))

@@ -81,6 +81,19 @@ def freq_encode_other(spark, sf):
     )
 
 
+@query(
+    "freq_encode_other_values",
+    f"""WITH {OC}, {_freq_sql("c_nationkey", 0.04)}
+    SELECT id, round({_freq_value("c_nationkey", 0.04)}, 6) AS c_nationkey
+    FROM oc""",
+)
+def freq_encode_other_values(spark, sf):
+    """Each row's share by the table of shares; rare ones share OTHER's."""
+    df = customers(spark, sf)
+    encoder = enc.fit_table_with_other(df, "c_nationkey", 0.04, "OTHER")
+    return rounded(encoder.apply(df, ["id"]))
+
+
 @query(
     "category_index",
     f"""WITH {MESSY}, d AS (SELECT c_mktsegment AS v,
@@ -1035,6 +1048,49 @@ def retrain_trigger(spark, sf):
     return auc.select("year", reason.alias("reason"))
 
 
+@query(
+    "retrain_reasons",
+    f"""WITH {OC}, o AS (SELECT count(*) AS train_rows, avg(o_totalprice) AS mean
+      FROM oc WHERE batch_no = 1),
+    m AS (SELECT c_nationkey, count(*) AS n_rows, avg(score) AS fresh,
+        abs(avg(o_totalprice) / max(mean) - 1) AS moved
+      FROM oc, o GROUP BY 1)
+    SELECT c_nationkey, CASE WHEN c_nationkey % 7 = 3 THEN 'manual'
+      WHEN fresh < 0.497 THEN 'degradation' WHEN moved > 0.02 THEN 'drift'
+      WHEN n_rows >= 0.043 * train_rows THEN 'new_data'
+      WHEN c_nationkey % 2 = 0 THEN 'schedule' ELSE 'none' END AS reason
+    FROM m, o""",
+)
+def retrain_reasons(spark, sf):
+    """Every reason, by the nations' sizes, mean scores and prices."""
+    old, _ = _batches(spark, sf)
+    base = old.agg(
+        F.count(F.lit(1)).alias("train_rows"),
+        F.avg("o_totalprice").alias("mean"),
+    )
+    nations = (
+        customers(spark, sf)
+        .groupBy("c_nationkey")
+        .agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.avg("score").alias("fresh"),
+            F.avg("o_totalprice").alias("price"),
+        )
+    )
+    reason = drifting.retrain_trigger(
+        F.col("n_rows"),
+        base.select("train_rows").scalar(),
+        F.abs(F.col("price") / base.select("mean").scalar() - 1),
+        F.col("fresh"),
+        scheduled=F.col("c_nationkey") % 2 == 0,
+        min_new_share=0.043,
+        psi_limit=0.02,
+        min_auc=0.497,
+        manual=F.col("c_nationkey") % 7 == 3,
+    )
+    return nations.select("c_nationkey", reason.alias("reason"))
+
+
 # --- gates --------------------------------------------------------------------
 
 LIMITS = validate.GateLimits(min_auc=0.49)

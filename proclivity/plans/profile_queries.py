@@ -458,6 +458,18 @@ def shape_head(spark, sf):
     return profiling.shape(customers(spark, sf))
 
 
+@query(
+    "first_rows",
+    f"""WITH {OC} SELECT id, y, o_totalprice, o_orderpriority, c_nationkey
+    FROM oc ORDER BY id LIMIT 10""",
+)
+def first_rows(spark, sf):
+    df = customers(spark, sf).select(
+        "id", "y", "o_totalprice", "o_orderpriority", "c_nationkey"
+    )
+    return profiling.first_rows(df, "id", 10)
+
+
 # --- ranking ------------------------------------------------------------------
 
 

@@ -451,3 +451,29 @@ def test_override_needs_one_model():
 def test_rounding_of_reports(spark):
     df = spark.createDataFrame([("m", 0.123456)], "model string, f1 double")
     assert sinks.rounded(df).first()["f1"] == 0.1235
+
+
+def test_reasons_to_retrain(spark):
+    rows = [(10, 0.0, 0.9, False, False), (10, 0.3, 0.9, True, False), (10, 0.3, 0.7, True, False),
+            (10, 0.3, 0.7, True, True), (1, 0.0, 0.9, True, False), (1, 0.0, 0.9, False, False)]
+    df = spark.createDataFrame(rows, "n int, psi double, auc double, due boolean, hand boolean")
+    reason = drift.retrain_trigger(
+        F.col("n"), F.lit(100), F.col("psi"), F.col("auc"), F.col("due"), manual=F.col("hand")
+    )
+    assert [r[0] for r in df.select(reason).collect()] == [
+        "new_data", "drift", "degradation", "manual", "schedule", "none",
+    ]
+
+
+def test_table_with_other_is_applied(spark):
+    df = spark.createDataFrame([("a",)] * 8 + [("b",), ("c",)], "c string")
+    fitted = encoders.fit_table_with_other(df, "c", 0.2, "OTHER")
+    new = spark.createDataFrame([("a",), ("b",), ("new",), ("OTHER",), (None,)], "c string")
+    got = [round(r[0], 6) for r in fitted.apply(new).collect()]
+    assert sorted(got) == [0.2, 0.2, 0.2, 0.2, 0.8]
+
+
+def test_first_rows(spark):
+    df = spark.range(30).orderBy(F.rand(1))
+    assert [r.id for r in profiling.first_rows(df, "id", 3).collect()] == [0, 1, 2]
+    assert profiling.first_rows(df.limit(0), "id").count() == 0
