@@ -19,6 +19,11 @@ SIGNAL = {
 }
 
 
+#: Codes of regions and channels: any few numbers will do.
+REGIONS = [float(7 * i + 2) for i in range(5)]
+CHANNELS = [float(31 * i + 9) for i in range(4)]
+
+
 def pick(seed, column, keys, values, shares=None):
     """A value for each key, from a generator of its own for each column."""
     draws = np.random.default_rng([seed, sum(map(ord, column))])
@@ -32,19 +37,17 @@ def make_customers(n=2000, seed=0, start=0):
     out["Gender"] = pick(seed, "sex", keys, ["Female", "Male"], [0.45, 0.55])
     out["Age"] = 20 + pick(seed, "age", keys, range(12)) * 5 + keys % 5
     out["Driving_License"] = pick(seed, "licence", keys, [1, 0], [0.97, 0.03])
-    out["Region_Code"] = pick(seed, "region", keys, [3.0, 8.0, 11.0, 28.0, 41.0, 46.0])
+    out["Region_Code"] = pick(seed, "region", keys, REGIONS)
     out["Previously_Insured"] = pick(seed, "insured", keys, [0, 1], [0.6, 0.4])
     out["Vehicle_Age"] = pick(
         seed, "car", keys, ["< 1 Year", "1-2 Year", "> 2 Years"], [0.4, 0.5, 0.1]
     )
     out["Vehicle_Damage"] = pick(seed, "damage", keys, ["No", "Yes"])
     out["Annual_Premium"] = np.round(
-        2500 + 1000 * np.random.default_rng([seed, 1]).gamma(4.0, 7.0, n), 2
-    )
-    out["Policy_Sales_Channel"] = pick(
-        seed, "channel", keys, [7.0, 26.0, 124.0, 152.0, 160.0]
+        1900 + 1000 * np.random.default_rng([seed, 1]).gamma(4.0, 7.0, n), 2
     )
-    out["Vintage"] = 10 + (keys * 37 + seed * 11) % 290
+    out["Policy_Sales_Channel"] = pick(seed, "channel", keys, CHANNELS)
+    out["Vintage"] = 21 + (keys * 37 + seed * 11) % 268
     odds = (
         SIGNAL["start"]
         + SIGNAL["damaged"] * (out.Vehicle_Damage == "Yes")
