@@ -501,12 +501,12 @@ def deduplicated(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
         .select("_first.doc_id", "_first._t1", "_first._t2"),
         "kept",
     ).withColumnRenamed("doc_id", "_id")
-    keyed = docs.withColumns(
-        {
-            "_key1": F.xxhash64("text"),
-            "_key2": F.xxhash64(F.lit(1), "text"),
-            "_own": F.col("doc_id").cast("long"),
-        }
+    # the row goes along whole, whatever its columns are called
+    keyed = docs.select(
+        F.struct("*").alias("_row"),
+        F.xxhash64("text").alias("_key1"),
+        F.xxhash64(F.lit(1), "text").alias("_key2"),
+        F.col("doc_id").cast("long").alias("_own"),
     )
     same = (
         F.col("_own").eqNullSafe(F.col("_id"))
@@ -516,5 +516,5 @@ def deduplicated(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     return (
         keyed.join(kept, same, "left_semi")
         .dropDuplicates(["_own", "_key1", "_key2"])
-        .select(*docs.columns)
+        .select("_row.*")
     )

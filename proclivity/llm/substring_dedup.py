@@ -314,9 +314,25 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     One row per row of `docs`, all columns kept; a column named as one of the
     three is replaced. Every word in a window that occurs anywhere else, in
     the same document or a repeated row too, is removed. Null, empty and
-    short texts have no window; a null doc_id is allowed.
+    short texts have no window; a null doc_id is allowed. Other columns may
+    have any name.
     """
     own = [c for c in docs.columns if c not in ADDED.fieldNames()]
+    rest = [c for c in own if c not in ("doc_id", "text")]
+    if not rest:
+        return _removed(docs.select(*own))
+    done = _removed(
+        docs.select(F.struct(*rest).alias("_row"), "doc_id", "text")
+    )
+    return done.select(
+        *[F.col("_row")[c].alias(c) if c in rest else c for c in own],
+        *ADDED.fieldNames(),
+    )
+
+
+def _removed(docs: DataFrame) -> DataFrame:
+    """`remove_repeats` of doc_id, text and at most a struct `_row`."""
+    own = [c for c in docs.columns if c not in ADDED.fieldNames()]
     rows = keyed(docs.select(*own))
     runs = staged(runs_of_documents(rows), "runs")
     # an anchor that occurs once lies in no repeated window

@@ -296,6 +296,28 @@ def test_neighbours_recall(spark):
             assert score == best[x]
 
 
+@pytest.mark.parametrize("operator", ["remove", "without", "dedup"])
+def test_columns_may_have_any_name(spark, passages, operator):
+    """Values of columns named as the operators' own stay as they are."""
+    names = (
+        "_rows _x _shard _copies _row _own _key1 _key2 _id _t1 _t2 _rec _root "
+        "_anchor _run _place _mask _count kept_ _first"
+    ).split()
+    rows = [(i, t, *[f"{n}{i}" for n in names]) for i, t in enumerate(passages[:30])]
+    fields = ", ".join(f"{n} string" for n in names)
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, {fields}")
+    run = {
+        "remove": substring_dedup.remove_repeats,
+        "without": substring_dedup.without_repeats,
+        "dedup": chosen_path.deduplicated,
+    }[operator]
+    out, plain = run(docs), run(docs.select("doc_id", "text"))
+    assert out.columns[: len(docs.columns)] == docs.columns
+    for r in out.collect():
+        assert [r[n] for n in names] == [f"{n}{r.doc_id}" for n in names]
+    assert sorted(out.select(*plain.columns).collect()) == sorted(plain.collect())
+
+
 def neighbours(spark, vectors, **settings):
     frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
     found = defaultdict(list)
