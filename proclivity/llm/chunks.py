@@ -14,12 +14,15 @@ from collections.abc import Callable, Iterable
 
 #: \S of `re` is a subset of the pattern's \S, so each cut here is safe.
 CUT = re.compile(r" (?=\S)")
+UNCUT = re.compile(r" (?!\S)")
 LONGEST_KEPT = 64
 
 
 def chunks(text: str) -> list[str]:
     """All chunks; all but the first have lost the space they start with."""
-    return CUT.split(text)
+    if UNCUT.search(text):
+        return CUT.split(text)
+    return text.split(" ")  # the same, faster
 
 
 def safe(stem: str) -> bool:

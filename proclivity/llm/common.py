@@ -80,6 +80,22 @@ def staged(df: DataFrame, label: str = "staged") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_AT_WORK: list[Callable] = []
+
+
+def sole(load: Callable, *args: object) -> object:
+    """What the cached function `load` gives for these arguments.
+
+    A Python worker is used again by later operators. It forgets the model and
+    memos that another loader keeps, so that it holds those of one operator.
+    """
+    if _AT_WORK != [load]:
+        for other in _AT_WORK:
+            other.cache_clear()
+        _AT_WORK[:] = [load]
+    return load(*args)
+
+
 def map_batches(
     df: DataFrame,
     fn: Callable[[dict[str, list]], dict[str, list]],

@@ -11,17 +11,23 @@ bands is rejected.
 from __future__ import annotations
 
 import base64
-import re
 import unicodedata
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from proclivity.llm.common import map_batches, schema, staged, words
+from proclivity.llm.common import map_batches, schema, sole, staged, words
+from proclivity.llm.runs import Runs, cut_at
 
-SYMBOLS = re.compile(r"[#*$%&|<>]")
+SYMBOLS = "#*$%&|<>"
+#: White space between words.
+BLANKS = "\t\n\v\f\r "
+#: Texts whose words are looked up together.
+TOGETHER = 256
+MEMO_BYTES = 96 << 20
 #: How many interquartile ranges beyond the quartiles a band reaches.
 REACH = {
     "chars_per_token": 4.0,
@@ -55,42 +61,54 @@ MEASURED = schema(
 )
 
 
+def repeat_words(numbers: np.ndarray) -> int:
+    """Words in windows of three that occur twice or more, of a text given by
+    equal numbers for equal words."""
+    n = len(numbers)
+    if n < 3:
+        return 0
+    kinds, seq = np.unique(numbers, return_inverse=True)
+    # exact: a pair of word numbers is numbered again before the third
+    pair = seq[:-1] * len(kinds) + seq[1:]
+    if len(kinds) > 1_000_000:
+        pair = np.unique(pair, return_inverse=True)[1]
+    three = pair[:-1] * len(kinds) + seq[2:]
+    order = np.argsort(three)
+    ranked = three[order]
+    same = ranked[1:] == ranked[:-1]
+    twice = np.zeros(n - 2, bool)
+    twice[order[1:][same]] = True
+    twice[order[:-1][same]] = True
+    covered = np.zeros(n, bool)
+    for shift in range(3):
+        covered[shift : n - 2 + shift] |= twice
+    return int(covered.sum())
+
+
+def plain_counts(text: str) -> tuple[int, int, int]:
+    """word_chars, n_symbols, n_dup_lines."""
+    lines = [x for x in text.split("\n") if x.strip(BLANKS)]
+    return (
+        len(text) - sum(map(text.count, BLANKS)),
+        sum(map(text.count, SYMBOLS)),
+        len(lines) - len(set(lines)),
+    )
+
+
 def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
-    if not text:
-        return 0, 0, 0, 0, 0
     found = words(text)
-    n = len(found)
     ids: dict[bytes, int] = {}
-    seq = np.fromiter(
-        (ids.setdefault(w, len(ids)) for w in found), np.int64, n
-    )
-    repeated = 0
-    if n >= 3:
-        # exact: a pair of word numbers is numbered again before the third
-        pair = seq[:-1] * len(ids) + seq[1:]
-        _, pair = np.unique(pair, return_inverse=True)
-        three = pair[:-1] * len(ids) + seq[2:]
-        _, at, count = np.unique(
-            three, return_inverse=True, return_counts=True
-        )
-        twice = count[at] >= 2
-        covered = np.zeros(n, bool)
-        for shift in range(3):
-            covered[shift : n - 2 + shift] |= twice
-        repeated = int(covered.sum())
-    lines = [x for x in text.split("\n") if x.encode().split()]
+    seq = [ids.setdefault(w, len(ids)) for w in found]
     return (
-        n,
-        sum(map(len, (w.decode() for w in found))),
-        len(SYMBOLS.findall(text)),
-        len(lines) - len(set(lines)),
-        repeated,
+        len(found),
+        *plain_counts(text or ""),
+        repeat_words(np.array(seq, np.int64)),
     )
 
 
 class Fertility:
-    """Tokens of single words by two vocabularies, with bounded memos."""
+    """Tokens of single words by two vocabularies, with a bounded memo."""
 
     def __init__(self, piece_model: str, rank_file: str, pattern: str) -> None:
         import sentencepiece
@@ -112,41 +130,52 @@ class Fertility:
             mergeable_ranks=ranks,
             special_tokens={},
         )
-        self.memo: dict[bytes, tuple[bytes, int]] = {}
-
-    def _values(self, found: list[bytes]) -> list[tuple[bytes, int]]:
+        self.size_of = np.zeros(max(ranks.values()) + 1, np.int64)
+        for token, rank in ranks.items():
+            self.size_of[rank] = len(token)
+        self.runs = Runs(self._runs_of, MEMO_BYTES)
+
+    def _runs_of(
+        self, found: list[bytes]
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces of each word, and its number of tokens by the ranks."""
         texts = [w.decode() for w in found]
         ids = self.pieces.encode(texts, num_threads=1)
-        return [
-            (
-                np.array(x, "<i4").tobytes(),
-                len(self.ranks.encode_ordinary(f" {t}")),
+        length = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(
+            chain.from_iterable(ids), np.uint32, int(length.sum())
+        )
+        return flat, length, self._rank_counts(found, texts)
+
+    def _rank_counts(self, found: list[bytes], texts: list[str]) -> np.ndarray:
+        """Tokens of each word after a space.
+
+        The pattern starts a match at a space before a character that is no
+        white space, so words without any are encoded as one text, cheaper
+        than one by one, and its tokens are cut where the words end.
+        """
+        joined = " ".join(texts)
+        if len(joined.split()) != len(texts):  # white space beyond ASCII
+            return np.array(
+                [len(self.ranks.encode_ordinary(f" {t}")) for t in texts],
+                np.int64,
             )
-            for x, t in zip(ids, texts, strict=True)
-        ]
+        ids = np.array(self.ranks.encode_ordinary(f" {joined}"), np.int64)
+        ends = np.cumsum([len(w) + 1 for w in found])
+        return np.diff(cut_at(self.size_of[ids], ends), prepend=0)
 
-    def measure(self, found: list[bytes], chars: int) -> tuple:
+    def measure(self, numbers: np.ndarray, chars: int) -> tuple:
         """chars_per_token, entropy_share, byte_share, and characters per
-        token of the second vocabulary; nulls for a text without words."""
-        if not found:
-            return None, None, None, None
-        memo = self.memo
-        if len(memo) > 400_000:
-            memo.clear()
-        missing = list({w for w in found if w not in memo})
-        memo.update(zip(missing, self._values(missing), strict=True))
-        values = [memo[w] for w in found]
-        for w in missing:
-            if len(w) > 64:
-                del memo[w]
-        ids = np.frombuffer(b"".join(v[0] for v in values), "<i4")
+        token of the second vocabulary, of a text's words as `runs` numbers
+        them; nulls for a text without words."""
+        ids = self.runs.run(numbers)
         n = len(ids)
         if not n:
             return None, None, None, None
         count = np.unique(ids, return_counts=True)[1]
         share = count / n
         entropy = float(-(share * np.log2(share)).sum())
-        second = sum(v[1] for v in values)
+        second = int(self.runs.weight[numbers].sum())
         return (
             chars / n,
             entropy / np.log2(n + 1),
@@ -154,6 +183,20 @@ class Fertility:
             chars / max(1, second),
         )
 
+    def rows(self, texts: list[str | None]) -> list[tuple]:
+        """Base counts and measures of each text."""
+        out = []
+        numbered = self.runs.numbers([words(x) for x in texts])
+        for text, numbers in zip(texts, numbered, strict=True):
+            counts = plain_counts(text or "")
+            out.append(
+                (
+                    (len(numbers), *counts, repeat_words(numbers)),
+                    self.measure(numbers, counts[0]),
+                )
+            )
+        return out
+
 
 @lru_cache(maxsize=1)
 def _load(*paths: str) -> Fertility:
@@ -186,12 +229,17 @@ def measures(
     """
 
     def run(cols: dict[str, list]) -> dict[str, list]:
-        model = _load(piece_model, rank_file, pattern)
-        rows = []
-        for lang, text in zip(cols["lang"], cols["text"], strict=True):
-            counts = base_counts(text)
-            group = f"lang:{lang}" if lang else f"script:{script_of(text or '')}"
-            rows.append((*counts, group, *model.measure(words(text), counts[1])))
+        model = sole(_load, piece_model, rank_file, pattern)
+        langs, texts, rows = cols["lang"], cols["text"], []
+        for at in range(0, len(texts), TOGETHER):
+            part = texts[at : at + TOGETHER]
+            for lang, text, (counts, values) in zip(
+                langs[at : at + TOGETHER], part, model.rows(part), strict=True
+            ):
+                group = (
+                    f"lang:{lang}" if lang else f"script:{script_of(text or '')}"
+                )
+                rows.append((*counts, group, *values))
         names = MEASURED.fieldNames()[1:]
         columns = list(zip(*rows, strict=True)) or [[] for _ in names]
         return {"doc_id": cols["doc_id"]} | dict(
