@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -20,8 +20,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from proclivity.llm.chunks import Memo
-from proclivity.llm.common import map_batches, schema, staged
+from proclivity.llm.chunks import chunks
+from proclivity.llm.common import map_batches, schema, sole, staged
+from proclivity.llm.runs import Runs, cut_at
 
 CAPACITY = 2048
 #: Pieces that one task packs.
@@ -30,6 +31,9 @@ PER_PARTITION = 25_000
 ROUNDS = 6
 #: A sequence with at most this many free tokens stays as it is.
 TIGHT = 8
+#: Texts whose chunks are looked up together.
+TOGETHER = 256
+MEMO_BYTES = 160 << 20
 
 PIECES = schema(
     "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -41,45 +45,55 @@ PACKED = schema(
 RESULT = [*PIECES.fieldNames(), "sequence_id", "offset"]
 
 
-@lru_cache(maxsize=2)
-def _memo(path: str) -> Memo:
-    """Ids of chunks as little-endian unsigned 32-bit numbers."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class Encoder:
+    """Ids of texts by a byte-level tokeniser, with a bounded memo of chunks."""
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-    def ids_of(text: str) -> np.ndarray:
-        found = tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        return np.array(found[0].ids, "<u4")
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        # byte-level tokens are spelled with one character a byte
+        self.size_of = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.size_of[number] = len(token)
+        self.runs = Runs(self._runs_of, MEMO_BYTES)
 
-    # byte-level tokens are spelled with one character a byte
-    size_of = np.zeros(tokenizer.get_vocab_size(), np.int64)
-    for token, number in tokenizer.get_vocab().items():
-        size_of[number] = len(token)
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(
+            texts, add_special_tokens=False
+        )
+        return [np.array(x.ids, "<u4") for x in found]
 
-    def values_of(parts: list[str]) -> Iterator[bytes]:
+    def _runs_of(
+        self, parts: list[str]
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Chunks with their space are encoded as one text, cheaper than one
         by one, and its ids are cut where the chunks end."""
-        at = 0
-        while at < len(parts) and (at == 0 or parts[at][0] != " "):
-            yield ids_of(parts[at]).tobytes()
-            at += 1
-        rest = parts[at:]
-        if rest:
-            ids = ids_of("".join(rest))
-            reached = np.cumsum(size_of[ids])
-            ends = np.cumsum([len(p.encode()) for p in rest])
-            cuts = np.searchsorted(reached, ends) + 1
-            if not np.array_equal(reached[cuts - 1], ends):
-                raise AssertionError("a token crosses two chunks")
-            packed, start = ids.tobytes(), 0
-            for cut in (4 * cuts).tolist():
-                yield packed[start:cut]
-                start = cut
-
-    return Memo(values_of)
+        (ids,) = self._encode([" " + " ".join(parts)])
+        ends = np.cumsum([len(p.encode()) + 1 for p in parts])
+        length = np.diff(cut_at(self.size_of[ids], ends), prepend=0)
+        return ids, length, np.zeros(len(parts), np.int64)
+
+    def ids(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text; null is empty."""
+        parts = [chunks(x or "") for x in texts]
+        heads = self._encode([x[0] for x in parts])
+        numbered = self.runs.numbers([x[1:] for x in parts])
+        return [
+            np.concatenate([head, self.runs.run(x)])
+            for head, x in zip(heads, numbered, strict=True)
+        ]
+
+    def of(self, text: str | None) -> list[bytes]:
+        """The ids of one text as little-endian unsigned 32-bit numbers."""
+        return [x.astype("<u4").tobytes() for x in self.ids([text])]
+
+
+@lru_cache(maxsize=1)
+def _memo(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -99,10 +113,16 @@ def pieces_of(docs: DataFrame, path: str) -> DataFrame:
     """
 
     def run(cols: dict[str, list]) -> dict[str, list]:
-        memo = _memo(path)
+        encoder = sole(_memo, path)
         out: dict[str, list] = {k: [] for k in PIECES.fieldNames()}
-        for doc_id, text in zip(cols["doc_id"], cols["text"], strict=True):
-            ids = b"".join([*memo.of(text or ""), b"\0\0\0\0"])
+        texts = cols["text"]
+        found = (
+            ids
+            for at in range(0, len(texts), TOGETHER)
+            for ids in encoder.ids(texts[at : at + TOGETHER])
+        )
+        for doc_id, numbers in zip(cols["doc_id"], found, strict=True):
+            ids = numbers.astype("<u4").tobytes() + bytes(4)
             for piece, (start, n) in enumerate(cut(len(ids) // 4)):
                 out["doc_id"].append(doc_id)
                 out["piece"].append(piece)
