@@ -4,7 +4,8 @@ In each of several runs a tree splits the documents: a node draws one or two
 minimum-hash coordinates from its path, and a document goes on to the child
 of its value there, so documents meet where they share the sampled tokens. A
 bucket that is small is compared by brute force over sketches; a large one is
-split again. Similar documents part at each split with a chance of at most
+compared with one of its own first, its leader, and split again if what that
+joins leaves more than a few others. Similar documents part at each split with a chance of at most
 1 - J, and 1 / J children on average make up for it; runs are repeated until
 the chance that a pair of the least similarity never meets, over all that its
 minimum hashes can be, is below the target. A second batch of runs only looks
@@ -43,8 +44,9 @@ FIRST_RUNS = 8
 #: Sketches agree on a share this far below the similarity, at least, for
 #: the pair to be compared exactly: six standard errors of the estimate.
 SLACK = 6 * (0.8 * 0.2 / COORDINATES) ** 0.5
-#: Records of a block of a large component.
-BLOCK = 1_000
+#: Records, and bytes of their sets, of a block of a large component.
+BLOCK = 20_000
+BLOCK_BYTES = 8 << 20
 
 SIGNED = schema(
     "doc_id long, _t1 long, _t2 long, _rec long, _sig binary, _set binary"
@@ -272,17 +274,88 @@ def met(buckets: DataFrame, similarity: float) -> DataFrame:
     return map_groups(buckets, "_path", run, EDGES)
 
 
-def undecided(sized: DataFrame, found: DataFrame) -> DataFrame:
+def standing(sized: DataFrame, found: DataFrame) -> DataFrame:
     """Rows of the buckets whose records are not all in one component yet;
-    the others can add no edge."""
-    root = F.coalesce("root", "_rec")
-    rooted = sized.join(found, F.col("_rec") == F.col("node"), "left")
-    mixed = (
-        rooted.groupBy("_path")
-        .agg(F.min(root).alias("_low"), F.max(root).alias("_high"))
-        .where("_low < _high")
+    the others can add no edge.
+
+    Adds _top, whether the record is of the component that most of the bucket
+    belong to, and _few, how many are not.
+    """
+    rooted = sized.join(found, F.col("_rec") == F.col("node"), "left").select(
+        "_rec", "_path", "_size", F.coalesce("root", "_rec").alias("_root")
+    )
+    tops = (
+        rooted.groupBy("_path", "_root")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy("_path")
+        .agg(F.max(F.struct("_n", "_root")).alias("_most"))
+    )
+    return (
+        rooted.join(tops, "_path")
+        .where(F.col("_most._n") < F.col("_size"))
+        .select(
+            "_rec",
+            "_path",
+            "_size",
+            (F.col("_root") == F.col("_most._root")).alias("_top"),
+            (F.col("_size") - F.col("_most._n")).alias("_few"),
+        )
+    )
+
+
+def led(
+    large: DataFrame, records: DataFrame, similarity: float
+) -> DataFrame:
+    """Edges from one record of each bucket, drawn by hash, to all whose
+    sketches agree with its own."""
+    least = (similarity - SLACK) * COORDINATES
+
+    def run(cols: dict[str, list]) -> dict[str, list]:
+        out: dict[str, list] = {"u": [], "v": []}
+        if cols["_rec"]:
+            own, lead = _matrix(cols["_sig"]), _matrix(cols["_led"])
+            for i in np.flatnonzero((own == lead).sum(1) >= least):
+                out["u"].append(cols["_rec"][i])
+                out["v"].append(cols["_lead"][i])
+        return out
+
+    leads = (
+        large.groupBy("_path")
+        .agg(F.min_by("_rec", F.xxhash64("_rec", "_path")).alias("_lead"))
+        .join(
+            records.select(
+                F.col("_rec").alias("_lead"), F.col("_sig").alias("_led")
+            ),
+            "_lead",
+        )
+    )
+    rows = (
+        large.select("_rec", "_path")
+        .join(leads, "_path")
+        .where("_rec <> _lead")
+        .join(records.select("_rec", "_sig"), "_rec")
+    )
+    return map_batches(
+        rows.select("_rec", "_lead", "_sig", "_led"), run, EDGES
+    )
+
+
+def faced(rows: DataFrame) -> DataFrame:
+    """Cells of large buckets with few records outside the component of most:
+    the few with each other, and with each block of the others. The rows grow
+    with the bucket, as there are at most SMALL of the few."""
+    parts = F.ceil((F.col("_size") - F.col("_few")) / SMALL).cast("int")
+    own = F.pmod(F.xxhash64("_rec", F.lit(3)), parts.cast("long")).cast("int")
+    blocks = F.when(F.col("_top"), F.array(own)).otherwise(
+        F.sequence(F.lit(-1), parts - 1)
+    )
+    return (
+        rows.withColumn("_block", F.explode(blocks))
+        .withColumn("_path", F.xxhash64("_path", "_block"))
+        .withColumn("_side", F.col("_top").cast("int"))
+        .withColumn("_cross", F.col("_block") >= 0)
+        .select("_rec", "_path", "_side", "_cross")
     )
-    return sized.join(mixed.select("_path"), "_path", "left_semi")
 
 
 def each_once(buckets: DataFrame) -> DataFrame:
@@ -299,21 +372,18 @@ def each_once(buckets: DataFrame) -> DataFrame:
 
 def candidates(records: DataFrame, similarity: float, runs: int) -> DataFrame:
     """Components (node, root) of the records that meet in a small bucket."""
-    found = staged(
-        components(
-            edges_of(records, similarity, range(1, min(runs, FIRST_RUNS) + 1))
-        ),
-        "found",
-    )
+    first = range(1, min(runs, FIRST_RUNS) + 1)
+    found = staged(components(edges_of(records, similarity, first)), "found")
     if runs <= FIRST_RUNS:
         return found
-    more = edges_of(
-        records, similarity, range(FIRST_RUNS + 1, runs + 1), found
-    )
-    return components(
-        found.where("node <> root")
-        .select(F.col("node").alias("u"), F.col("root").alias("v"))
-        .unionByName(more)
+    rest = range(FIRST_RUNS + 1, runs + 1)
+    return components(edges_of(records, similarity, rest, found))
+
+
+def tied(found: DataFrame) -> DataFrame:
+    """Edges that give these components."""
+    return found.where("node <> root").select(
+        F.col("node").alias("u"), F.col("root").alias("v")
     )
 
 
@@ -323,47 +393,79 @@ def edges_of(
     runs: range,
     found: DataFrame | None = None,
 ) -> DataFrame:
-    """Edges that connect what meets in these runs, as far as the components
-    `found` don't."""
+    """Edges that connect what meets in these runs, and the components
+    `found` before.
+
+    A large bucket is first compared with its leader. If that leaves it in
+    one component it can add no edge; if few records are outside the largest,
+    these are compared with all; else it is split. At DEPTH it is dealt over
+    pairs of blocks.
+    """
     placed = staged(first_paths(records, similarity, runs), "paths")
-    buckets = None
+    plain, few, many = [], [], []
     for depth in range(1, DEPTH + 1):
         sizes = placed.groupBy("_path").agg(F.count(F.lit(1)).alias("_size"))
         sized = staged(
             placed.join(sizes.where("_size > 1"), "_path"), "buckets"
         ).select("_rec", "_path", "_size")
         if found is not None:
-            sized = staged(undecided(sized, found), "undecided")
+            sized = staged(standing(sized, found), "undecided").select(
+                "_rec", "_path", "_size"
+            )
+        plain.append(sized.where(F.col("_size") <= SMALL))
         large = sized.where(F.col("_size") > SMALL)
-        last = depth == DEPTH or large.isEmpty()
-        done = sized if last else sized.where(F.col("_size") <= SMALL)
-        buckets = done if buckets is None else buckets.unionByName(done)
-        if last:
+        if large.isEmpty():
             break
-        placed = staged(next_paths(large, records, similarity), "paths")
-    buckets = staged(each_once(buckets), "once")
-    plain = buckets.where(F.col("_size") <= SMALL).select(
-        "_rec",
-        "_path",
-        F.lit(0).alias("_side"),
-        F.lit(False).alias("_cross"),
-    )
-    split = in_block_pairs(
-        buckets.where(F.col("_size") > SMALL),
-        "_path",
-        F.col("_size"),
-        SMALL,
-    ).select("_rec", "_path", "_side", "_cross")
-    rows = plain.unionByName(split).join(
-        records.select("_rec", "_sig"), "_rec"
-    )
-    return met(rows, similarity)
+        stars = led(large, records, similarity)
+        if found is not None:
+            stars = stars.unionByName(tied(found))
+        found = staged(components(stars), "led")
+        left = staged(standing(large, found), "left")
+        few.append(left.where(F.col("_few") <= SMALL))
+        split = left.where(F.col("_few") > SMALL)
+        if depth == DEPTH:
+            many.append(split)
+        elif split.isEmpty():
+            break
+        else:
+            placed = staged(next_paths(split, records, similarity), "paths")
+    small = staged(each_once(_union(plain)), "once")
+    if found is not None:
+        small = staged(standing(small, found), "undecided")
+    cells = [
+        small.select(
+            "_rec",
+            "_path",
+            F.lit(0).alias("_side"),
+            F.lit(False).alias("_cross"),
+        ),
+        *map(faced, few),
+        *(
+            in_block_pairs(x, "_path", F.col("_size"), SMALL).select(
+                "_rec", "_path", "_side", "_cross"
+            )
+            for x in many
+        ),
+    ]
+    rows = _union(cells).join(records.select("_rec", "_sig"), "_rec")
+    edges = met(rows, similarity)
+    return edges if found is None else edges.unionByName(tied(found))
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for other in tables[1:]:
+        out = out.unionByName(other)
+    return out
 
 
 def linked(members: DataFrame, similarity: float) -> DataFrame:
     """Exact links within groups: each record's number, and what it joins.
 
-    Intersections are counted over an inverted index of the group's shingles.
+    Near copies differ little from what most of the group hold, the core. So
+    a set is what it lacks of the core and what it has beside, and the
+    intersection of two follows from their numbers and from what these
+    differences share; that is counted over an inverted index of them.
     """
 
     def run(cols: dict[str, list]) -> dict[str, list]:
@@ -372,27 +474,32 @@ def linked(members: DataFrame, similarity: float) -> DataFrame:
         sets = [np.frombuffer(x, np.uint32) for x in cols["_set"]]
         n = len(sets)
         size = np.array([len(x) for x in sets])
-        owner = np.repeat(np.arange(n), size)
-        flat = np.concatenate(sets) if n else np.empty(0, np.uint32)
+        owner, number = differences(sets)
+        lacks = np.zeros(n, np.int64)
+        beside = np.bincount(owner[number >= 0], minlength=n)
+        lacks += np.bincount(owner[number < 0], minlength=n)
+        core = int((size - beside + lacks)[0])
         _, number, df = np.unique(
-            flat, return_inverse=True, return_counts=True
+            number, return_inverse=True, return_counts=True
         )
-        order = np.argsort(number, kind="stable")
-        posting = owner[order]
+        shared = df[number] > 1
+        owner, number = owner[shared], number[shared]
+        posting = owner[np.argsort(number, kind="stable")]
+        df = np.bincount(number, minlength=len(df))
         start = np.concatenate([[0], np.cumsum(df)])
-        ends = np.cumsum(size)
+        order = np.argsort(owner, kind="stable")
+        mine = number[order]
+        first = np.searchsorted(owner[order], np.arange(n + 1))
         forest, links = Forest(n), np.zeros(n, np.int64)
         for i in range(n):
-            mine = number[ends[i] - size[i] : ends[i]]
-            mine = mine[df[mine] > 1]
-            if not len(mine):
-                continue
-            common = np.zeros(n, np.int64)
-            for x in mine:
+            common = core - lacks - lacks[i]
+            for x in mine[first[i] : first[i + 1]].tolist():
                 common[posting[start[x] : start[x + 1]]] += 1
             either = size + size[i] - common
             near = common >= similarity * either - 1e-9
             near[i] = False
+            if not size[i]:
+                near[:] = False
             if cross:
                 near &= sides != sides[i]
             links[i] = near.sum()
@@ -407,31 +514,61 @@ def linked(members: DataFrame, similarity: float) -> DataFrame:
     return map_groups(members, "_group", run, LINKS)
 
 
+def differences(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Differences of sets from their core, the values that more than half of
+    them hold: (set, value) with a number for each value, one below 0 for a
+    value of the core that the set lacks."""
+    n = len(sets)
+    size = [len(x) for x in sets]
+    owner = np.repeat(np.arange(n), size)
+    flat = np.concatenate(sets) if n else np.empty(0, np.uint32)
+    kinds, number, df = np.unique(
+        flat, return_inverse=True, return_counts=True
+    )
+    core = 2 * df > n
+    place = np.cumsum(core) - 1
+    inside = core[number]
+    held = np.zeros((int(core.sum()), n), bool)  # at most two cells a value
+    held[place[number[inside]], owner[inside]] = True
+    value, lacking = np.nonzero(~held)
+    return (
+        np.concatenate([owner[~inside], lacking]),
+        np.concatenate([number[~inside], -1 - value]),
+    )
+
+
 def classes(rows: DataFrame, similarity: float) -> DataFrame:
     """(_rec, _root, n_links) of the records that have links, from signed
     rows."""
     records = staged(
-        rows.groupBy("_rec").agg(F.first("_sig").alias("_sig")), "records"
+        rows.groupBy("_rec").agg(
+            F.first("_sig").alias("_sig"),
+            F.first(F.octet_length("_set")).alias("_bytes"),
+        ),
+        "records",
     )
     found = staged(
         candidates(records, similarity, runs_for(similarity)), "met"
     )
-    sizes = found.groupBy("root").agg(F.count(F.lit(1)).alias("_size"))
     # one row stands for all copies
     sets = rows.dropDuplicates(["_rec"]).select("_rec", "_set")
-    members = (
-        found.withColumnRenamed("node", "_rec")
-        .join(sizes, "root")
-        .withColumnRenamed("root", "_group")
+    held = found.withColumnRenamed("node", "_rec").join(
+        records.select("_rec", "_bytes"), "_rec"
+    )
+    sizes = held.groupBy("root").agg(
+        F.greatest(
+            F.count(F.lit(1)) / BLOCK, F.sum("_bytes") / BLOCK_BYTES
+        ).alias("_blocks")
     )
-    plain = members.where(F.col("_size") <= BLOCK).select(
+    members = held.join(sizes, "root").withColumnRenamed("root", "_group")
+    plain = members.where("_blocks <= 1").select(
         "_rec",
         "_group",
         F.lit(0).alias("_side"),
         F.lit(False).alias("_cross"),
     )
     split = in_block_pairs(
-        members.where(F.col("_size") > BLOCK), "_group", F.col("_size"), BLOCK
+        members.where("_blocks > 1"), "_group", F.col("_blocks"), 1
     ).select("_rec", "_group", "_side", "_cross")
     exact = staged(
         linked(plain.unionByName(split).join(sets, "_rec"), similarity),
