@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import xxhash
 
-from proclivity.llm.common import words
+from proclivity.llm.common import sole, words
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
 SHINGLE = 5
@@ -37,7 +39,14 @@ class WordHashes(dict):
         )
 
 
-HASHES = WordHashes()
+@lru_cache(maxsize=1)
+def _memo() -> WordHashes:
+    return WordHashes()
+
+
+def word_hashes(found: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words."""
+    return sole(_memo).of(found)
 
 
 def runs_of(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -52,7 +61,7 @@ def runs_of(hashes: np.ndarray, n: int) -> np.ndarray:
 def shingle_set(text: str | None) -> np.ndarray:
     """Sorted distinct hashes of five consecutive words; a text of fewer is
     one shingle, a text without words has none."""
-    hashes = HASHES.of(words(text))
+    hashes = word_hashes(words(text))
     if not len(hashes):
         return hashes
     return np.unique(runs_of(hashes, min(SHINGLE, len(hashes))))

@@ -29,7 +29,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from proclivity.llm.common import map_batches, schema, staged, words
-from proclivity.llm.shingles import HASHES, STEP, mix
+from proclivity.llm.shingles import STEP, mix, word_hashes
 
 WINDOW = 35
 PHRASE = 8
@@ -50,7 +50,7 @@ ADDED = schema("n_words long, n_removed long, kept string")
 
 def hashes_of(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all phrases and of all windows, by doubling lengths."""
-    made = {1: HASHES.of(found)}
+    made = {1: word_hashes(found)}
     size = 1
     while size * 2 <= WINDOW:
         made[size * 2] = _joined(made[size], size)

@@ -22,7 +22,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from proclivity.llm.common import map_batches, schema, staged
+from proclivity.llm.common import map_batches, schema, sole, staged
 
 #: Labelled rows that the model is fitted on, at most (chosen by hash).
 FIT_ROWS = 12_000
@@ -353,7 +353,7 @@ def features(
     lexicon = tuple(terms)
 
     def run(cols: dict[str, list]) -> dict[str, list]:
-        scanner = _scanner(lexicon)
+        scanner = sole(_scanner, lexicon)
         rows = [scanner.features(x) for x in cols["text"]]
         columns = list(zip(*rows, strict=True)) or [[] for _ in FEATURES]
         return {k: cols[k] for k in ("doc_id", "held_out")} | dict(
@@ -384,7 +384,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Model:
     scanner_terms = tuple(terms)
 
     def run(cols: dict[str, list]) -> dict[str, list]:
-        scanner = _scanner(scanner_terms)
+        scanner = sole(_scanner, scanner_terms)
         rows = [scanner.features(x) for x in cols["text"]]
         columns = list(zip(*rows, strict=True)) or [[] for _ in FEATURES]
         return {"label": cols["toxic"]} | dict(
