@@ -305,7 +305,8 @@ def ordered_means(
     one category and range are ordered together, so a category that holds a
     third of all rows is dealt over as many tasks as there are ranges. All
     columns go through one window and come back by one grouping; rows whose
-    keys repeat are kept apart.
+    keys repeat are kept apart. A row's place in this order is one number, so
+    that its hash is shuffled once, not for each column.
     """
     if not columns:
         return df
@@ -320,10 +321,16 @@ def ordered_means(
         place = F.md5(F.concat_ws("\u0001", *map(str_key, key), F.lit(seed)))
     # md5 is even: its first 32 bits deal the ranges
     part = F.conv(F.substring("__place", 1, 8), 16, 10).cast("double")
+    within = Window.partitionBy("__range").orderBy("__place", "__id")
     rows = staged(
-        df.withColumn("__row", F.monotonically_increasing_id())
+        df.withColumn("__id", F.monotonically_increasing_id())
         .withColumn("__place", place)
         .withColumn("__range", F.floor(part / float(1 << 32) * ranges))
+        .withColumn(
+            "__row",
+            F.shiftleft("__range", 32) + F.row_number().over(within),
+        )
+        .drop("__id", "__place", "__range")
     )
     cells = F.array(
         *[
@@ -332,7 +339,10 @@ def ordered_means(
         ]
     )
     long = rows.select(
-        "__row", "__place", "__range", F.inline(cells), y.alias("y")
+        "__row",
+        F.shiftright("__row", 32).alias("__range"),
+        F.inline(cells),
+        y.alias("y"),
     )
     cell = ["at", "value", "__range"]
     before = Window.partitionBy("at", "value").orderBy("__range")
@@ -346,7 +356,7 @@ def ordered_means(
             F.sum("__n").over(before).alias("__en"),
         )
     )
-    inside = Window.partitionBy(*cell).orderBy("__place", "__row")
+    inside = Window.partitionBy(*cell).orderBy("__row")
     inside = inside.rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0.0)
     mean = (
@@ -369,4 +379,4 @@ def ordered_means(
             ]
         )
     )
-    return rows.join(wide, "__row").drop("__row", "__place", "__range")
+    return rows.join(wide, "__row").drop("__row")

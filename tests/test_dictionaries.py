@@ -113,3 +113,15 @@ def test_noise_is_not_learned(spark, name):
     )
     assert bundle.metrics["train"]["roc_auc"] < 0.66
     assert abs(bundle.metrics["train"]["roc_auc"] - bundle.metrics["test"]["roc_auc"]) < 0.15
+
+
+def test_hashes_are_not_shuffled_for_each_column(spark):
+    """A row's place among the others goes along as one number."""
+    df = spark.range(100).selectExpr("id", "id % 3 AS a", "id % 2 AS y")
+    made = dictionaries.ordered_means(df, {"a": "m"}, "y", ["id"])
+    assert "md5" not in plan_of(made) and "__place" not in plan_of(made)
+    assert made.columns == ["id", "a", "y", "m"] and made.count() == 100
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().toString()
