@@ -17,10 +17,12 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from proclivity.llm.chunks import chunks
+from proclivity.llm.chunks import UNCUT, chunks
 from proclivity.llm.common import map_batches, schema, sole, staged
 from proclivity.llm.runs import Runs, cut_at
 
@@ -32,7 +34,7 @@ ROUNDS = 6
 #: A sequence with at most this many free tokens stays as it is.
 TIGHT = 8
 #: Texts whose chunks are looked up together.
-TOGETHER = 256
+TOGETHER = 1024
 MEMO_BYTES = 160 << 20
 
 PIECES = schema(
@@ -78,12 +80,14 @@ class Encoder:
 
     def ids(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text; null is empty."""
-        parts = [chunks(x or "") for x in texts]
-        heads = self._encode([x[0] for x in parts])
-        numbered = self.runs.numbers([x[1:] for x in parts])
+        if not texts:
+            return []
+        heads, codes, kinds = cut_together([x or "" for x in texts])
+        heads = self._encode(heads)
+        (number,) = self.runs.numbers([kinds])
         return [
-            np.concatenate([head, self.runs.run(x)])
-            for head, x in zip(heads, numbered, strict=True)
+            np.concatenate([head, self.runs.run(number[x])])
+            for head, x in zip(heads, codes, strict=True)
         ]
 
     def of(self, text: str | None) -> list[bytes]:
@@ -91,6 +95,39 @@ class Encoder:
         return [x.astype("<u4").tobytes() for x in self.ids([text])]
 
 
+def cut_together(
+    texts: list[str],
+) -> tuple[list[str], list[np.ndarray], list[str]]:
+    """The first chunk of each text, the places of its other chunks among the
+    kinds, and the kinds: all other chunks of the texts, each once."""
+    hard = {i: chunks(x) for i, x in enumerate(texts) if UNCUT.search(x)}
+    lists = pc.split_pattern(
+        pa.array(
+            ["" if i in hard else x for i, x in enumerate(texts)],
+            pa.large_string(),
+        ),
+        " ",
+    )
+    ends = np.diff(lists.offsets.to_numpy())
+    first = np.cumsum(ends) - ends
+    parts = lists.flatten()
+    heads = parts.take(pa.array(first)).to_pylist()
+    rest = np.ones(len(parts), bool)
+    rest[first] = False
+    found = parts.filter(pa.array(rest)).dictionary_encode()
+    kinds = found.dictionary.to_pylist()
+    codes = np.split(
+        found.indices.to_numpy(), np.cumsum(ends - 1)[:-1]
+    )
+    place = {x: i for i, x in enumerate(kinds)} if hard else {}
+    for i, own in hard.items():
+        heads[i] = own[0]
+        codes[i] = np.array(
+            [place.setdefault(x, len(place)) for x in own[1:]], np.int64
+        )
+    return heads, codes, list(place) or kinds
+
+
 @lru_cache(maxsize=1)
 def _memo(path: str) -> Encoder:
     return Encoder(path)

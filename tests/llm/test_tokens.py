@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from proclivity.llm import byte_bpe, fertility, packing
+from proclivity.llm import byte_bpe, chunks, fertility, packing
 from proclivity.llm.queries import VOCABULARIES
 
 RANKS = P.path("byte_bpe_50k.tiktoken")
@@ -271,3 +271,12 @@ def test_rare_language_has_bands_of_its_own(spark, n):
         *VOCABULARIES,
     ).collect()
     assert all(r.kept == (r.doc_id < 10_000) for r in out)
+
+
+def test_chunks_of_many_texts_are_cut_at_once():
+    """Each kind of chunk is looked up once for all texts of a call."""
+    odd = ["", " ", "a", " lead a", "trail a ", "a  b a", "x　y 　z a", "a\n b\tc", "b a " * 9]
+    heads, codes, kinds = packing.cut_together(odd)
+    got = [[h, *(kinds[i] for i in x)] for h, x in zip(heads, codes, strict=True)]
+    assert got == [chunks.chunks(x) for x in odd]
+    assert len(kinds) == len(set(kinds))
