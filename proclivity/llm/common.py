@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -71,13 +72,52 @@ def staged(df: DataFrame, label: str = "staged") -> DataFrame:
     nothing of it. The shuffle files of that work are freed at its end.
     """
     spark, path = df.sparkSession, scratch(df.sparkSession, label)
+    with freeing(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def freeing(spark: SparkSession) -> Iterator[None]:
+    """Actions inside free their shuffle files at their end."""
     before = spark.conf.get(FREE_SHUFFLES, "false")
     spark.conf.set(FREE_SHUFFLES, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        yield
     finally:
         spark.conf.set(FREE_SHUFFLES, before)
-    return spark.read.schema(df.schema).parquet(path)
+
+
+#: Rows of 64 bits that a mask has at most: some megabytes in each task.
+MASK_ROWS = 1 << 18
+
+
+def mask_of(wanted: DataFrame, key: str) -> DataFrame:
+    """A table of bits, one for each hash that a key of `wanted` has."""
+    hashed = F.xxhash64(key)
+    bit = F.expr(f"shiftleft(1L, int(shiftrightunsigned(xxhash64({key}), 40) & 63))")
+    return staged(
+        wanted.select(F.pmod(hashed, F.lit(MASK_ROWS)).alias("_cell"), bit.alias("_bit"))
+        .groupBy("_cell")
+        .agg(F.bit_or("_bit").alias("_bits")),
+        "mask",
+    )
+
+
+def among(
+    rows: DataFrame, key: str, mask: DataFrame, how: str = "left_semi"
+) -> DataFrame:
+    """Rows whose key is among the mask's, and few others: wide rows that a
+    join would drop are not shuffled for it. `left_anti` gives the rest.
+
+    The mask is sent to all tasks, as its size is bounded by MASK_ROWS. If it
+    is nearly full, more other rows stay, which the join after it drops.
+    """
+    here = F.pmod(F.xxhash64(key), F.lit(MASK_ROWS)) == F.col("_cell")
+    bit = F.expr(
+        f"shiftright(_bits, int(shiftrightunsigned(xxhash64({key}), 40) & 63)) & 1 = 1"
+    )
+    return rows.join(F.broadcast(mask), here & bit, how)
 
 
 _AT_WORK: list[Callable] = []
@@ -214,4 +254,5 @@ def _stars(edges: DataFrame) -> bool:
     kinds = ends.groupBy("u").agg(
         F.sum("down").alias("down"), F.max("root").alias("root")
     )
-    return kinds.where("down > 1 OR (down = 1 AND root = 1)").isEmpty()
+    with freeing(edges.sparkSession):
+        return kinds.where("down > 1 OR (down = 1 AND root = 1)").isEmpty()

@@ -28,7 +28,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from proclivity.llm.common import map_batches, schema, staged, words
+from proclivity.llm.common import (
+    among,
+    freeing,
+    map_batches,
+    mask_of,
+    schema,
+    staged,
+    words,
+)
 from proclivity.llm.shingles import STEP, mix, word_hashes
 
 WINDOW = 35
@@ -142,7 +150,10 @@ def windows_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         .groupBy("_x")
         .agg(F.collect_list(F.struct(*parts)).alias("_runs"))
     )
-    once = docs.select("_x", "text").dropDuplicates(["_x"])
+    # only texts with such runs are shuffled
+    once = among(
+        docs.select("_x", "text"), "_x", mask_of(wanted, "_x")
+    ).dropDuplicates(["_x"])
     rows = once.join(lists, "_x").select(
         "text", *[F.col("_runs").getField(n).alias(n) for n in parts]
     )
@@ -355,9 +366,17 @@ def _removed(docs: DataFrame) -> DataFrame:
         ),
         "marks",
     )
-    marked = staged(rows.join(marks, "_x", "left"), "marked")
-    single = marked.where("_rows <= 1")
-    size = single.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # texts are dealt to shards at once: only rows that seem to be repeated
+    # are joined with their counts, the exact way to tell
+    held = mask_of(marks, "_x")
+    again_held = mask_of(marks.where("_rows > 1"), "_x")
+    some = among(rows, "_x", held)
+    doubtful = among(some, "_x", again_held).join(marks, "_x", "left")
+    single = among(some, "_x", again_held, "left_anti").unionByName(
+        doubtful.where("_rows IS NULL OR _rows <= 1").drop("_rows")
+    )
+    with freeing(docs.sparkSession):
+        size = single.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // (SHARD_RUNS * RUN_BYTES)))
     shard = F.pmod("_x", F.lit(shards)).cast("int")
     passages = (
@@ -384,14 +403,19 @@ def _removed(docs: DataFrame) -> DataFrame:
             yield _straight(batch, arrow)
 
     cleaned = (
-        single.drop("_rows")
-        .withColumn("_shard", shard)
+        single.withColumn("_shard", shard)
         .groupBy("_shard")
         .cogroup(passages.groupBy("_shard"))
         .applyInArrow(clean, fields)
     )
-    others = marked.where("_rows IS NULL OR _rows > 1").select(
-        *own, F.col("_rows").isNotNull().alias("_copies")
+    others = (
+        among(rows, "_x", held, "left_anti")
+        .select(*own, F.lit(False).alias("_copies"))
+        .unionByName(
+            doubtful.where("_rows > 1").select(
+                *own, F.lit(True).alias("_copies")
+            )
+        )
     )
     return cleaned.unionByName(others.mapInArrow(pass_on, fields))
 

@@ -3,8 +3,10 @@
 import hashlib
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -511,3 +513,50 @@ def test_pipeline(spark):
     for r in rows:
         fill[r.sequence_id] += r.length
     assert max(fill.values()) <= 2048
+
+
+def staged_columns(folder):
+    """Columns of each table that was staged, by its label."""
+    return {
+        path.name.rsplit("-", 1)[0]: pq.read_schema(next(path.glob("*.parquet"))).names
+        for path in folder.iterdir()
+        if next(path.glob("*.parquet"), None)
+    }
+
+
+@pytest.fixture
+def shared(spark, tmp_path):
+    """A shared folder of this test's own."""
+    context = spark.sparkContext
+    before = context.getCheckpointDir()
+    context.setCheckpointDir(str(tmp_path))
+    yield Path(context.getCheckpointDir().removeprefix("file:"))
+    if before:
+        context.setCheckpointDir(before)
+
+
+def some_texts(spark):
+    """Texts alone, near copies of one, copies, and a null."""
+    alone = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(30)]
+    near = [alone[0] + f" end{i}" for i in range(5)]
+    texts = [*alone, *near, near[0], None]
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+
+def test_texts_are_not_staged_again(spark, shared):
+    """Repeats are cut without a second copy of all texts."""
+    done = substring_dedup.remove_repeats(some_texts(spark)).collect()
+    gone = {r.doc_id: r.n_removed for r in done}
+    assert {i for i, n in gone.items() if n} == {0, *range(30, 36)}
+    assert gone[30] == gone[35] == 61 and gone[31] == 60
+    assert not [x for x in staged_columns(shared).values() if "text" in x]
+
+
+def test_a_mask_keeps_all_that_is_wanted(spark):
+    rows = spark.range(20_000)
+    mask = common.mask_of(rows.where("id % 40 = 0"), "id")
+    kept = common.among(rows, "id", mask)
+    assert kept.where("id % 40 = 0").count() == 500
+    assert kept.count() < 600
+    rest = common.among(rows, "id", mask, "left_anti")
+    assert rest.count() + kept.count() == 20_000
