@@ -23,9 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from proclivity.llm.common import (
+    among,
     components,
     map_batches,
     map_groups,
+    mask_of,
     schema,
     staged,
 )
@@ -33,7 +35,7 @@ from proclivity.llm.shingles import STEP, mix, shingle_set
 
 COORDINATES = 96
 #: A bucket up to this size is compared; a larger one is split.
-SMALL = 500
+SMALL = 2000
 #: Splits at most; larger buckets are then compared block by block.
 DEPTH = 6
 #: Chance that a pair of the least similarity meets and passes the sketches,
@@ -49,9 +51,14 @@ BLOCK = 20_000
 BLOCK_BYTES = 8 << 20
 
 SIGNED = schema(
-    "doc_id long, _t1 long, _t2 long, _rec long, _sig binary, _set binary"
+    "doc_id long, _t1 long, _t2 long, _rec long, _sig binary, _bytes long"
 )
+SETS = schema("_rec long, _set binary")
 PATHS = schema("_rec long, _path long")
+LED = schema(
+    "_rec long, _path long, _size long, _lead long, _near boolean,"
+    "_first long, _second long"
+)
 EDGES = schema("u long, v long")
 LINKS = schema("_rec long, _to long, _links long")
 
@@ -117,11 +124,8 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """Each row's ids, its record (equal sets are one), signature and set.
-
-    Sets are kept as 32-bit hashes: two sets of n shingles seem to share one
-    that they don't in n * n / 2**32 cases.
-    """
+    """Each row's ids, its record (equal sets are one), signature, and about
+    how many bytes its set takes."""
 
     def run(cols: dict[str, list]) -> dict[str, list]:
         out: dict[str, list] = {k: cols[k] for k in ("doc_id", "_t1", "_t2")}
@@ -130,10 +134,7 @@ def signed(docs: DataFrame) -> DataFrame:
             xxhash.xxh64_intdigest(x.tobytes()) - (1 << 63) for x in sets
         ]
         out["_sig"] = [signature(x).tobytes() for x in sets]
-        out["_set"] = [
-            np.unique((x >> np.uint64(32)).astype(np.uint32)).tobytes()
-            for x in sets
-        ]
+        out["_bytes"] = [4 * len(x) for x in sets]
         return out
 
     rows = docs.select(
@@ -145,6 +146,38 @@ def signed(docs: DataFrame) -> DataFrame:
     return map_batches(rows, run, SIGNED)
 
 
+def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(_rec, _set) of wanted records (_rec, _t1, _t2), each from the text
+    with these hashes; only texts that are wanted are shuffled.
+
+    Sets are kept as 32-bit hashes: two sets of n shingles seem to share one
+    that they don't in n * n / 2**32 cases.
+    """
+
+    def run(cols: dict[str, list]) -> dict[str, list]:
+        sets = [shingle_set(x) for x in cols["text"]]
+        return {
+            "_rec": cols["_rec"],
+            "_set": [
+                np.unique((x >> np.uint64(32)).astype(np.uint32)).tobytes()
+                for x in sets
+            ],
+        }
+
+    texts = docs.select(
+        "text",
+        F.xxhash64("text").alias("_t1"),
+        F.xxhash64(F.lit(1), "text").alias("_t2"),
+    )
+    once = (
+        among(texts, "_t1", mask_of(wanted, "_t1"))
+        .groupBy("_t1", "_t2")
+        .agg(F.first("text").alias("text"))
+    )
+    rows = once.join(wanted, ["_t1", "_t2"]).select("_rec", "text")
+    return map_batches(rows, run, SETS)
+
+
 def children(
     paths: np.ndarray, sigs: np.ndarray, similarity: float
 ) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -194,24 +227,6 @@ def first_paths(
     return map_batches(records.select("_rec", "_sig"), run, PATHS)
 
 
-def next_paths(
-    placed: DataFrame, records: DataFrame, similarity: float
-) -> DataFrame:
-    """Paths one step deeper, of records in large buckets."""
-
-    def run(cols: dict[str, list]) -> dict[str, list]:
-        recs = np.array(cols["_rec"], np.int64)
-        paths = np.array(cols["_path"], np.int64).view(np.uint64)
-        made = children(paths, _matrix(cols["_sig"]), similarity)
-        return {
-            "_rec": np.concatenate([recs[rows] for rows, _ in made]),
-            "_path": np.concatenate([p for _, p in made]).view(np.int64),
-        }
-
-    rows = placed.join(records.select("_rec", "_sig"), "_rec")
-    return map_batches(rows.select("_rec", "_path", "_sig"), run, PATHS)
-
-
 def in_block_pairs(
     rows: DataFrame, key: str, size: Column, most: int
 ) -> DataFrame:
@@ -282,7 +297,7 @@ def standing(sized: DataFrame, found: DataFrame) -> DataFrame:
     belong to, and _few, how many are not.
     """
     rooted = sized.join(found, F.col("_rec") == F.col("node"), "left").select(
-        "_rec", "_path", "_size", F.coalesce("root", "_rec").alias("_root")
+        *sized.columns, F.coalesce("root", "_rec").alias("_root")
     )
     tops = (
         rooted.groupBy("_path", "_root")
@@ -294,9 +309,7 @@ def standing(sized: DataFrame, found: DataFrame) -> DataFrame:
         rooted.join(tops, "_path")
         .where(F.col("_most._n") < F.col("_size"))
         .select(
-            "_rec",
-            "_path",
-            "_size",
+            *sized.columns,
             (F.col("_root") == F.col("_most._root")).alias("_top"),
             (F.col("_size") - F.col("_most._n")).alias("_few"),
         )
@@ -306,38 +319,28 @@ def standing(sized: DataFrame, found: DataFrame) -> DataFrame:
 def led(
     large: DataFrame, records: DataFrame, similarity: float
 ) -> DataFrame:
-    """Edges from one record of each bucket, drawn by hash, to all whose
-    sketches agree with its own."""
+    """Adds whether a record's sketch agrees with that of its bucket's leader,
+    _near, and its paths one step deeper; _second may be null."""
     least = (similarity - SLACK) * COORDINATES
 
     def run(cols: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {"u": [], "v": []}
+        out = {n: cols.get(n, []) for n in LED.fieldNames()}
         if cols["_rec"]:
             own, lead = _matrix(cols["_sig"]), _matrix(cols["_led"])
-            for i in np.flatnonzero((own == lead).sum(1) >= least):
-                out["u"].append(cols["_rec"][i])
-                out["v"].append(cols["_lead"][i])
+            out["_near"] = (own == lead).sum(1) >= least
+            paths = np.array(cols["_path"], np.int64).view(np.uint64)
+            (_, first), (rows, second) = children(paths, own, similarity)
+            out["_first"] = first.view(np.int64)
+            out["_second"] = [None] * len(own)
+            for i, path in zip(rows, second.view(np.int64), strict=True):
+                out["_second"][i] = int(path)
         return out
 
-    leads = (
-        large.groupBy("_path")
-        .agg(F.min_by("_rec", F.xxhash64("_rec", "_path")).alias("_lead"))
-        .join(
-            records.select(
-                F.col("_rec").alias("_lead"), F.col("_sig").alias("_led")
-            ),
-            "_lead",
-        )
-    )
-    rows = (
-        large.select("_rec", "_path")
-        .join(leads, "_path")
-        .where("_rec <> _lead")
-        .join(records.select("_rec", "_sig"), "_rec")
-    )
-    return map_batches(
-        rows.select("_rec", "_lead", "_sig", "_led"), run, EDGES
+    wide = large.join(records.select("_rec", "_sig"), "_rec")
+    leads = wide.where("_rec = _lead").select(
+        "_path", F.col("_sig").alias("_led")
     )
+    return map_batches(wide.join(leads, "_path"), run, LED)
 
 
 def faced(rows: DataFrame) -> DataFrame:
@@ -396,57 +399,76 @@ def edges_of(
     """Edges that connect what meets in these runs, and the components
     `found` before.
 
-    A large bucket is first compared with its leader. If that leaves it in
-    one component it can add no edge; if few records are outside the largest,
-    these are compared with all; else it is split. At DEPTH it is dealt over
-    pairs of blocks.
+    A large bucket is first compared with its leader, a record drawn by hash.
+    What that joins is one component: if it is all, the bucket can add no
+    edge; if few records are outside, these are compared with all; else the
+    bucket is split. At DEPTH it is dealt over pairs of blocks. What the
+    leaders have joined is left out of the comparisons.
     """
     placed = staged(first_paths(records, similarity, runs), "paths")
-    plain, few, many = [], [], []
+    plain, outside, stars = [], [], []
     for depth in range(1, DEPTH + 1):
-        sizes = placed.groupBy("_path").agg(F.count(F.lit(1)).alias("_size"))
-        sized = staged(
-            placed.join(sizes.where("_size > 1"), "_path"), "buckets"
-        ).select("_rec", "_path", "_size")
-        if found is not None:
-            sized = staged(standing(sized, found), "undecided").select(
-                "_rec", "_path", "_size"
+        sizes = placed.groupBy("_path").agg(
+            F.count(F.lit(1)).alias("_size"),
+            F.min_by("_rec", F.xxhash64("_rec", "_path")).alias("_lead"),
+        )
+        sized = placed.join(sizes.where("_size > 1"), "_path").select(
+            "_rec", "_path", "_size", "_lead"
+        )
+        sized = staged(sized, "buckets")
+        if found is not None and depth == 1:
+            sized = staged(
+                standing(sized, found).select(*sized.columns), "undecided"
             )
-        plain.append(sized.where(F.col("_size") <= SMALL))
+        bucket = ("_rec", "_path", "_size")
+        plain.append(sized.where(F.col("_size") <= SMALL).select(*bucket))
         large = sized.where(F.col("_size") > SMALL)
         if large.isEmpty():
             break
-        stars = led(large, records, similarity)
-        if found is not None:
-            stars = stars.unionByName(tied(found))
-        found = staged(components(stars), "led")
-        left = staged(standing(large, found), "left")
-        few.append(left.where(F.col("_few") <= SMALL))
-        split = left.where(F.col("_few") > SMALL)
+        told = staged(led(large, records, similarity), "led")
+        stars.append(
+            told.where("_near AND _rec <> _lead").selectExpr(
+                "_rec AS u", "_lead AS v"
+            )
+        )
+        others = told.groupBy("_path").agg(
+            F.count_if(F.expr("NOT _near")).alias("_others")
+        )
+        left = staged(told.join(others.where("_others > 0"), "_path"), "left")
+        split = F.col("_others") > SMALL
         if depth == DEPTH:
-            many.append(split)
-        elif split.isEmpty():
+            outside.append(left.select(*bucket))
             break
-        else:
-            placed = staged(next_paths(split, records, similarity), "paths")
-    small = staged(each_once(_union(plain)), "once")
+        outside.append(left.where(~split).select(*bucket))
+        placed = (
+            left.where(split)
+            .select("_rec", F.explode(F.array("_first", "_second")).alias("_path"))
+            .where("_path IS NOT NULL")
+        )
+        if placed.isEmpty():
+            break
+    if stars:
+        known = [] if found is None else [tied(found)]
+        found = staged(components(_union([*stars, *known])), "led")
+    small = each_once(_union(plain))
     if found is not None:
-        small = staged(standing(small, found), "undecided")
+        small = standing(staged(small, "once"), found)
     cells = [
         small.select(
             "_rec",
             "_path",
             F.lit(0).alias("_side"),
             F.lit(False).alias("_cross"),
-        ),
-        *map(faced, few),
-        *(
-            in_block_pairs(x, "_path", F.col("_size"), SMALL).select(
-                "_rec", "_path", "_side", "_cross"
-            )
-            for x in many
-        ),
+        )
     ]
+    if outside:
+        left = staged(standing(_union(outside), found), "left")
+        cells += [
+            faced(left.where(F.col("_few") <= SMALL)),
+            in_block_pairs(
+                left.where(F.col("_few") > SMALL), "_path", F.col("_size"), SMALL
+            ).select("_rec", "_path", "_side", "_cross"),
+        ]
     rows = _union(cells).join(records.select("_rec", "_sig"), "_rec")
     edges = met(rows, similarity)
     return edges if found is None else edges.unionByName(tied(found))
@@ -537,30 +559,38 @@ def differences(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     )
 
 
-def classes(rows: DataFrame, similarity: float) -> DataFrame:
-    """(_rec, _root, n_links) of the records that have links, from signed
-    rows."""
+def classes(
+    docs: DataFrame, rows: DataFrame, similarity: float
+) -> DataFrame:
+    """(_rec, _root, n_links) of the records that have links, from documents
+    and their signed rows."""
+    # one text stands for all copies
     records = staged(
         rows.groupBy("_rec").agg(
             F.first("_sig").alias("_sig"),
-            F.first(F.octet_length("_set")).alias("_bytes"),
+            F.min(F.struct("_t1", "_t2", "_bytes")).alias("_text"),
         ),
         "records",
     )
     found = staged(
         candidates(records, similarity, runs_for(similarity)), "met"
     )
-    # one row stands for all copies
-    sets = rows.dropDuplicates(["_rec"]).select("_rec", "_set")
-    held = found.withColumnRenamed("node", "_rec").join(
-        records.select("_rec", "_bytes"), "_rec"
+    held = staged(
+        found.withColumnRenamed("node", "_rec")
+        .join(records.select("_rec", "_text.*"), "_rec"),
+        "held",
     )
+    sets = sets_of(docs, held.select("_rec", "_t1", "_t2"))
     sizes = held.groupBy("root").agg(
         F.greatest(
             F.count(F.lit(1)) / BLOCK, F.sum("_bytes") / BLOCK_BYTES
         ).alias("_blocks")
     )
-    members = held.join(sizes, "root").withColumnRenamed("root", "_group")
+    members = (
+        held.select("_rec", "root")
+        .join(sizes, "root")
+        .withColumnRenamed("root", "_group")
+    )
     plain = members.where("_blocks <= 1").select(
         "_rec",
         "_group",
@@ -590,7 +620,7 @@ def classes(rows: DataFrame, similarity: float) -> DataFrame:
 def signed_classes(docs: DataFrame, similarity: float) -> DataFrame:
     """Rows (doc_id, _t1, _t2, _rec, _root, n_links) of all documents."""
     rows = staged(signed(docs), "signed")
-    found = staged(classes(rows, similarity), "classes")
+    found = staged(classes(docs, rows, similarity), "classes")
     return (
         rows.select("doc_id", "_t1", "_t2", "_rec")
         .join(found, "_rec", "left")

@@ -552,6 +552,20 @@ def test_texts_are_not_staged_again(spark, shared):
     assert not [x for x in staged_columns(shared).values() if "text" in x]
 
 
+def test_sets_of_what_meets_nothing_are_not_kept(spark, shared, monkeypatch):
+    """Sets are only made of records that meet; components are few rounds."""
+    made = []
+    monkeypatch.setattr(
+        chosen_path, "components", lambda x, f=chosen_path.components: made.append(1) or f(x)
+    )
+    monkeypatch.setattr(chosen_path, "SMALL", 2)
+    done = chosen_path.join(some_texts(spark)).collect()
+    assert {r.doc_id for r in done if r.n_links} == {0, *range(30, 36)}
+    assert {r.class_id for r in done if r.n_links} == {0}
+    assert not [x for x in staged_columns(shared).values() if "_set" in x]
+    assert len(made) <= 5
+
+
 def test_a_mask_keeps_all_that_is_wanted(spark):
     rows = spark.range(20_000)
     mask = common.mask_of(rows.where("id % 40 = 0"), "id")
