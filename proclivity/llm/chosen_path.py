@@ -5,8 +5,8 @@ minimum-hash coordinates from its path, and a document goes on to the child
 of its value there, so documents meet where they share the sampled tokens. A
 bucket that is small is compared by brute force over sketches; a large one is
 compared with one of its own first, its leader, and split again if what that
-joins leaves more than a few others. Similar documents part at each split with a chance of at most
-1 - J, and 1 / J children on average make up for it; runs are repeated until
+joins leaves more than a few others. Similar documents part at each split with
+a chance of at most 1 - J, and 1 / J children on average make up for it; runs are repeated until
 the chance that a pair of the least similarity never meets, over all that its
 minimum hashes can be, is below the target. A second batch of runs only looks
 at buckets whose records the first one has not joined yet. What meets forms components, and in these every pair is compared
