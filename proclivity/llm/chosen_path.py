@@ -8,7 +8,8 @@ compared with one of its own first, its leader, and split again if what that
 joins leaves more than a few others. Similar documents part at each split with
 a chance of at most 1 - J, and 1 / J children on average make up for it; runs are repeated until
 the chance that a pair of the least similarity never meets, over all that its
-minimum hashes can be, is below the target. A second batch of runs only looks
+minimum hashes can be, is below the target. A bucket that one task can hold is
+split there; only of larger ones each level is a pass over rows. A second batch of runs only looks
 at buckets whose records the first one has not joined yet. What meets forms components, and in these every pair is compared
 again over the whole sets, so links are exact and few are lost.
 """
@@ -36,6 +37,8 @@ from proclivity.llm.shingles import STEP, mix, shingle_set
 COORDINATES = 96
 #: A bucket up to this size is compared; a larger one is split.
 SMALL = 2000
+#: A bucket up to this size is split and compared within one task.
+WHOLE = 20_000
 #: Splits at most; larger buckets are then compared block by block.
 DEPTH = 6
 #: Chance that a pair of the least similarity meets and passes the sketches,
@@ -266,25 +269,83 @@ class Forest:
         self.up[max(x, y)] = min(x, y)
 
 
+class Bucket:
+    """Components of a bucket's records, joined where their sketches agree."""
+
+    def __init__(
+        self, recs: np.ndarray, sigs: np.ndarray, similarity: float, small: int
+    ) -> None:
+        self.recs, self.sigs = recs, sigs
+        self.similarity, self.small = similarity, small
+        self.least = (similarity - SLACK) * COORDINATES
+        #: The first record of each one's component.
+        self.label = np.arange(len(recs))
+
+    def compare(
+        self, some: np.ndarray, rows: np.ndarray, later: bool = False
+    ) -> None:
+        """Compare some records with all of the rows, or each of the rows only
+        with those after it. Equal components are not compared again."""
+        columns = np.ascontiguousarray(self.sigs[rows].T)
+        for i, x in enumerate(some):
+            start = i + 1 if later else 0
+            label = self.label[rows[start:]]
+            other = label != self.label[x]
+            if not other.any():
+                continue
+            same = columns[:, start:] == self.sigs[x][:, None]
+            near = other & (same.sum(0, dtype=np.uint8) >= self.least)
+            if near.any():
+                joined = np.zeros(len(self.label), bool)
+                joined[label[near]] = True
+                joined[self.label[x]] = True
+                self.label[joined[self.label]] = joined.argmax()
+
+    def settle(self, rows: np.ndarray, path: np.uint64, depth: int) -> None:
+        """Compare all rows if they are few; else one of them, the leader, with
+        all, and then what is outside the largest component with all, or each
+        child by itself."""
+        if len(rows) <= self.small:
+            return self.compare(rows, rows, later=True)
+        drawn = mix(self.recs[rows].view(np.uint64) ^ path)
+        self.compare(rows[[drawn.argmin()]], rows)
+        label = self.label[rows]
+        outside = rows[label != np.bincount(label).argmax()]
+        if len(outside) <= self.small:
+            return self.compare(outside, rows)
+        if depth >= DEPTH:
+            return self.compare(rows, rows, later=True)
+        paths = np.full(len(rows), path)
+        for which, below in children(paths, self.sigs[rows], self.similarity):
+            order = np.argsort(below, kind="stable")
+            cuts = np.flatnonzero(np.diff(below[order])) + 1
+            for part in np.split(order, cuts):
+                if len(part) > 1:
+                    self.settle(rows[which[part]], below[part[0]], depth + 1)
+
+    def edges(self) -> dict[str, np.ndarray]:
+        """Edges that give the components."""
+        tied = np.flatnonzero(self.label != np.arange(len(self.label)))
+        return {"u": self.recs[tied], "v": self.recs[self.label[tied]]}
+
+
 def met(buckets: DataFrame, similarity: float) -> DataFrame:
-    """Edges of a spanning forest of the pairs whose sketches agree."""
-    least = (similarity - SLACK) * COORDINATES
+    """Edges of a spanning forest of the pairs whose sketches agree: of the
+    two sides of a crossed cell, else of what a bucket's tree compares."""
+    small = SMALL
 
     def run(cols: dict[str, list]) -> dict[str, list]:
-        recs = cols["_rec"]
-        sigs = _matrix(cols["_sig"])
-        sides = np.array(cols["_side"])
-        cross = cols["_cross"][0]
-        forest = Forest(len(recs))
-        for i in range(len(recs) - 1):
-            same = (sigs[i + 1 :] == sigs[i]).sum(1) >= least
-            if cross:
-                same &= sides[i + 1 :] != sides[i]
-            for j in np.flatnonzero(same):
-                forest.join(i, i + 1 + int(j))
-        roots = [forest.root(i) for i in range(len(recs))]
-        pairs = [(recs[i], recs[r]) for i, r in enumerate(roots) if i != r]
-        return {"u": [p[0] for p in pairs], "v": [p[1] for p in pairs]}
+        order = np.argsort(cols["_rec"], kind="stable")
+        recs = np.array(cols["_rec"], np.int64)[order]
+        bucket = Bucket(recs, _matrix(cols["_sig"])[order], similarity, small)
+        if cols["_cross"][0]:
+            sides = np.array(cols["_side"])[order]
+            one = sides == sides[0]
+            bucket.compare(np.flatnonzero(one), np.flatnonzero(~one))
+        else:
+            path = np.array(cols["_path"][:1], np.int64).view(np.uint64)
+            bucket.settle(np.arange(len(recs)), path[0], cols["_depth"][0])
+        return bucket.edges()
 
     return map_groups(buckets, "_path", run, EDGES)
 
@@ -357,20 +418,28 @@ def faced(rows: DataFrame) -> DataFrame:
         .withColumn("_path", F.xxhash64("_path", "_block"))
         .withColumn("_side", F.col("_top").cast("int"))
         .withColumn("_cross", F.col("_block") >= 0)
-        .select("_rec", "_path", "_side", "_cross")
+        .select("_rec", "_path", "_depth", "_side", "_cross")
     )
 
 
-def each_once(buckets: DataFrame) -> DataFrame:
-    """Buckets without those that hold the same records as another one."""
-    kinds = buckets.groupBy("_path", "_size").agg(
+def buckets_of(placed: DataFrame) -> DataFrame:
+    """Rows of the buckets of two or more, with their size and leader, but of
+    those that are compared whole and hold the same records only one; larger
+    ones are split by their own path."""
+    sizes = placed.groupBy("_path").agg(
+        F.count(F.lit(1)).alias("_size"),
+        F.min_by("_rec", F.xxhash64("_rec", "_path")).alias("_lead"),
         F.bit_xor(F.xxhash64("_rec")).alias("_h1"),
         F.bit_xor(F.xxhash64(F.lit(1), "_rec")).alias("_h2"),
     )
-    once = kinds.groupBy("_size", "_h1", "_h2").agg(
-        F.min("_path").alias("_path")
+    own = F.when(F.col("_size") > SMALL, F.col("_path")).alias("_own")
+    once = (
+        sizes.where("_size > 1")
+        .groupBy("_size", "_h1", "_h2", own)
+        .agg(F.min(F.struct("_path", "_lead")).alias("_one"))
+        .select("_one.*", "_size")
     )
-    return buckets.join(once.select("_path"), "_path", "left_semi")
+    return placed.join(once, "_path").select("_rec", "_path", "_size", "_lead")
 
 
 def candidates(records: DataFrame, similarity: float, runs: int) -> DataFrame:
@@ -399,8 +468,8 @@ def edges_of(
     """Edges that connect what meets in these runs, and the components
     `found` before.
 
-    A large bucket is first compared with its leader, a record drawn by hash.
-    What that joins is one component: if it is all, the bucket can add no
+    A bucket up to WHOLE is settled in one task. A larger one is first compared
+    with its leader, a record drawn by hash. What that joins is one component: if it is all, the bucket can add no
     edge; if few records are outside, these are compared with all; else the
     bucket is split. At DEPTH it is dealt over pairs of blocks. What the
     leaders have joined is left out of the comparisons.
@@ -408,21 +477,14 @@ def edges_of(
     placed = staged(first_paths(records, similarity, runs), "paths")
     plain, outside, stars = [], [], []
     for depth in range(1, DEPTH + 1):
-        sizes = placed.groupBy("_path").agg(
-            F.count(F.lit(1)).alias("_size"),
-            F.min_by("_rec", F.xxhash64("_rec", "_path")).alias("_lead"),
-        )
-        sized = placed.join(sizes.where("_size > 1"), "_path").select(
-            "_rec", "_path", "_size", "_lead"
-        )
-        sized = staged(sized, "buckets")
+        sized = staged(buckets_of(placed), "buckets")
         if found is not None and depth == 1:
             sized = staged(
                 standing(sized, found).select(*sized.columns), "undecided"
             )
-        bucket = ("_rec", "_path", "_size")
-        plain.append(sized.where(F.col("_size") <= SMALL).select(*bucket))
-        large = sized.where(F.col("_size") > SMALL)
+        bucket = ("_rec", "_path", "_size", F.lit(depth).alias("_depth"))
+        plain.append(sized.where(F.col("_size") <= WHOLE).select(*bucket))
+        large = sized.where(F.col("_size") > WHOLE)
         if large.isEmpty():
             break
         told = staged(led(large, records, similarity), "led")
@@ -440,23 +502,24 @@ def edges_of(
             outside.append(left.select(*bucket))
             break
         outside.append(left.where(~split).select(*bucket))
-        placed = (
-            left.where(split)
-            .select("_rec", F.explode(F.array("_first", "_second")).alias("_path"))
-            .where("_path IS NOT NULL")
+        ways = F.array_compact(F.array("_first", "_second"))
+        placed = staged(
+            left.where(split).select("_rec", F.explode(ways).alias("_path")),
+            "paths",
         )
         if placed.isEmpty():
             break
     if stars:
         known = [] if found is None else [tied(found)]
         found = staged(components(_union([*stars, *known])), "led")
-    small = each_once(_union(plain))
-    if found is not None:
-        small = standing(staged(small, "once"), found)
+    small = _union(plain)
+    if stars:
+        small = standing(small, found)
     cells = [
         small.select(
             "_rec",
             "_path",
+            "_depth",
             F.lit(0).alias("_side"),
             F.lit(False).alias("_cross"),
         )
@@ -467,7 +530,7 @@ def edges_of(
             faced(left.where(F.col("_few") <= SMALL)),
             in_block_pairs(
                 left.where(F.col("_few") > SMALL), "_path", F.col("_size"), SMALL
-            ).select("_rec", "_path", "_side", "_cross"),
+            ).select("_rec", "_path", "_depth", "_side", "_cross"),
         ]
     rows = _union(cells).join(records.select("_rec", "_sig"), "_rec")
     edges = met(rows, similarity)
@@ -491,9 +554,11 @@ def linked(members: DataFrame, similarity: float) -> DataFrame:
     """
 
     def run(cols: dict[str, list]) -> dict[str, list]:
-        recs = cols["_rec"]
-        sides, cross = np.array(cols["_side"]), cols["_cross"][0]
-        sets = [np.frombuffer(x, np.uint32) for x in cols["_set"]]
+        # in order, so that a component's first record is its least
+        order = np.argsort(cols["_rec"], kind="stable").tolist()
+        recs = [cols["_rec"][i] for i in order]
+        sides, cross = np.array(cols["_side"])[order], cols["_cross"][0]
+        sets = [np.frombuffer(cols["_set"][i], np.uint32) for i in order]
         n = len(sets)
         size = np.array([len(x) for x in sets])
         owner, number = differences(sets)

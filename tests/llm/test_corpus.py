@@ -195,6 +195,51 @@ def test_join_equals_all_pairs(spark, near, monkeypatch, small, block):
     check_join(chosen_path.join(docs).collect(), range(len(near)), near)
 
 
+@pytest.mark.parametrize("whole", [8, 40])
+def test_join_by_levels_of_rows(spark, near, monkeypatch, whole):
+    """Buckets that no task holds are split by passes over rows."""
+    monkeypatch.setattr(chosen_path, "SMALL", 8)
+    monkeypatch.setattr(chosen_path, "WHOLE", whole)
+    monkeypatch.setattr(chosen_path, "BLOCK", 16)
+    docs = spark.createDataFrame(list(enumerate(near)), "doc_id long, text string")
+    check_join(chosen_path.join(docs).collect(), range(len(near)), near)
+
+
+def test_buckets_of_one_task_are_split_there(spark, near, monkeypatch):
+    """No level of a bucket that a task can hold becomes rows."""
+    monkeypatch.setattr(chosen_path, "SMALL", 8)
+    monkeypatch.delattr(chosen_path, "led")
+    docs = spark.createDataFrame(list(enumerate(near)), "doc_id long, text string")
+    check_join(chosen_path.join(docs).collect(), range(len(near)), near)
+
+
+@pytest.mark.parametrize("small", [8, 1000])
+def test_a_bucket_equals_all_pairs(small):
+    """Groups of sketches around some centres, and sketches alone."""
+    draws = np.random.default_rng(5)
+    wide = chosen_path.COORDINATES
+    centres = draws.integers(0, 1 << 32, (20, wide), np.uint32)
+    sigs = np.concatenate([np.repeat(centres, 15, 0), centres[:1].repeat(90, 0)])
+    at = draws.random(sigs.shape) < 0.1
+    sigs[at] = draws.integers(0, 1 << 32, int(at.sum()), np.uint32)
+    sigs[:, 0] = 7  # all meet, so the root splits nothing off
+    recs = draws.permutation(len(sigs)).astype(np.int64)
+    recs.sort()
+    least = (0.8 - chosen_path.SLACK) * wide
+    want = chosen_path.Forest(len(sigs))
+    for i, x in enumerate(sigs):
+        for j in np.flatnonzero((sigs == x).sum(1) >= least):
+            want.join(i, int(j))
+    got = chosen_path.Forest(len(sigs))
+    for run in range(1, 29 if small < 1000 else 2):
+        bucket = chosen_path.Bucket(recs, sigs, 0.8, small)
+        bucket.settle(np.arange(len(recs)), chosen_path.mix(np.array([run], np.uint64))[0], 1)
+        for u, v in zip(*bucket.edges().values(), strict=True):
+            assert v < u
+            got.join(int(u), int(v))
+    assert [got.root(i) for i in recs] == [want.root(i) for i in recs]
+
+
 def test_join_of_odd_rows(odd_docs, no_docs):
     source = odd_docs.collect()
     rows = chosen_path.join(odd_docs).collect()
