@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from proclivity.llm.chunks import UNCUT, chunks
 from proclivity.llm.common import map_batches, schema, sole, staged
-from proclivity.llm.runs import Runs, cut_at
+from proclivity.llm.runs import Runs, cut_at, gather
 
 CAPACITY = 2048
 #: Pieces that one task packs.
@@ -33,8 +33,15 @@ PER_PARTITION = 25_000
 ROUNDS = 6
 #: A sequence with at most this many free tokens stays as it is.
 TIGHT = 8
-#: Texts whose chunks are looked up together.
-TOGETHER = 1024
+#: Texts whose chunks are looked up together; chunks encoded as one text, and
+#: such texts encoded in one call.
+TOGETHER = 4096
+IN_TEXT = 64
+AT_ONCE = 64
+#: Latin letters, and marks that the split pattern takes apart from letters
+#: before them, in any version of Unicode.
+LETTERS = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+$"
+MARKS = ".,;:!?#*%&$"
 MEMO_BYTES = 160 << 20
 
 PIECES = schema(
@@ -61,6 +68,7 @@ class Encoder:
         for token, number in self.tokenizer.get_vocab().items():
             self.size_of[number] = len(token)
         self.runs = Runs(self._runs_of, MEMO_BYTES)
+        self.ends = Runs(self._ends_of, MEMO_BYTES >> 4)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(
@@ -71,22 +79,51 @@ class Encoder:
     def _runs_of(
         self, parts: list[str]
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Chunks with their space are encoded as one text, cheaper than one
-        by one, and its ids are cut where the chunks end."""
-        (ids,) = self._encode([" " + " ".join(parts)])
+        """Chunks with their space are encoded as few texts, cheaper than one
+        by one, and the ids are cut where the chunks end."""
+        texts = [
+            " " + " ".join(parts[at : at + IN_TEXT])
+            for at in range(0, len(parts), IN_TEXT)
+        ]
+        ids = np.concatenate(
+            [
+                x
+                for at in range(0, len(texts), AT_ONCE)
+                for x in self._encode(texts[at : at + AT_ONCE])
+            ]
+        )
         ends = np.cumsum([len(p.encode()) + 1 for p in parts])
         length = np.diff(cut_at(self.size_of[ids], ends), prepend=0)
         return ids, length, np.zeros(len(parts), np.int64)
 
+    def _ends_of(
+        self, ends: list[str]
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        runs = self._encode(ends)
+        length = np.array([len(x) for x in runs], np.int64)
+        return np.concatenate(runs), length, np.zeros(len(ends), np.int64)
+
+    def _kinds(self, kinds: list[str]) -> tuple[np.ndarray, ...]:
+        """The joined runs of kinds of chunks, where each starts, its length."""
+        stems, ends = halves(kinds)
+        (stem,) = self.runs.numbers([stems])
+        (end,) = self.ends.numbers([ends])
+        two = np.stack([self.runs.length[stem], self.ends.length[end]], 1)
+        own = np.repeat(np.tile([True, False], len(kinds)), two.ravel())
+        flat = np.empty(len(own), np.uint32)
+        flat[own], flat[~own] = self.runs.run(stem), self.ends.run(end)
+        length = two.sum(1)
+        return flat, np.cumsum(length) - length, length
+
     def ids(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text; null is empty."""
         if not texts:
             return []
         heads, codes, kinds = cut_together([x or "" for x in texts])
         heads = self._encode(heads)
-        (number,) = self.runs.numbers([kinds])
+        runs = self._kinds(kinds)
         return [
-            np.concatenate([head, self.runs.run(number[x])])
+            np.concatenate([head, gather(*runs, x)])
             for head, x in zip(heads, codes, strict=True)
         ]
 
@@ -95,6 +132,22 @@ class Encoder:
         return [x.astype("<u4").tobytes() for x in self.ids([text])]
 
 
+def halves(kinds: list[str]) -> tuple[list[str], list[str]]:
+    """Each chunk as what is encoded apart from each other: the word and the
+    marks after it if it is letters and marks, else the chunk and nothing."""
+    whole = pa.array(kinds, pa.large_string())
+    trimmed = pc.utf8_rtrim(whole, characters=MARKS)
+    stems = pc.if_else(
+        pc.match_substring_regex(trimmed, LETTERS), trimmed, whole
+    )
+    ends = [""] * len(kinds)
+    marked = pc.not_equal(pc.binary_length(stems), pc.binary_length(whole))
+    stems = stems.to_numpy(zero_copy_only=False).tolist()
+    for i in np.flatnonzero(marked.to_numpy(zero_copy_only=False)).tolist():
+        ends[i] = kinds[i][len(stems[i]) :]
+    return stems, ends
+
+
 def cut_together(
     texts: list[str],
 ) -> tuple[list[str], list[np.ndarray], list[str]]:
@@ -115,7 +168,7 @@ def cut_together(
     rest = np.ones(len(parts), bool)
     rest[first] = False
     found = parts.filter(pa.array(rest)).dictionary_encode()
-    kinds = found.dictionary.to_pylist()
+    kinds = found.dictionary.to_numpy(zero_copy_only=False).tolist()
     codes = np.split(
         found.indices.to_numpy(), np.cumsum(ends - 1)[:-1]
     )

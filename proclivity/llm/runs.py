@@ -60,13 +60,19 @@ class Runs:
 
     def run(self, numbers: np.ndarray) -> np.ndarray:
         """The runs of these keys, joined."""
-        length = self.length[numbers]
-        ends = np.cumsum(length)
-        shift = self.start[numbers] - ends + length
-        return self.flat[
-            np.repeat(shift, length)
-            + np.arange(ends[-1] if len(ends) else 0)
-        ]
+        return gather(self.flat, self.start, self.length, numbers)
+
+
+def gather(
+    flat: np.ndarray, start: np.ndarray, length: np.ndarray, at: np.ndarray
+) -> np.ndarray:
+    """The runs at these places, joined: each has a start and a length."""
+    length = length[at]
+    ends = np.cumsum(length)
+    shift = start[at] - ends + length
+    return flat[
+        np.repeat(shift, length) + np.arange(ends[-1] if len(ends) else 0)
+    ]
 
 
 def cut_at(sizes: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -280,3 +280,18 @@ def test_chunks_of_many_texts_are_cut_at_once():
     got = [[h, *(kinds[i] for i in x)] for h, x in zip(heads, codes, strict=True)]
     assert got == [chunks.chunks(x) for x in odd]
     assert len(kinds) == len(set(kinds))
+
+
+def test_words_and_the_marks_after_them_are_encoded_apart(tokenizer):
+    """A word is encoded once, whatever marks follow it."""
+    texts = [f"x {' '.join('word' + m for m in ('', '.', ',', '.%%%', '!?'))}"]
+    texts += ["the über., ÷, a×. ɐ. q́. 日本. 12. a1. ,. . , ! it's. d,'s 'll.", None]
+    texts += ["end.###\n next,\tx ,y,  z, <|endoftext|>. <|endoftext|>", ""]
+    encoder = packing.Encoder(JSON)
+    for text, ids in zip(texts, encoder.ids(texts), strict=True):
+        assert ids.tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
+    assert [k for k in encoder.runs.number if k.startswith("word")] == ["word"]
+    assert packing.halves(["ab.,", "ab", "a1.", ".", "", "日."]) == (
+        ["ab", "ab", "a1.", ".", "", "日."],
+        [".,", "", "", "", "", ""],
+    )
