@@ -471,8 +471,8 @@ def edges_of(
     A bucket up to WHOLE is settled in one task. A larger one is first compared
     with its leader, a record drawn by hash. What that joins is one component: if it is all, the bucket can add no
     edge; if few records are outside, these are compared with all; else the
-    bucket is split. At DEPTH it is dealt over pairs of blocks. What the
-    leaders have joined is left out of the comparisons.
+    bucket is split. At DEPTH it is dealt over pairs of blocks, without what
+    the leaders have joined.
     """
     placed = staged(first_paths(records, similarity, runs), "paths")
     plain, outside, stars = [], [], []
@@ -512,11 +512,8 @@ def edges_of(
     if stars:
         known = [] if found is None else [tied(found)]
         found = staged(components(_union([*stars, *known])), "led")
-    small = _union(plain)
-    if stars:
-        small = standing(small, found)
     cells = [
-        small.select(
+        _union(plain).select(
             "_rec",
             "_path",
             "_depth",
